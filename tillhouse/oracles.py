@@ -22,6 +22,12 @@ def _rounded_average(column: str, type_name: str) -> str:
     return f"cast(cast({cents} as decimal(30,2)) * cast(0.01 as decimal(3,2)) as {type_name})"
 
 
+def _hundredths(total: str, n: str) -> str:
+    """A mean of whole numbers rounded to two places, half up, in whole numbers throughout."""
+    cents = f"(200 * cast({total} as hugeint) + {n}) // (2 * {n})"
+    return f"cast(cast({cents} as decimal(30,2)) * cast(0.01 as decimal(3,2)) as decimal(20,2))"
+
+
 def _top(source: str, value: str, k: int, key: str = "product") -> str:
     return f"""
       select * from (
@@ -41,8 +47,8 @@ def _faith(recent: str) -> str:
         from dwd_transaction group by store_id, customer_id, tran_year, tran_month
       ), month_means as (
         select store_id, customer_id,
-          cast(cast(sum(amount) as decimal(20,2)) / count(amount) as decimal(20,2)) as month_avg_amount,
-          cast(avg(number) as decimal(20,2)) as month_avg_count
+          {_rounded_average("amount", "decimal(20,2)")} as month_avg_amount,
+          {_hundredths("sum(number)", "count(number)")} as month_avg_count
         from monthly group by store_id, customer_id
       ), aged as (
         select *, date_diff('day', cast(tran_dt as date), max(cast(tran_dt as date)) over ()) as age from dwd_transaction
@@ -220,7 +226,7 @@ _CTE |= {
     "dws_store_range_flow": """
       select store_id, tran_range, count(transaction_id) as range_flow
       from dwd_transaction group by store_id, tran_range""",
-    "dws_store_faith_factor": _faith("avg(transaction_id)"),
+    "dws_store_faith_factor": _faith(_hundredths("sum(transaction_id)", "count(transaction_id)")),
     "dws_store_faith_factor_by_count": _faith("count(transaction_id)"),
     "dws_review_coverage": """
       select count(review_score) / nullif(count(t.transaction_id), 0) as review_coverage
