@@ -103,27 +103,21 @@ def transaction_by_dim_date(tran: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def _customer_history(tran: DataFrame, customer: DataFrame, dates: DataFrame) -> DataFrame:
-    """Per customer of the dimension: totals, and a map from month to (amount, number).
+def _key_of(dimension: DataFrame, key: str) -> Column:
+    """A fact key in the dimension's type, so that grouping and join share one partitioning."""
+    return F.col(key).cast(dimension.schema[key].dataType).alias(key)
 
-    The map is bounded by the months of the calendar. ``copies`` is how often the dimension holds the
-    customer; joins on it count facts that many times.
-    """
+
+def _in_calendar(tran: DataFrame, dates: DataFrame) -> DataFrame:
+    """Transactions between the first and last month of the calendar; prunes partitions."""
     month = month_number()
     limits = dates.agg(F.min(month).alias("first"), F.max(month).alias("last"))
-    in_calendar = month.between(limits.select("first").scalar(), limits.select("last").scalar())
-    monthly = (
-        tran.where(in_calendar)
-        .groupBy("customer_id", month.alias("month"))
-        .agg(F.sum("price").alias("amount"), F.count("price").alias("number"))
-    )
-    per_customer = monthly.groupBy("customer_id").agg(
-        F.sum("amount").alias("amount"),
-        F.sum("number").alias("number"),
-        F.map_from_entries(F.collect_list(F.struct("month", F.struct("amount", "number")))).alias("by_month"),
-    )
-    customers = customer.groupBy("customer_id").agg(F.count(F.lit(1)).alias("copies"))
-    return customers.join(per_customer, "customer_id", "left")
+    return tran.where(month.between(limits.select("first").scalar(), limits.select("last").scalar()))
+
+
+def _customer_copies(customer: DataFrame) -> DataFrame:
+    """How often the dimension holds each customer; joins on it count facts that many times."""
+    return customer.groupBy("customer_id").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def _measures(amount: Column, number: Column, copies: Column) -> list[Column]:
@@ -136,8 +130,13 @@ def _measures(amount: Column, number: Column, copies: Column) -> list[Column]:
 
 def transaction_by_customer(tran: DataFrame, customer: DataFrame, dates: DataFrame) -> DataFrame:
     """The customer level (gid 6) of ``transaction_by_ymc`` alone."""
-    history = _customer_history(tran, customer, dates)
-    return history.select("customer_id", *_measures(F.col("amount"), F.col("number"), F.col("copies")))
+    totals = (
+        _in_calendar(tran, dates)
+        .groupBy(_key_of(customer, "customer_id"))
+        .agg(F.sum("price").alias("amount"), F.count("price").alias("number"))
+    )
+    customers = _customer_copies(customer).join(totals, "customer_id", "left")
+    return customers.select("customer_id", *_measures(F.col("amount"), F.col("number"), F.col("copies")))
 
 
 def transaction_by_ymc(tran: DataFrame, customer: DataFrame, dates: DataFrame) -> DataFrame:
@@ -155,9 +154,9 @@ def transaction_by_ymc(tran: DataFrame, customer: DataFrame, dates: DataFrame) -
         return F.struct(gid, year.alias("tran_year"), month_of_year.alias("tran_month"), *measures)
 
     total = level(6, F.lit(None).cast("int"), F.struct("amount", "number"))
-    monthly = F.transform("months", lambda month: level(0, month, F.try_element_at("by_month", month)))
+    by_month = F.transform("months", lambda month: level(0, month, F.try_element_at("by_month", month)))
     # A calendar without a month has no customer rows either.
-    levels = F.when(F.size("months") > 0, F.concat(F.array(total), monthly))
+    levels = F.when(F.size("months") > 0, F.concat(F.array(total), by_month))
     return history.select("customer_id", F.inline(levels)).select(
         "gid", "customer_id", "sum_amount", "avg_amount", "tran_count", "tran_year", "tran_month"
     )
@@ -181,7 +180,7 @@ def transaction_product(tran: DataFrame) -> DataFrame:
 
 def transaction_by_country(tran: DataFrame, customer: DataFrame) -> DataFrame:
     """Totals per customer country. The fact is reduced to one row per customer before the join."""
-    per_customer = tran.groupBy("customer_id").agg(
+    per_customer = tran.groupBy(_key_of(customer, "customer_id")).agg(
         F.sum("price").alias("amount"), F.count("price").alias("priced"), F.count("customer_id").alias("number")
     )
     countries = customer.groupBy("customer_id", "country").agg(F.count(F.lit(1)).alias("copies"))
@@ -311,7 +310,7 @@ def store_range_flow(tran: DataFrame) -> DataFrame:
     return tran.groupBy("store_id", "tran_range").agg(F.count("transaction_id").alias("range_flow"))
 
 
-def store_faith_factor(tran: DataFrame, recent_measure: str = "mean_id") -> DataFrame:
+def store_faith_factor(tran: DataFrame, dates: DataFrame, recent_measure: str = "mean_id") -> DataFrame:
     """Loyalty of a customer to a store, for pairs with a purchase in the last 21 days.
 
     The measures named ``sum_count_recent_*`` are means of the transaction ids in the published
@@ -321,7 +320,7 @@ def store_faith_factor(tran: DataFrame, recent_measure: str = "mean_id") -> Data
     reduced to one row per pair and month, and only months of those pairs are shuffled further.
     """
     pair = ["store_id", "customer_id"]
-    last_day = tran.agg(F.max(transaction_date())).scalar()
+    last_day = dates.agg(F.max(transaction_date())).scalar()
     days = {name: F.date_sub(last_day, span) for name, span in settings.RECENT_DAYS.items()}
     first_month = month_number(F.year(days["3_week"]), F.month(days["3_week"]))
     recent_pairs = (

@@ -56,7 +56,7 @@ DWS: dict[str, Callable[[Tables], DataFrame]] = {
     "store_emp_cus_ration": lambda t: dws.store_emp_cus_ration(t("dwd.transaction"), t("dwd.store")),
     "store_year_month_sum_amount": lambda t: dws.store_year_month_sum_amount(t("dwd.transaction")),
     "store_range_flow": lambda t: dws.store_range_flow(t("dwd.transaction")),
-    "store_faith_factor": lambda t: dws.store_faith_factor(t("dwd.transaction")),
+    "store_faith_factor": lambda t: dws.store_faith_factor(t("dwd.transaction"), t("dws.dim_date")),
     "review_coverage": lambda t: dws.review_coverage(t("dwd.transaction"), t("dwd.review")),
     "review_distribution": lambda t: dws.review_distribution(t("dwd.review")),
     "cus_good_review_distribution_of_store": lambda t: dws.cus_good_review_distribution_of_store(

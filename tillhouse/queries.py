@@ -78,7 +78,7 @@ def queries() -> dict[str, Query]:
         return lambda spark, folder: tables(Tables(spark, folder))
 
     found["dws_store_faith_factor_by_count"] = over(
-        lambda t: dws.store_faith_factor(t("dwd.transaction"), recent_measure="count")
+        lambda t: dws.store_faith_factor(t("dwd.transaction"), t("dws.dim_date"), recent_measure="count")
     )
     found["dq_duplicate_transaction_ids"] = over(lambda t: dwd.duplicate_transaction_ids(t("ods.transaction")))
     found["dq_rejected_transactions"] = over(lambda t: dwd.rejected_transactions(t("ods.transaction")))
