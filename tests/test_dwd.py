@@ -1,0 +1,152 @@
+from decimal import Decimal
+
+import pytest
+
+from tillhouse import schemas
+from tillhouse.plans import dwd
+
+from tests.helpers import rows_of, transactions
+
+
+def raw_transactions(spark, rows):
+    return spark.createDataFrame(rows, schemas.TRANSACTION)
+
+
+def raw(number, when="2018-01-02", time="5:6:7", customer="1", store="1", price="1.00", product="p"):
+    return (number, customer, store, price, product, when, time)
+
+
+def ids_by_product(df):
+    return {r.product: r.transaction_id for r in df.collect()}
+
+
+def test_duplicates_get_new_ids_in_id_order(spark):
+    rows = [raw(i, product=f"{i}-{n}", time=f"{n}:0:0") for n, i in enumerate(["1", "1", "1", "2", "5", "5"])]
+    clean = dwd.transaction(raw_transactions(spark, rows))
+    assert ids_by_product(clean) == {"1-0": 1, "1-1": 6, "1-2": 7, "2-3": 2, "5-4": 5, "5-5": 8}
+
+
+def test_earliest_row_keeps_the_id(spark):
+    rows = [raw("3", time="9:0:0", product="late"), raw("3", time="8:0:0", product="early")]
+    assert ids_by_product(dwd.transaction(raw_transactions(spark, rows))) == {"early": 3, "late": 4}
+
+
+def test_rows_without_id(spark):
+    rows = [raw(None, product="a"), raw("abc", product="b"), raw("4", product="c")]
+    assert ids_by_product(dwd.transaction(raw_transactions(spark, rows))) == {"a": None, "b": 5, "c": 4}
+
+
+def test_bad_time_is_kept_without_calendar_and_reported(spark):
+    rows = [raw("1"), raw("2", when="2018-02-30"), raw("3", time=None), raw("x", price="many", time="1:1")]
+    source = raw_transactions(spark, rows)
+    clean = dwd.transaction(source)
+    assert clean.count() == 4
+    assert {r.transaction_id for r in clean.where("tran_dt is null and tran_year is null").collect()} == {2, 3}
+    assert sorted(r.reason for r in dwd.rejected_transactions(source).collect()) == [
+        "datetime",
+        "datetime",
+        "transaction_id",
+    ]
+
+
+def test_types(spark):
+    row = dwd.transaction(raw_transactions(spark, [raw("12.7", price="1.005", time="25:3:7")])).first()
+    assert row.asDict() == {
+        "transaction_id": 12,
+        "customer_id": 1,
+        "store_id": 1,
+        "price": Decimal("1.01"),
+        "product": "p",
+        "tran_dt": "2018-01-03T01:03:07",
+        "tran_year": 2018,
+        "tran_quarter": 1,
+        "tran_month": 1,
+        "tran_month_week": 1,
+        "tran_day": 3,
+        "tran_range": 1,
+    }
+
+
+@pytest.mark.parametrize("hot_rows", [2, 20])
+def test_hot_ids_give_the_same_table(spark, hot_rows):
+    rows = [raw(str(i % 13), time=f"{i % 20}:{i % 7}", product=f"p{i % 3}") for i in range(200)]
+    rows += [raw("7", product="copy")] * 150 + [raw(None, when="?", product="blank")] * 90
+    source = raw_transactions(spark, rows)
+    assert rows_of(dwd.transaction(source, hot_rows=hot_rows)) == rows_of(dwd.transaction(source))
+
+
+def test_empty_fact(spark):
+    clean = dwd.transaction(raw_transactions(spark, []))
+    assert clean.count() == 0
+
+
+def test_review_store_and_score(spark):
+    tran = transactions(spark, [(1, 1, 10, "1.00", "p", "2018-01-02T05:06:07"), (2, 1, 20, "1.00", "p", None)])
+    reviews = spark.createDataFrame(
+        [
+            ("1", None, "4"),  # names no store
+            ("2", "99", "5"),  # names another store
+            ("3", "30", None),  # has no transaction
+            (None, "30", "x"),  # has no id, score unreadable
+        ],
+        schemas.REVIEW,
+    )
+    got = {(r.transaction_id, r.store_id, r.review_score) for r in dwd.review(reviews, tran).collect()}
+    assert got == {
+        (1, None, Decimal("4.00")),
+        (2, 20, Decimal("5.00")),
+        (3, None, Decimal("4.50")),
+        (None, None, Decimal("4.50")),
+    }
+
+
+def test_many_reviews_of_one_transaction_all_stay(spark):
+    tran = transactions(spark, [(1, 1, 10, "1.00", "p", None)])
+    reviews = spark.createDataFrame([("1", "1", "3")] * 50 + [(None, "1", "3")] * 40, schemas.REVIEW)
+    clean = dwd.review(reviews, tran)
+    assert clean.count() == 90
+    assert clean.where("store_id = 10").count() == 50
+
+
+def test_dimensions(spark):
+    customer = spark.createDataFrame(
+        [(1, "c", "j", "Male", "China", "card", "Li", "a@b@c.com"), (2, None, None, None, None, None, None, None)],
+        schemas.CUSTOMER,
+    )
+    assert [tuple(r) for r in dwd.customer(customer).orderBy("customer_id").collect()] == [
+        (1, "c", "j", "Male", "China", "card", "Li", "c.com"),
+        (2,) + (None,) * 7,
+    ]
+    store = spark.createDataFrame([(1, "A", 5), (None, "B", 6)], schemas.STORE)
+    assert [tuple(r) for r in dwd.store(store).collect()] == [(1, "A", 5)]
+
+
+def test_conform_checks_columns_and_keeps_extra_ones(spark):
+    df = spark.createDataFrame([(1, "A", 5, "x")], "store_id int, store_name string, employee_number int, city string")
+    got = schemas.conform(df, schemas.STORE)
+    assert got.columns == ["store_id", "store_name", "employee_number", "city"]
+    assert dict(got.dtypes)["store_id"] == "bigint"
+    with pytest.raises(ValueError, match="employee_number"):
+        schemas.conform(df.drop("employee_number"), schemas.STORE)
+
+
+def test_quality_reports(spark):
+    source = raw_transactions(spark, [raw("1"), raw("1"), raw("2"), raw(None), raw(None)])
+    assert rows_of(dwd.duplicate_transaction_ids(source)) == rows_of(
+        spark.createDataFrame([(1, 2), (None, 2)], "transaction_id int, count bigint")
+    )
+    customer = spark.createDataFrame([(1,), (1,), (2,)], "customer_id bigint")
+    store = spark.createDataFrame([(None,), (None,), (2,)], "store_id bigint")
+    assert {tuple(r) for r in dwd.repeated_dimension_keys(customer, store).collect()} == {
+        ("customer", 1, 2),
+        ("store", None, 2),
+    }
+
+
+def test_fact_is_shuffled_once(spark):
+    source = raw_transactions(spark, [raw("1"), raw("1"), raw("2")])
+    plan = dwd.transaction(source)._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Exchange" in line and "tran_time" in line]
+    assert len(wide) <= 1
+    window = next(i for i, line in enumerate(plan.splitlines()) if "row_number()" in line)
+    assert "SinglePartition" not in "\n".join(plan.splitlines()[window : window + 4])

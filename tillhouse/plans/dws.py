@@ -135,7 +135,9 @@ def transaction_by_customer(tran: DataFrame, customer: DataFrame, dates: DataFra
         .groupBy(_key_of(customer, "customer_id"))
         .agg(F.sum("price").alias("amount"), F.count("price").alias("number"))
     )
-    customers = _customer_copies(customer).join(totals, "customer_id", "left")
+    # A calendar without a month has no customer rows either.
+    customers = _customer_copies(customer).where(dates.agg(F.count(F.lit(1))).scalar() > 0)
+    customers = customers.join(totals, "customer_id", "left")
     return customers.select("customer_id", *_measures(F.col("amount"), F.col("number"), F.col("copies")))
 
 
@@ -144,8 +146,20 @@ def transaction_by_ymc(tran: DataFrame, customer: DataFrame, dates: DataFrame) -
 
     Every customer appears in every month of the calendar. That dense result is generated from one
     row per customer after the join, so only one row per customer and active month is ever shuffled.
+    A customer's active months are a map bounded by the calendar.
     """
-    history = _customer_history(tran, customer, dates).withColumn("months", calendar_months(dates))
+    monthly = (
+        _in_calendar(tran, dates)
+        .groupBy(_key_of(customer, "customer_id"), month_number().alias("month"))
+        .agg(F.sum("price").alias("amount"), F.count("price").alias("number"))
+    )
+    active = monthly.groupBy("customer_id").agg(
+        F.sum("amount").alias("amount"),
+        F.sum("number").alias("number"),
+        F.map_from_entries(F.collect_list(F.struct("month", F.struct("amount", "number")))).alias("by_month"),
+    )
+    customers = _customer_copies(customer).join(active, "customer_id", "left")
+    history = customers.withColumn("months", calendar_months(dates))
 
     def level(gid: int, month: Column, sold: Column) -> Column:
         year, month_of_year = F.floor(month / 100).cast("int"), (month % 100).cast("int")
