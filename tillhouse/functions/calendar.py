@@ -1,6 +1,6 @@
 """Datetime repair and the calendar fields shared by the fact table and the date dimension."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -11,8 +11,20 @@ def iso_datetime(text: Column) -> Column:
     year that does not have four digits, hour past 47, letters.
     """
     halves = F.split(text, " ")
-    date = F.split(F.get(halves, F.lit(0)), "-")
-    time = F.split(F.get(halves, F.lit(1)), ":")
+    return _assembled(F.split(F.get(halves, F.lit(0)), "-"), F.split(F.get(halves, F.lit(1)), ":"))
+
+
+def with_iso_datetime(df: DataFrame, name: str, text: Column) -> DataFrame:
+    """``df`` with ``iso_datetime(text)`` as a column. The text is split once per row, in projections
+    of their own; as one expression it would be split again for every part that is read."""
+    halves = df.withColumn("_halves", F.split(text, " "))
+    split = halves.withColumns(
+        {"_date": F.split(F.get("_halves", F.lit(0)), "-"), "_time": F.split(F.get("_halves", F.lit(1)), ":")}
+    )
+    return split.withColumn(name, _assembled(F.col("_date"), F.col("_time"))).drop("_halves", "_date", "_time")
+
+
+def _assembled(date: Column, time: Column) -> Column:
     year, month, day = (F.get(date, F.lit(i)).try_cast("int") for i in range(3))
     hour, minute = (F.get(time, F.lit(i)).try_cast("int") for i in range(2))
     second = F.when(F.size(time) == 2, F.lit(0)).otherwise(F.get(time, F.lit(2)).try_cast("int"))
@@ -24,8 +36,8 @@ def iso_datetime(text: Column) -> Column:
         & second.between(0, 59)
     )
     same_day = F.try_make_timestamp_ntz(year, month, day, F.pmod(hour, F.lit(24)), minute, second)
-    shifted = F.when(hour >= 24, same_day + F.expr("interval 1 day")).otherwise(same_day)
-    return F.when(well_formed, shifted)
+    next_day = F.make_dt_interval(F.when(hour >= 24, F.lit(1)).otherwise(F.lit(0)))
+    return F.when(well_formed, same_day + next_day)
 
 
 def iso_text(timestamp: Column) -> Column:

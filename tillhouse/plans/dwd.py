@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillhouse import settings
-from tillhouse.functions import calendar_columns, email_domain, iso_datetime, iso_text, money, whole_number
+from tillhouse.functions import calendar_columns, email_domain, iso_text, money, whole_number, with_iso_datetime
 from tillhouse.operators import reassign_duplicate_ids
 
 
@@ -27,8 +27,8 @@ def store(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("store_id").isNotNull()).select("store_id", "store_name", "employee_number")
 
 
-def _tran_time() -> Column:
-    return iso_datetime(F.concat_ws(" ", "date", "time"))
+def _with_tran_time(raw: DataFrame) -> DataFrame:
+    return with_iso_datetime(raw, "tran_time", F.concat_ws(" ", "date", "time"))
 
 
 def transaction(raw: DataFrame, id_type: str = "int", hot_rows: int = settings.HOT_ROWS) -> DataFrame:
@@ -38,9 +38,9 @@ def transaction(raw: DataFrame, id_type: str = "int", hot_rows: int = settings.H
     above the largest one. A row whose datetime cannot be read has null time fields and is listed by
     ``rejected_transactions``. ``id_type="bigint"`` lifts the limit of 2**31 rows.
     """
-    typed = raw.select(
+    typed = _with_tran_time(raw).select(
         whole_number(F.col("transaction_id"), id_type).alias("transaction_id"),
-        _tran_time().alias("tran_time"),
+        "tran_time",
         whole_number(F.col("customer_id")).alias("customer_id"),
         whole_number(F.col("store_id")).alias("store_id"),
         money(F.col("price")).alias("price"),
@@ -66,13 +66,19 @@ def duplicate_transaction_ids(raw: DataFrame, id_type: str = "int") -> DataFrame
     return ids.groupBy("transaction_id").count().where("count > 1")
 
 
-def rejected_transactions(raw: DataFrame) -> DataFrame:
-    """Raw rows whose datetime or number cannot be read, one row each, with the first reason."""
-    reason = F.when(_tran_time().isNull(), "datetime")
+def rejected_transactions(raw: DataFrame, counts: Observation | None = None) -> DataFrame:
+    """Raw rows whose datetime or number cannot be read, one row each, with the first reason.
+
+    ``counts`` receives the number of raw and of rejected rows when the result is computed. Counting
+    also keeps the filter above the check: pushed to the scan it would parse every row twice.
+    """
+    reason = F.when(F.col("tran_time").isNull(), "datetime")
     for name in ("transaction_id", "customer_id", "store_id"):
         reason = reason.when(F.col(name).isNotNull() & whole_number(F.col(name)).isNull(), name)
     reason = reason.when(F.col("price").isNotNull() & money(F.col("price")).isNull(), "price")
-    return raw.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    checked = _with_tran_time(raw).select(*raw.columns, reason.alias("reason"))
+    totals = [F.count(F.lit(1)).alias("rows"), F.count("reason").alias("rejected")]
+    return checked.observe(counts or Observation(), *totals).where(F.col("reason").isNotNull())
 
 
 def review(raw: DataFrame, tran: DataFrame) -> DataFrame:

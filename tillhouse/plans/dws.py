@@ -161,19 +161,21 @@ def transaction_by_ymc(tran: DataFrame, customer: DataFrame, dates: DataFrame) -
     customers = _customer_copies(customer).join(active, "customer_id", "left")
     history = customers.withColumn("months", calendar_months(dates))
 
-    def level(gid: int, month: Column, sold: Column) -> Column:
-        year, month_of_year = F.floor(month / 100).cast("int"), (month % 100).cast("int")
-        measures = _measures(sold["amount"], sold["number"], F.col("copies"))
-        gid = F.lit(gid).cast("bigint").alias("gid")
-        return F.struct(gid, year.alias("tran_year"), month_of_year.alias("tran_month"), *measures)
-
-    total = level(6, F.lit(None).cast("int"), F.struct("amount", "number"))
-    by_month = F.transform("months", lambda month: level(0, month, F.try_element_at("by_month", month)))
-    # A calendar without a month has no customer rows either.
-    levels = F.when(F.size("months") > 0, F.concat(F.array(total), by_month))
-    return history.select("customer_id", F.inline(levels)).select(
-        "gid", "customer_id", "sum_amount", "avg_amount", "tran_count", "tran_year", "tran_month"
+    # Month 0 stands for the customer level; a calendar without a month has no customer rows either.
+    levels = F.when(F.size("months") > 0, F.concat(F.array(F.lit(0)), F.col("months")))
+    dense = history.withColumn("month", F.explode(levels))
+    is_total = F.col("month") == 0
+    in_month = F.try_element_at("by_month", F.col("month"))
+    rows = dense.select(
+        F.when(is_total, F.lit(6)).otherwise(F.lit(0)).cast("bigint").alias("gid"),
+        "customer_id",
+        "copies",
+        F.when(is_total, F.struct("amount", "number")).otherwise(in_month).alias("sold"),
+        F.when(~is_total, F.floor(F.col("month") / 100)).cast("int").alias("tran_year"),
+        F.when(~is_total, F.col("month") % 100).cast("int").alias("tran_month"),
     )
+    measures = _measures(F.col("sold.amount"), F.col("sold.number"), F.col("copies"))
+    return rows.select("gid", "customer_id", *measures, "tran_year", "tran_month")
 
 
 def transaction_product(tran: DataFrame) -> DataFrame:
@@ -220,37 +222,46 @@ def transaction_by_country(tran: DataFrame, customer: DataFrame) -> DataFrame:
 def uq_customer_count_by_qw(tran: DataFrame) -> DataFrame:
     """Distinct customers over the rollup year, quarter, month, week; gid 0 is the week, 3 the quarter.
 
-    The fact is shuffled once, as the set of weeks in which each customer bought (bounded by the
-    calendar). Each customer then counts once in every week, month, quarter and year of that set.
+    The weeks in which a customer bought are one bit each (12 months of five weeks, and bit 60 for
+    rows without a date) in one number per customer and year, which is all that is shuffled. A
+    customer counts in each of those weeks, and in a month, quarter or year at its first week there,
+    so the levels are sums over weeks.
     """
-    # One number per week, 0 for rows without a date: year, quarter, month, week as yyyyqmmw.
-    week = (F.col("tran_year") * 10 + F.col("tran_quarter")) * 1000 + F.col("tran_month") * 10
-    week = _or_zero(week + F.col("tran_month_week")).cast("int")
-    active = tran.groupBy("customer_id").agg(F.collect_set(week).alias("weeks"))
-
-    def level(gid: int, divisor: int) -> Column:
-        periods = F.array_distinct(F.transform("weeks", lambda w: F.floor(w / divisor).cast("int")))
-        return F.transform(periods, lambda p: F.struct(F.lit(gid).cast("bigint").alias("gid"), (p * divisor).alias("period")))
-
-    levels = F.concat(level(0, 1), level(1, 10), level(3, 1000), level(7, 10000), level(15, 100_000_000))
-    counts = (
-        active.select("customer_id", F.inline(levels))
-        .groupBy("gid", "period")
-        .agg(F.count("customer_id").alias("uq_customer_count"))
-    )
-
-    def part(divisor: int, modulus: int, up_to: int) -> Column:
-        digits = F.floor(F.col("period") / divisor) % modulus
-        return F.when((F.col("gid") <= up_to) & (F.col("period") > 0), digits.cast("int"))
-
-    return counts.select(
-        part(10000, 10000, 7).alias("tran_year"),
-        part(1000, 10, 3).alias("tran_quarter"),
-        part(10, 100, 1).alias("tran_month"),
-        part(1, 10, 0).cast("bigint").alias("tran_month_week"),
-        "gid",
-        "uq_customer_count",
+    bit = F.coalesce((F.col("tran_month") - 1) * 5 + F.col("tran_month_week") - 1, F.lit(60)).cast("int")
+    active = (
+        tran.select("customer_id", "tran_year", bit.alias("bit"))
+        .groupBy("customer_id", "tran_year")
+        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("weeks"))
+    )
+    in_week = active.withColumn("bit", F.explode(F.sequence(F.lit(0), F.lit(60)))).where(
+        "shiftright(weeks, bit) & 1 = 1"
+    )
+    earlier = "weeks & (shiftleft(1L, bit) - 1)"
+    first_of = {
+        "in_month": F.expr(f"shiftright({earlier}, cast(bit div 5 * 5 as int)) = 0"),
+        "in_quarter": F.expr(f"shiftright({earlier}, cast(bit div 15 * 15 as int)) = 0"),
+        "in_year": F.expr(f"{earlier} = 0"),
+    }
+    weekly = in_week.groupBy("tran_year", "bit").agg(
+        F.count("customer_id").alias("in_week"),
+        *[F.count(F.when(first, F.col("customer_id"))).alias(name) for name, first in first_of.items()],
+    )
+    calendar = weekly.select(
+        "tran_year",
+        F.expr("if(bit < 60, cast(bit div 15 + 1 as int), null)").alias("tran_quarter"),
+        F.expr("if(bit < 60, cast(bit div 5 + 1 as int), null)").alias("tran_month"),
+        F.expr("if(bit < 60, cast(bit % 5 + 1 as bigint), null)").alias("tran_month_week"),
+        "in_week",
+        *first_of,
+    )
+    keys = ["tran_year", "tran_quarter", "tran_month", "tran_month_week"]
+    levels = calendar.rollup(*keys).agg(
+        F.grouping_id().alias("gid"), *[F.sum(name).alias(name) for name in ("in_week", *first_of)]
     )
+    overall = tran.agg(F.count_distinct("customer_id")).scalar()
+    count = F.when(F.col("gid") == 0, F.col("in_week")).when(F.col("gid") == 1, F.col("in_month"))
+    count = count.when(F.col("gid") == 3, F.col("in_quarter")).when(F.col("gid") == 7, F.col("in_year"))
+    return levels.select(*keys, "gid", count.otherwise(overall).alias("uq_customer_count"))
 
 
 # Stores
