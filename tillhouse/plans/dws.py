@@ -258,7 +258,8 @@ def uq_customer_count_by_qw(tran: DataFrame) -> DataFrame:
     levels = calendar.rollup(*keys).agg(
         F.grouping_id().alias("gid"), *[F.sum(name).alias(name) for name in ("in_week", *first_of)]
     )
-    overall = tran.agg(F.count_distinct("customer_id")).scalar()
+    # No number of weeks is zero, but naming them here lets this count read the shuffled rows again.
+    overall = active.agg(F.count_distinct(F.when(F.col("weeks") != 0, F.col("customer_id")))).scalar()
     count = F.when(F.col("gid") == 0, F.col("in_week")).when(F.col("gid") == 1, F.col("in_month"))
     count = count.when(F.col("gid") == 3, F.col("in_quarter")).when(F.col("gid") == 7, F.col("in_year"))
     return levels.select(*keys, "gid", count.otherwise(overall).alias("uq_customer_count"))
@@ -341,49 +342,44 @@ def store_faith_factor(tran: DataFrame, dates: DataFrame, recent_measure: str =
     The measures named ``sum_count_recent_*`` are means of the transaction ids in the published
     results, which stays the default; ``recent_measure="count"`` uses the number of purchases.
 
-    The pairs with a recent purchase are found first, from the last partitions only; the fact is
-    reduced to one row per pair and month, and only months of those pairs are shuffled further.
+    The recent measures come from the partitions of the last 90 days alone. The whole fact is reduced
+    to one row per pair and month, with two numbers, before it meets the pairs that were active.
     """
     pair = ["store_id", "customer_id"]
     last_day = dates.agg(F.max(transaction_date())).scalar()
-    days = {name: F.date_sub(last_day, span) for name, span in settings.RECENT_DAYS.items()}
-    first_month = month_number(F.year(days["3_week"]), F.month(days["3_week"]))
-    recent_pairs = (
-        tran.where(month_number() >= first_month)
-        .where(transaction_date() >= days["3_week"])
-        .select(*pair)
-        .distinct()
-    )
-
-    recent_sums = []
-    for name, first_day in days.items():
-        recent = transaction_date() >= first_day
-        recent_sums += [
-            F.sum(F.when(recent, F.col("price"))).alias(f"amount_{name}"),
-            F.count(F.when(recent, F.col("transaction_id"))).alias(f"count_{name}"),
-            F.sum(F.when(recent, F.col("transaction_id"))).alias(f"ids_{name}"),
+    first_days = {name: F.date_sub(last_day, span) for name, span in settings.RECENT_DAYS.items()}
+    earliest = F.date_sub(last_day, max(settings.RECENT_DAYS.values()))
+
+    recent_measures = []
+    for name, first_day in first_days.items():
+        inside = transaction_date() >= first_day
+        number = F.count(F.when(inside, F.col("transaction_id")))
+        mean_id = ratio(F.sum(F.when(inside, F.col("transaction_id"))), number)
+        measure = number.cast("double") if recent_measure == "count" else mean_id
+        recent_measures += [
+            F.count_if(inside).alias(f"rows_{name}"),
+            F.sum(F.when(inside, F.col("price"))).alias(f"sum_amount_recent_{name}"),
+            measure.cast(AMOUNT).alias(f"sum_count_recent_{name}"),
         ]
+    recent = (
+        tran.where(month_number() >= month_number(F.year(earliest), F.month(earliest)))
+        .groupBy(*pair)
+        .agg(*recent_measures)
+        .where(" and ".join(f"rows_{name} > 0" for name in first_days))
+    )
     monthly = tran.groupBy(*pair, "tran_year", "tran_month").agg(
-        F.sum("price").alias("amount"), F.count("transaction_id").alias("number"), *recent_sums
+        F.sum("price").alias("amount"), F.count("transaction_id").alias("number")
     )
-
-    recent_totals = []
-    for name in days:
-        amount, count, ids = (F.sum(f"{part}_{name}") for part in ("amount", "count", "ids"))
-        measure = count.cast("double") if recent_measure == "count" else ratio(ids, count)
-        recent_totals += [
-            amount.cast(AMOUNT).alias(f"sum_amount_recent_{name}"),
-            measure.cast(AMOUNT).alias(f"sum_count_recent_{name}"),
-        ]
+    kept = [column for column in recent.columns if column.startswith("sum_")]
     measures = (
-        monthly.join(recent_pairs, pair, "left_semi")
+        monthly.join(recent, pair)
         .groupBy(*pair)
         .agg(
             F.sum("amount").cast(AMOUNT).alias("sum_amount"),
             F.sum("number").alias("sum_count"),
             F.avg("amount").cast(AMOUNT).alias("month_avg_amount"),
             F.avg("number").cast(AMOUNT).alias("month_avg_count"),
-            *recent_totals,
+            *[F.max(column).alias(column) for column in kept],  # the same in every row of a pair
         )
     )
     weights = settings.FAITH_WEIGHTS
