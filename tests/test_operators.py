@@ -101,14 +101,14 @@ def test_reassign_fails_past_the_type(spark):
     assert {tuple(r) for r in reassign_duplicate_ids(wide, "id", ["a"]).collect()} == {(2**31 - 1, 1), (2**31, 2)}
 
 
-@pytest.mark.parametrize("k", [1, 3, 5, 50])
+@pytest.mark.parametrize("k", [1, 3, 5, 50, None])
 def test_top_dense_equals_window(spark, k):
-    rng = random.Random(k)
+    rng = random.Random(k or 0)
     rows = [(i, rng.choice([None, *range(12)])) for i in range(300)]
     df = spark.createDataFrame(rows, "key int, value int")
     df.createOrReplaceTempView("to_rank")
     want = spark.sql(
-        f"select * from (select *, dense_rank() over (order by value desc nulls last) as rnk from to_rank) where rnk <= {k}"
+        f"select * from (select *, dense_rank() over (order by value desc nulls last) as rnk from to_rank) where rnk <= {k or 1000}"
     )
     assert rows_of(top_dense(df, "value", k)) == rows_of(want)
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import uuid
 
 import pytest
@@ -60,6 +61,17 @@ def test_pin_is_in_the_shared_folder(spark):
     assert staging.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
+def test_temporary_pins_are_deleted(spark):
+    df = spark.createDataFrame([(1,)], "a int")
+    kept = staging.pin(df)
+    with staging.temporary(spark):
+        inside = staging.pin(df)
+        path = inside.inputFiles()[0].removeprefix("file:")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+    assert kept.count() == 1
+
+
 def test_tables(spark, database):
     df = spark.createDataFrame([(1, None, "x"), (2, 2018, "y"), (3, 2018, "z")], "a int, tran_year int, s string")
     save_table(df, database, "plain")

@@ -41,9 +41,8 @@ def customer_top10_by_sum_amount(by_customer: DataFrame, customer: DataFrame) ->
 
 
 def credit_type(by_cgc: DataFrame) -> DataFrame:
-    """All card types by number of customers; the window sees one row per card type."""
-    rank = F.dense_rank().over(Window.orderBy(F.col("agg_cnt").desc_nulls_last()))
-    return by_cgc.where("gid = 6").select("credit_type", rank.alias("rnk")).orderBy("rnk")
+    """All card types ranked by their number of customers."""
+    return top_dense(by_cgc.where("gid = 6"), "agg_cnt", None).select("credit_type", "rnk").orderBy("rnk")
 
 
 def uq_customer_cnt_by_year_quarter(by_quarter_week: DataFrame) -> DataFrame:

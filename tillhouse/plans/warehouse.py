@@ -11,6 +11,7 @@ from tillhouse import schemas
 from tillhouse.plans import ads, dwd, dws, ods
 from tillhouse.sinks import create_database, save_table
 from tillhouse.sources import read_table
+from tillhouse.staging import temporary
 
 Tables = Callable[[str], DataFrame]
 
@@ -143,5 +144,6 @@ def build_layer(spark: SparkSession, layer: str, databases: Databases = Database
     database = getattr(databases, layer)
     create_database(spark, database)
     for name, build in LAYERS[layer].items():
-        save_table(build(table), database, name, PARTITIONS.get(f"{layer}.{name}", ()))
+        with temporary(spark):
+            save_table(build(table), database, name, PARTITIONS.get(f"{layer}.{name}", ()))
     return list(LAYERS[layer])

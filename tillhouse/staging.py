@@ -9,11 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,7 +33,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def _fresh_path(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables pinned inside the block are deleted at its end, when their readers have been stored."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for name in _scopes.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pin(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
