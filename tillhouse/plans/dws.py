@@ -346,13 +346,14 @@ def store_faith_factor(tran: DataFrame, dates: DataFrame, recent_measure: str =
     to one row per pair and month, with two numbers, before it meets the pairs that were active.
     """
     pair = ["store_id", "customer_id"]
-    last_day = dates.agg(F.max(transaction_date())).scalar()
-    first_days = {name: F.date_sub(last_day, span) for name, span in settings.RECENT_DAYS.items()}
-    earliest = F.date_sub(last_day, max(settings.RECENT_DAYS.values()))
+    last = dates.agg(F.max(transaction_date()).alias("day"))
+    earliest = F.date_sub("day", max(settings.RECENT_DAYS.values()))
+    first_month = last.select(month_number(F.year(earliest), F.month(earliest))).scalar()
+    age = F.datediff(last.scalar(), transaction_date())
 
     recent_measures = []
-    for name, first_day in first_days.items():
-        inside = transaction_date() >= first_day
+    for name, span in settings.RECENT_DAYS.items():
+        inside = F.col("age") <= span
         number = F.count(F.when(inside, F.col("transaction_id")))
         mean_id = ratio(F.sum(F.when(inside, F.col("transaction_id"))), number)
         measure = number.cast("double") if recent_measure == "count" else mean_id
@@ -362,10 +363,11 @@ def store_faith_factor(tran: DataFrame, dates: DataFrame, recent_measure: str =
             measure.cast(AMOUNT).alias(f"sum_count_recent_{name}"),
         ]
     recent = (
-        tran.where(month_number() >= month_number(F.year(earliest), F.month(earliest)))
+        tran.where(month_number() >= first_month)
+        .withColumn("age", age)
         .groupBy(*pair)
         .agg(*recent_measures)
-        .where(" and ".join(f"rows_{name} > 0" for name in first_days))
+        .where(" and ".join(f"rows_{name} > 0" for name in settings.RECENT_DAYS))
     )
     monthly = tran.groupBy(*pair, "tran_year", "tran_month").agg(
         F.sum("price").alias("amount"), F.count("transaction_id").alias("number")
