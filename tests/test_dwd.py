@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Observation
 
 from tillhouse import schemas
 from tillhouse.plans import dwd
@@ -49,6 +50,14 @@ def test_bad_time_is_kept_without_calendar_and_reported(spark):
     ]
 
 
+def test_rejects_are_counted_on_the_way(spark):
+    source = raw_transactions(spark, [raw("1"), raw("2", when="2018-02-30"), raw("3", price="many"), raw("4", store="?")])
+    counts = Observation()
+    reasons = {r.transaction_id: r.reason for r in dwd.rejected_transactions(source, counts).collect()}
+    assert reasons == {"2": "datetime", "3": "price", "4": "store_id"}
+    assert counts.get == {"rows": 4, "rejected": 3}
+
+
 def test_types(spark):
     row = dwd.transaction(raw_transactions(spark, [raw("12.7", price="1.005", time="25:3:7")])).first()
     assert row.asDict() == {

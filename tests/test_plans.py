@@ -78,3 +78,30 @@ def test_customer_level_of_the_stored_cube_is_one_partition(spark, tables, tmp_p
     level = warehouse._customer_level(spark.read.orc(str(tmp_path / "cube")))
     assert level.count() == 150
     assert "isnull(tran_year" in plan_of(level).split("PartitionFilters:")[1]
+
+
+def test_a_much_reviewed_transaction_is_split(spark, no_broadcast):
+    """The adaptive skew join splits the hot id of the review side, with thresholds fit for a test."""
+    tran = spark.range(2000).selectExpr("cast(id as int) as transaction_id", "cast(id % 50 as int) as store_id")
+    raw = spark.range(60_000).selectExpr(
+        "cast(if(id % 3 = 0, 7, id % 3000) as string) as transaction_id",
+        "cast(id as string) as store_id",
+        "cast(1 + id % 5 as string) as review_score",
+    )
+    options = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    try:
+        clean = dwd.review(raw.repartition(16), tran)
+        rows = clean.collect()
+        assert len(rows) == 60_000
+        hot = sum((7 if i % 3 == 0 else i % 3000) == 7 for i in range(60_000))
+        assert sum(r.transaction_id == 7 for r in rows) == hot
+        assert "SortMergeJoin(skew=true)" in plan_of(clean)
+    finally:
+        for name in options:
+            spark.conf.unset(name)
