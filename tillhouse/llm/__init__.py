@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tillhouse.llm import bpe, token_counts, url_filter
+from tillhouse.llm import bpe, decontamination, token_counts, url_filter
 
-_MODULES = (bpe, token_counts, url_filter)
+_MODULES = (bpe, decontamination, token_counts, url_filter)
 
 
 def queries() -> dict[str, Callable]:
