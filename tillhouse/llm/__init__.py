@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tillhouse.llm import bpe, decontamination, html_text, minhash, token_counts, url_filter
+from tillhouse.llm import bpe, decontamination, html_text, minhash, suffix_dedup, token_counts, toxicity, url_filter
 
-_MODULES = (bpe, decontamination, html_text, minhash, token_counts, url_filter)
+_MODULES = (bpe, decontamination, html_text, minhash, suffix_dedup, token_counts, toxicity, url_filter)
 
 
 def queries() -> dict[str, Callable]:
