@@ -4,9 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tillhouse.llm import bpe, decontamination, html_text, minhash, suffix_dedup, token_counts, toxicity, url_filter
-
-_MODULES = (bpe, decontamination, html_text, minhash, suffix_dedup, token_counts, toxicity, url_filter)
+from tillhouse.llm import (
+    bpe,
+    decontamination,
+    html_text,
+    minhash,
+    neighbours,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    url_filter,
+)
+
+_MODULES = (
+    neighbours,
+    bpe,
+    toxicity,
+    suffix_dedup,
+    token_counts,
+    url_filter,
+    decontamination,
+    html_text,
+    minhash,
+)
 
 
 def queries() -> dict[str, Callable]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,3 +37,24 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
 def repeat_rows(df: DataFrame, copies: str, columns: list[str]) -> DataFrame:
     """``columns`` of each row as many times as ``copies`` says."""
     return df.withColumn("copy_number", F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*columns)
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Runs of rows with equal keys, from batches sorted by them; a run is bounded by how rows are dealt."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        part = pa.concat_tables([rest, part]) if rest is not None else part
+        if not part.num_rows:
+            continue
+        part = part.combine_chunks()
+        columns = [part.column(key).to_numpy() for key in keys]
+        change = np.zeros(part.num_rows - 1, bool)
+        for column in columns:
+            change |= column[1:] != column[:-1]
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
+        for begin, end in zip(cuts, cuts[1:], strict=False):
+            yield part.slice(begin, end - begin)
+        rest = part.slice(cuts[-1])
+    if rest is not None and rest.num_rows:
+        yield rest

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm.common import slices, table
+from tillhouse.llm.common import slices, sorted_groups, table
 from tillhouse.llm.components import components
 from tillhouse.staging import pin
 
@@ -116,27 +116,6 @@ def _sign(words: int):
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Runs of rows with equal keys, from batches sorted by them; a run is bounded by how rows are dealt."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        part = pa.Table.from_batches([batch])
-        part = pa.concat_tables([rest, part]) if rest is not None else part
-        if not part.num_rows:
-            continue
-        part = part.combine_chunks()
-        columns = [part.column(key).to_numpy() for key in keys]
-        change = np.zeros(part.num_rows - 1, bool)
-        for column in columns:
-            change |= column[1:] != column[:-1]
-        cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
-        for begin, end in zip(cuts, cuts[1:], strict=False):
-            yield part.slice(begin, end - begin)
-        rest = part.slice(cuts[-1])
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
 def _stars(count: int, near: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
     """For each connected group of 0..count-1 its members with their first one; ``near(u, others)`` is a mask."""
     left, edges = np.arange(count), []
@@ -160,7 +139,7 @@ def _edges(group: pa.Table, near: Callable[[int, np.ndarray], np.ndarray], out:
 def _edge_batches(batches: Iterator[pa.RecordBatch], keys: list[str], near_of: Callable) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("u", pa.binary()), ("v", pa.binary())])
     out: dict[str, list] = {"u": [], "v": []}
-    for group in _groups(batches, keys):
+    for group in sorted_groups(batches, keys):
         if group.num_rows > 1:
             _edges(group, near_of(group), out)
         if len(out["u"]) > 20_000:
