@@ -8,6 +8,7 @@ from tillhouse.llm import (
     bpe,
     decontamination,
     html_text,
+    lm_score,
     minhash,
     neighbours,
     suffix_dedup,
@@ -19,6 +20,7 @@ from tillhouse.llm import (
 _MODULES = (
     neighbours,
     bpe,
+    lm_score,
     toxicity,
     suffix_dedup,
     token_counts,
