@@ -1,18 +1,58 @@
-"""The corpus pipeline over ``documents``: each stage works on all that the one before it kept."""
+"""The corpus pipeline over ``documents``: each stage works on all that the one before it kept.
+
+Toxic documents go, one document of each group of near duplicates stays, strings that also occur
+earlier are cut out, documents with benchmark passages go, and what is left is encoded. All stages but
+the last keep the columns of ``documents``. Rows without id or text take part as the operators say; an
+empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+from tillhouse.llm import bpe, decontamination, minhash, suffix_dedup, toxicity
+from tillhouse.llm.common import table
+from tillhouse.staging import shared_folder
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.keep_one(docs)
+
+
+def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix_dedup.cut_repeats(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.uncontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.digests(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("suffix_dedup", cut_repeated_strings),
+    ("decontamination", drop_contaminated),
+    ("byte_bpe", encode),
+]
 
+#: SQL cannot express the learned and tokenising stages; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}/{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -34,6 +34,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
+KEYS = ["key_no_id", "key_id", "key_text"]
+
+
+def row_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with what tells its rows apart in joins: rows equal in it have the same id and text."""
+    return docs.withColumns({
+        "key_no_id": F.col("doc_id").isNull(),
+        "key_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)),
+        "key_text": F.xxhash64("text"),
+    })
+
+
 def repeat_rows(df: DataFrame, copies: str, columns: list[str]) -> DataFrame:
     """``columns`` of each row as many times as ``copies`` says."""
     return df.withColumn("copy_number", F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*columns)

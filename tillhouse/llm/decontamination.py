@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm.common import ascii_lower, repeat_rows, table
+from tillhouse.llm.common import KEYS, ascii_lower, repeat_rows, row_keys, table
 from tillhouse.staging import pin
 
 WINDOW = 10
@@ -166,6 +166,16 @@ def find_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return full
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that share no window with the benchmark."""
+    found = find_hits(docs, benchmark).where("contaminated").select(
+        F.col("doc_id").isNull().alias("key_no_id"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("key_id"),
+        F.col("text_key").alias("key_text"),
+    )
+    return row_keys(docs).join(pin(found), KEYS, "left_anti").select(*docs.columns)
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = find_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return repeat_rows(found, "copies", RESULT)

@@ -3,8 +3,8 @@
 A text is its words (A-Z lower-cased) and one end. Each word becomes the subword ids of itself after a
 space; the end is an id of its own. The chance of an id is that of its class, from a causal attention
 model, times the id's share of its class, from the counts of all training documents. The frequent
-ids are classes of their own; rarer ones share classes by frequency, those that begin a word apart from
-the others. Overlapping windows score each id once. A whole word's chance is interpolated with its share
+ids are classes of their own; rarer ones share classes by the kind of text they occur in and frequency,
+those that begin a word apart from the others. Overlapping windows score each id once. A whole word's chance is interpolated with its share
 of the most frequent words, as is usual, so that the small network need not learn the lexicon.
 
 The base is a smoothed word model. Its counts also cover all training documents; the most frequent
@@ -32,13 +32,14 @@ from tillhouse.llm.common import remainder, slices, table
 from tillhouse.staging import pin
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Classes: ids of their own, shared ones for word beginnings and for others; input buckets likewise.
-OWN_CLASSES, SHARED_CLASSES = 80, 24
+#: Classes: ids of their own; the others by topic, word beginning or not, and level of frequency. Input
+#: buckets: ids of their own, and shared ones.
+OWN_CLASSES, TOPICS, LEVELS = 96, 8, 4
 OWN_BUCKETS, SHARED_BUCKETS = 2048, 256
 #: The attention model's weights come from windows of this many documents at most, this many each.
 SAMPLE_DOCS, SAMPLE_WINDOWS, EPOCHS = 3000, 8, 5
 #: What part of a word's chance is its share of the counted words; the network gives the rest.
-WORD_SHARE = 0.7
+WORD_SHARE = 0.5
 #: Words whose counts (16 bytes each) go to every worker; all others are joined.
 HEAD_WORDS = 1_000_000
 END = b"\n"  # no word holds white space
@@ -113,7 +114,8 @@ class Vocabulary:
         return int(self.buckets.max()) + 1, int(self.classes.max()) + 1
 
     @staticmethod
-    def of(counts: np.ndarray, path: str) -> Vocabulary:
+    def of(counts: np.ndarray, path: str, pieces: list[np.ndarray]) -> Vocabulary:
+        """From the counts of all ids and from pieces of texts, which show which ids occur together."""
         bpe, total = encoding(path), len(counts)
         begins = np.array([i == total - 1 or bpe.decode_single_token_bytes(i)[:1] == b" " for i in range(total)])
         order = np.lexsort((np.arange(total), -counts))
@@ -121,11 +123,18 @@ class Vocabulary:
         classes = np.empty(total, np.int64)
         classes[[*others[: OWN_CLASSES - 1], total - 1]] = np.arange(OWN_CLASSES)
         rest = others[OWN_CLASSES - 1 :]
-        for part, ids in enumerate((rest[begins[rest]], rest[~begins[rest]])):
-            # Classes of about the same number of occurrences.
-            weight = np.cumsum(counts[ids] + 0.5)
-            level = np.minimum((weight / weight[-1] * SHARED_CLASSES).astype(int), SHARED_CLASSES - 1)
-            classes[ids] = OWN_CLASSES + part * SHARED_CLASSES + level
+        topics = _topics(pieces, order[:256], total)
+        made = OWN_CLASSES
+        for topic in range(TOPICS):
+            for beginning in (True, False):
+                ids = rest[(topics[rest] == topic) & (begins[rest] == beginning)]
+                if not len(ids):
+                    continue
+                # Classes of about the same number of occurrences.
+                weight = np.cumsum(counts[ids] + 0.5)
+                level = np.unique(np.minimum((weight / weight[-1] * LEVELS).astype(int), LEVELS - 1), return_inverse=True)[1]
+                classes[ids] = made + level
+                made += int(level.max()) + 1
         mass = np.bincount(classes, counts + 0.5)
         buckets = np.empty(total, np.int64)
         buckets[order[:OWN_BUCKETS]] = 2 + np.arange(OWN_BUCKETS)
@@ -148,6 +157,29 @@ class Vocabulary:
         return np.concatenate(inputs), np.concatenate(targets), np.concatenate(marks)
 
 
+def _topics(pieces: list[np.ndarray], frequent: np.ndarray, total: int) -> np.ndarray:
+    """A topic (mostly a language) for every id: that of the pieces in which it occurs, grouped by frequent ids."""
+    if not pieces:
+        return np.zeros(total, np.int64)
+    column = np.full(total, -1)
+    column[frequent] = np.arange(len(frequent))
+    shares = np.zeros((len(pieces), len(frequent)))
+    for row, ids in zip(shares, pieces, strict=True):
+        at = column[ids]
+        np.add.at(row, at[at >= 0], 1)
+    shares = np.sqrt(shares)
+    shares /= np.linalg.norm(shares, axis=1, keepdims=True) + 1e-9
+    centres = shares[np.random.default_rng(17).permutation(len(shares))[:TOPICS]]
+    for _ in range(20):
+        nearest = (shares @ centres.T).argmax(axis=1)
+        centres = np.stack([shares[nearest == k].sum(axis=0) if (nearest == k).any() else centre for k, centre in enumerate(centres)])
+        centres /= np.linalg.norm(centres, axis=1, keepdims=True) + 1e-9
+    seen = np.zeros((total, TOPICS))
+    for ids, topic in zip(pieces, nearest.tolist(), strict=True):
+        np.add.at(seen, (ids, topic), 1)
+    return (seen / (seen.sum(axis=0) + 1)).argmax(axis=1)
+
+
 @dataclass
 class LanguageModel:
     vocabulary: Vocabulary
@@ -312,13 +344,13 @@ def score_texts(docs: DataFrame, is_training: str, path: str = RANKS, head_words
     id_counts = np.zeros(encoding(path).n_vocab + 1)
     id_counts[found["id"].to_numpy(np.int64)] = found["n"].to_numpy()
 
-    vocabulary = Vocabulary.of(id_counts, path)
-    network = attention.fresh(*vocabulary.sizes)
     chosen = training.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     sample = training.join(F.broadcast(chosen), "doc_id").mapInArrow(_sampled(path), "begins boolean, ids array<int>").collect()
+    pieces = [np.array(row["ids"], np.int64) for row in sample]
+    vocabulary = Vocabulary.of(id_counts, path, pieces)
+    network = attention.fresh(*vocabulary.sizes)
     if sample:
-        inputs, classes, marks = _training_windows(vocabulary, sample)
-        network = attention.train(network, inputs, classes, marks, EPOCHS)
+        network = attention.train(network, *_training_windows(vocabulary, [row["begins"] for row in sample], pieces), EPOCHS)
     model = LanguageModel(vocabulary, network)
 
     head = kept.orderBy(F.desc("c"), "word_key").limit(head_words)
@@ -357,11 +389,10 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"word_key": pa.array(keys, pa.int64()), "c": batch.column("c")})
 
 
-def _training_windows(vocabulary: Vocabulary, sample: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _training_windows(vocabulary: Vocabulary, begins: list[bool], pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inputs, classes, marks = [], [], []
-    for row in sample:
-        ids = np.array(row["ids"], np.int64)
-        if row["begins"]:
+    for begin, ids in zip(begins, pieces, strict=True):
+        if begin:
             x, y, m = vocabulary.windows([ids[:SCORED]])
         else:
             shifted = np.full(CONTEXT + SCORED, PAD, np.int64)

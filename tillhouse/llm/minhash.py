@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm.common import slices, sorted_groups, table
+from tillhouse.llm.common import KEYS, row_keys, slices, sorted_groups, table
 from tillhouse.llm.components import components
 from tillhouse.staging import pin
 
@@ -259,6 +259,23 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
+def keep_one(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
+    """``docs``, with all its columns, without near duplicates: of each component the row with the smallest id.
+
+    Of rows equal in doc_id and text one stays; different texts under one id both stay.
+    """
+    kept = near_duplicates(docs, words, percent).where("kept").select(
+        F.col("doc_id").isNull().alias("key_no_id"),
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("key_id"),
+        F.col("text_key").alias("key_text"),
+    )
+    counted = pin(kept.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("rows")))
+    found = row_keys(docs).join(counted.drop("rows"), KEYS, "left_semi")
+    if not counted.where("rows > 1").isEmpty():
+        found = found.dropDuplicates(KEYS)
+    return found.select(*docs.columns)
+
+
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents")).drop("text_key")
 

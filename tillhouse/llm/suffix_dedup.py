@@ -15,10 +15,12 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tillhouse.llm.common import slices, table
 from tillhouse.llm.suffix_array import suffix_array
@@ -306,50 +308,79 @@ def repeated_strings(texts: DataFrame, hot_runs: int = HOT_RUNS, array_bytes: in
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, 64):
-        out: dict[str, list] = {name: [] for name in ("doc_id", "text_key", "copy", "n_bytes", "n_removed", "n_spans", "kept")}
-        for row in batch.to_pylist():
-            data = row["text"].encode()
+        out: dict[str, list] = {name: [] for name in ("n_bytes", "n_removed", "n_spans", "kept")}
+        columns = [batch.column(name).to_pylist() for name in ("text", "runs", "copy")]
+        for text, runs, copy in zip(*columns, strict=True):
+            data = text.encode()
             size = len(data)
-            runs = [(0, size - SPAN + 1)] if row["copy"] > 1 and size >= SPAN else [(r["first"], r["size"]) for r in row["runs"] or []]
-            edge = np.zeros(size + 1, np.int64)
-            np.add.at(edge, [first for first, _ in runs], 1)
-            np.add.at(edge, [first + count + SPAN - 1 for first, count in runs], -1)
-            gone = np.cumsum(edge[:-1]) > 0
+            found = [(0, size - SPAN + 1)] if copy > 1 and size >= SPAN else [(run["first"], run["size"]) for run in runs or []]
+            gone = np.zeros(size, bool)
+            kept = data
+            if found:
+                edge = np.zeros(size + 1, np.int64)
+                np.add.at(edge, [first for first, _ in found], 1)
+                np.add.at(edge, [first + count + SPAN - 1 for first, count in found], -1)
+                gone = np.cumsum(edge[:-1]) > 0
+                kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
             spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
-            kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if runs else data
-            values = (None if row["no_id"] else row["doc_id"], row["text_key"], row["copy"], size, int(gone.sum()), spans, kept)
-            for name, value in zip(out, values, strict=True):
+            for name, value in zip(out, (size, int(gone.sum()), spans, kept), strict=True):
                 out[name].append(value)
-        kinds = [*[pa.int64()] * 6, pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
+        results = {name: pa.array(values, pa.binary() if name == "kept" else pa.int64()) for name, values in out.items()}
+        yield pa.RecordBatch.from_pydict({"row": batch.column("row")} | results)
 
 
-def remove_repeats(docs: DataFrame, hot_runs: int = HOT_RUNS, array_bytes: int = ARRAY_BYTES) -> DataFrame:
-    """doc_id, text_key, copy, n_bytes, n_removed, n_spans and kept (the remaining bytes) of every row.
-
-    A null text is empty. "Earlier" goes by doc_id, rows without one last, then by text_key (xxhash64
-    of the text) where different texts share an id; of equal rows the first (copy 1) is earlier, so
-    the others lose all bytes if they have SPAN or more. Other columns are ignored. Works through
-    stored tables when called.
-    """
+def _without_repeats(docs: DataFrame, rows: Column, hot_runs: int, array_bytes: int) -> DataFrame:
+    """``rows`` of ``docs`` (as row) with n_bytes, n_removed, n_spans and kept, the remaining bytes."""
     text = F.coalesce("text", F.lit(""))
     texts = docs.select(
         F.col("doc_id").isNull().alias("no_id"),
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("doc_id"),
         F.xxhash64(text).alias("text_key"),
         text.alias("text"),
+        rows.alias("row"),
     )
-    repeats = repeated_strings(texts, hot_runs, array_bytes)
+    repeats = repeated_strings(texts.drop("row"), hot_runs, array_bytes)
     of_doc = repeats.groupBy(*_KEY).agg(F.collect_list(F.struct("first", "size")).alias("runs"))
     joined = texts.join(of_doc, _KEY, "left")
     copy = F.lit(1)
     if not texts.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty():
         copy = F.row_number().over(Window.partitionBy(*_KEY).orderBy(F.lit(0)))
-    return joined.withColumn("copy", copy.cast("bigint")).mapInArrow(
-        _remove, "doc_id long, text_key long, copy long, n_bytes long, n_removed long, n_spans long, kept binary"
+    kind = texts.schema["row"].dataType.simpleString()
+    return joined.select("row", "text", "runs", copy.alias("copy")).mapInArrow(
+        _remove, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
     )
 
 
+def remove_repeats(docs: DataFrame, hot_runs: int = HOT_RUNS, array_bytes: int = ARRAY_BYTES) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes) of every row.
+
+    A null text is empty. "Earlier" goes by doc_id, rows without one last, then by xxhash64 of the
+    text where different texts share an id; of equal rows one is first, and the others lose all bytes
+    if they have SPAN or more. Other columns are ignored. Works through stored tables when called.
+    """
+    found = _without_repeats(docs, F.struct("doc_id"), hot_runs, array_bytes)
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept")
+
+
+@F.pandas_udf(StringType())
+def _whole_characters(parts: pd.Series) -> pd.Series:
+    return pd.Series([bytes(part).decode("utf-8", "ignore") for part in parts], dtype=object)
+
+
+def cut_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with repeated strings cut out of text; a character that loses a byte goes whole.
+
+    n_chars, if there is one, follows the text. Null texts stay null; no row goes.
+    """
+    found = _without_repeats(docs, F.struct(*docs.columns), HOT_RUNS, ARRAY_BYTES)
+    text = F.when(F.col("n_removed") > 0, _whole_characters("kept")).otherwise(F.col("row.text"))
+    fresh = found.withColumn("new_text", text)
+    columns = {name: F.col(f"row.{name}") for name in docs.columns} | {"text": F.col("new_text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length("new_text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+    return fresh.select(*[column.alias(name) for name, column in columns.items()])
+
+
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     removed = remove_repeats(table(spark, folder, "documents"))
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

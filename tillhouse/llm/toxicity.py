@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -190,8 +191,8 @@ def _score(model: Model, threshold: float):
                 spans, odds = sentences(text or "")
                 scores.append(noisy_or(odds))
                 offending.append([{"first": spans[i][0], "past": spans[i][1]} for i in np.flatnonzero(odds >= limit).tolist()])
-            others = {name: batch.column(name) for name in batch.schema.names}
-            yield pa.RecordBatch.from_pydict(others | {
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id"),
                 "toxicity_score": pa.array(scores, pa.float64()),
                 "offending": pa.array(offending, pa.list_(pa.struct([("first", pa.int32()), ("past", pa.int32())]))),
             })
@@ -200,13 +201,25 @@ def _score(model: Model, threshold: float):
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with all its columns, toxicity_score and offending, the places of sentences that alone reach ``threshold``.
+    """doc_id, toxicity_score and offending, the places of sentences that alone reach ``threshold``.
 
-    Needs a column text; a null or empty one counts as one sentence without words. Repeated rows stay.
+    A null or empty text counts as one sentence without words. Repeated rows and null ids stay, other
+    columns are ignored.
     """
     added = "toxicity_score double, offending array<struct<first:int,past:int>>"
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_score(model, threshold), f"{columns}, {added}")
+    return docs.select("doc_id", "text").mapInArrow(_score(model, threshold), f"doc_id long, {added}")
+
+
+def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score less than ``threshold``."""
+
+    @F.pandas_udf("double")
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        sentences = Scorer(model).sentences
+        for texts in batches:
+            yield pd.Series([noisy_or(sentences(text or "")[1]) for text in texts], dtype=float)
+
+    return docs.where(scores("text") < threshold)
 
 
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
