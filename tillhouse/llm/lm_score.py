@@ -37,9 +37,9 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 OWN_CLASSES, TOPICS, LEVELS = 96, 8, 4
 OWN_BUCKETS, SHARED_BUCKETS = 2048, 256
 #: The attention model's weights come from windows of this many documents at most, this many each.
-SAMPLE_DOCS, SAMPLE_WINDOWS, EPOCHS = 3000, 8, 5
+SAMPLE_DOCS, SAMPLE_WINDOWS, EPOCHS = 2500, 10, 4
 #: What part of a word's chance is its share of the counted words; the network gives the rest.
-WORD_SHARE = 0.5
+WORD_SHARE = 0.4
 #: Words whose counts (16 bytes each) go to every worker; all others are joined.
 HEAD_WORDS = 1_000_000
 END = b"\n"  # no word holds white space
