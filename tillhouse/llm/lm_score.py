@@ -163,11 +163,11 @@ def _topics(pieces: list[np.ndarray], frequent: np.ndarray, total: int) -> np.nd
         return np.zeros(total, np.int64)
     column = np.full(total, -1)
     column[frequent] = np.arange(len(frequent))
-    shares = np.zeros((len(pieces), len(frequent)))
+    shares = np.zeros((len(pieces), len(frequent)), np.float32)
     for row, ids in zip(shares, pieces, strict=True):
         at = column[ids]
         np.add.at(row, at[at >= 0], 1)
-    shares = np.sqrt(shares)
+    np.sqrt(shares, out=shares)
     shares /= np.linalg.norm(shares, axis=1, keepdims=True) + 1e-9
     centres = shares[np.random.default_rng(17).permutation(len(shares))[:TOPICS]]
     for _ in range(20):
@@ -340,22 +340,35 @@ def score_texts(docs: DataFrame, is_training: str, path: str = RANKS, head_words
     counted = pin(training.mapInArrow(_count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")))
     total, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     kept = counted.mapInArrow(_keyed, "word_key long, c long")
-    found = counted.mapInArrow(_count_ids(path), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    found = counted.mapInArrow(_count_ids(path), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     id_counts = np.zeros(encoding(path).n_vocab + 1)
-    id_counts[found["id"].to_numpy(np.int64)] = found["n"].to_numpy()
+    id_counts[found["id"].to_numpy()] = found["n"].to_numpy()
 
     chosen = training.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    sample = training.join(F.broadcast(chosen), "doc_id").mapInArrow(_sampled(path), "begins boolean, ids array<int>").collect()
-    pieces = [np.array(row["ids"], np.int64) for row in sample]
+    sample = training.join(F.broadcast(chosen), "doc_id").mapInArrow(_sampled(path), "begins boolean, ids array<int>").toArrow()
+    ids = sample["ids"].combine_chunks()
+    places = ids.offsets.to_numpy()
+    pieces = np.split(ids.flatten().to_numpy().astype(np.int64), places[1:-1] - places[0]) if len(ids) else []
     vocabulary = Vocabulary.of(id_counts, path, pieces)
     network = attention.fresh(*vocabulary.sizes)
-    if sample:
-        network = attention.train(network, *_training_windows(vocabulary, [row["begins"] for row in sample], pieces), EPOCHS)
+    if pieces:
+        network = attention.train(network, *_training_windows(vocabulary, sample["begins"].to_pylist(), pieces), EPOCHS)
+    del sample, ids, pieces
     model = LanguageModel(vocabulary, network)
 
-    head = kept.orderBy(F.desc("c"), "word_key").limit(head_words)
-    head = head.toPandas().sort_values("word_key")
-    keys, counts = head["word_key"].to_numpy(np.int64), head["c"].to_numpy(np.int64)
+    # The most frequent words, by the levels of frequency that hold head_words of them at most.
+    level = F.floor(F.log2("c") * 8).cast("int")
+    levels = counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()
+    held, least = 0, None
+    for row in sorted(levels, key=lambda row: -row["level"]):
+        held += row["words"]
+        if held > head_words:
+            break
+        least = row["level"]
+    head = kept.where(level >= least) if least is not None else kept.limit(0)
+    head = head.toArrow().sort_by("word_key")
+    keys, counts = head["word_key"].to_numpy(), head["c"].to_numpy()
+    del head
     shared = spark.sparkContext.broadcast((model, keys, counts, path))
     kinds = (
         "row_id long, doc_id long, n_tokens long, head_known long, head_base double, rare array<long>, times array<int>, score double"
@@ -363,7 +376,7 @@ def score_texts(docs: DataFrame, is_training: str, path: str = RANKS, head_words
     numbered = texts.withColumn("row_id", F.monotonically_increasing_id())
     scored = pin(numbered.mapInArrow(_score(shared), kinds))
 
-    if distinct > head_words:
+    if distinct > len(keys):
         rare = scored.select("row_id", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row_id", F.col("w.rare").alias("word_key"), "w.times")
         c = F.coalesce("c", F.lit(0))
         looked_up = rare.join(kept, "word_key", "left").groupBy("row_id").agg(
