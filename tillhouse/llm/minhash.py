@@ -10,7 +10,6 @@ too different; what it leaves falls into families, and within these the full set
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ BANDS, ROWS = 42, 6
 BUCKET, FAMILY = 2048, 1024
 #: Two-bit coordinates of 252 that a pair at 0.8 shares, less five standard deviations (0.85 - 5 * 0.0225).
 SKETCH_LEAST = int(BANDS * ROWS * (0.85 - 5 * 0.0225))
-_WORD_MEMORY = 1_000_000
+_WORD_MEMORY = 200_000
 _FIRST, _SECOND, _THIRD = np.uint32(0x7FEB352D), np.uint32(0x846CA68B), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,11 +60,6 @@ class Shingler:
         return np.unique((shingles ^ (shingles >> np.uint64(32))) * _THIRD)
 
 
-@cache
-def shingler(words: int) -> Shingler:
-    return Shingler(words)
-
-
 def signature(shingles: np.ndarray) -> np.ndarray:
     """All coordinates of a non-empty set, from the two permutations."""
     placed = shingles.astype(np.uint32) ^ (shingles >> np.uint64(32)).astype(np.uint32)
@@ -92,7 +86,7 @@ _SIGNED = pa.schema([
 
 def _sign(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles_of = shingler(words)
+        shingles_of = Shingler(words)
         for batch in slices(batches):
             sizes, nodes, bands, sketches = [], [], [], []
             for text in batch.column("text").to_pylist():
@@ -190,7 +184,7 @@ def _linked_sets(percent: int):
 
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles_of = shingler(words)
+        shingles_of = Shingler(words)
         for batch in slices(batches, 64):
             sets = [shingles_of(text).tobytes() for text in batch.column("text").to_pylist()]
             others = {name: batch.column(name) for name in ("node", "family", "members")}

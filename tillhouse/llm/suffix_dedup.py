@@ -29,8 +29,8 @@ from tillhouse.staging import pin
 SPAN, GRAM = 100, 32
 WIDTH = SPAN - GRAM + 1
 #: Bytes of runs in one suffix array, about; runs of a piece beyond which its strings are dealt out singly.
-ARRAY_BYTES, HOT_RUNS = 2_000_000, 10_000
-_BATCH_BYTES = 8_000_000
+ARRAY_BYTES, HOT_RUNS = 1_000_000, 10_000
+_BATCH_BYTES = 4_000_000
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 _KEY = ["no_id", "doc_id", "text_key"]
 _ORDER = ["no_id", "doc_id", "text_key", "first"]

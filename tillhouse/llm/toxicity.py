@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +26,7 @@ from tillhouse.staging import pin
 SAMPLE, FEATURES = 20_000, 4096
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
-_REMEMBERED = 500_000
+_REMEMBERED = 150_000
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -91,7 +90,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen = found.setdefault(feature, [0, 0])
                 seen[0] += 1
                 seen[1] += toxic
-            if len(found) > 400_000:
+            if len(found) > 150_000:
                 yield flush()
     yield flush()
 
@@ -213,13 +212,13 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, with all their columns, that score less than ``threshold``."""
 
-    @F.pandas_udf("double")
-    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sentences = Scorer(model).sentences
-        for texts in batches:
-            yield pd.Series([noisy_or(sentences(text or "")[1]) for text in texts], dtype=float)
+        for batch in slices(batches):
+            texts = batch.column("text").to_pylist()
+            yield batch.filter(pa.array([noisy_or(sentences(text or "")[1]) < threshold for text in texts], pa.bool_()))
 
-    return docs.where(scores("text") < threshold)
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
