@@ -69,7 +69,7 @@ def test_calendar_filters_prune_partitions(tables):
 
 def test_only_needed_columns_are_read(tables):
     plan = plan_of(dws.store_range_flow(tables("dwd.transaction")))
-    assert "ReadSchema: struct<transaction_id:int,store_id:int,tran_range:bigint>" in plan
+    assert "ReadSchema: struct<transaction_id:bigint,store_id:bigint,tran_range:bigint>" in plan
 
 
 def test_customer_level_of_the_stored_cube_is_one_partition(spark, tables, tmp_path):

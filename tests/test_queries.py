@@ -7,13 +7,15 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from tillhouse import oracles
+from tillhouse import queries as registered
 from tillhouse.queries import Tables
 
 from tests.conftest import SMALL
 from tests.helpers import row_set, rows_of
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = registered.queries()
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +44,10 @@ def test_query(spark, oracle, name):
     assert rows_of(df) == row_set(columns, result.fetchall())
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() == 1
 

@@ -5,8 +5,11 @@ from __future__ import annotations
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
-from tillhouse.plans.warehouse import LAYERS, Databases, build_layer, load_raw
+from tillhouse import settings
+from tillhouse.plans import warehouse
+from tillhouse.plans.warehouse import LAYERS, Databases, RejectedRows, build_layer, load_raw
 from tillhouse.queries import Tables
 from tillhouse.sinks import export_database
 from tillhouse.sources import list_tables, read_jdbc_table, read_table
@@ -41,7 +44,7 @@ def databases(spark):
 
 def test_all_tables_are_stored(spark, databases):
     sizes = [len(list_tables(spark, name)) for name in (databases.ods, databases.dwd, databases.dws, databases.ads)]
-    assert sizes == [4, 4, 20, 22]
+    assert sizes == [4, 7, 20, 22]  # with the three checks of the detail layer's inputs
 
 
 @pytest.mark.parametrize(
@@ -64,6 +67,41 @@ def test_stored_table_equals_query(spark, databases, name):
     assert rows_of(stored) == rows_of(Tables(spark, SMALL)(name))
 
 
+def test_bad_rows_are_stored_counted_and_can_end_the_run(spark):
+    suffix = uuid.uuid4().hex[:8]
+    names = Databases(*(f"{layer}_{suffix}" for layer in ("ods", "dwd", "dws", "ads")))
+    good = '{"transaction_id":"3000000000","customer_id":"1","store_id":"1","price":"1.00","product":"p","date":"2020-1-1","time":"1:2:3"}'
+    bad = [good.replace(a, b) for a, b in (("2020-1-1", "2020-2-30"), ("1:2:3", "49:2:3"), ("3000000000", "x"), ("1.00", "y"))]
+    lines = spark.createDataFrame([(line,) for line in [good, good, *bad, "no json"]], "value string")
+    reviews = spark.createDataFrame([('{"transaction_id":"3000000000","store_id":"1","review_score":"5"}',)], "value string")
+    customers = read_input(spark, SMALL, "customer")
+    load_raw(spark, customers.union(customers.limit(1)), read_input(spark, SMALL, "store"), lines, reviews, names)
+    try:
+        with pytest.raises(RejectedRows):
+            build_layer(spark, "dwd", names, fail_on_rejects=True)
+        found = build_layer(spark, "dwd", names)
+        assert found["rejected_transaction"] == 5 and found["duplicate_transaction_id"] == 2  # the id, and no id
+        reasons = {r.reason for r in read_table(spark, names.dwd, "rejected_transaction").collect()}
+        assert reasons == {"datetime", "transaction_id", "price"}
+        assert read_table(spark, names.dwd, "transaction").where("transaction_id >= 3000000000").count() == 6
+    finally:
+        for name in (names.ods, names.dwd):
+            spark.sql(f"drop database {name} cascade")
+
+
+def test_dense_rows_are_not_moved(spark, databases):
+    """The customers are spread before their months are generated, and written from there."""
+    t = Tables(spark, SMALL)
+    cube = warehouse.DWS["transaction_by_ymc"](t)
+    lines = cube._jdf.queryExecution().executedPlan().toString().splitlines()
+    generate = next(i for i, line in enumerate(lines) if "Generate explode" in line)
+    assert not any("Exchange" in line for line in lines[:generate])
+    assert any("REPARTITION_BY_NUM" in line for line in lines[generate:])
+    stored = read_table(spark, databases.dws, "transaction_by_ymc").where("tran_year is not null")
+    files = stored.select("tran_year", "tran_month", F.input_file_name().alias("file")).distinct()
+    assert files.groupBy("tran_year", "tran_month").count().agg(F.max("count")).first()[0] <= settings.CUBE_TASKS
+
+
 def test_partitions(spark, databases):
     partitions = spark.sql(f"show partitions {databases.dwd}.transaction").collect()
     assert partitions[0][0].startswith("tran_year=2015/tran_quarter=1/tran_month=")

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 def iso_datetime(text: Column) -> Column:
     """``y-m-d h:m[:s]`` with unpadded parts to a timestamp without time zone.
 
-    Hours 24 to 47 belong to the next day. Null for anything else: missing time, impossible day,
-    year that does not have four digits, hour past 47, letters.
+    Hours 24 to 47 belong to the next day. What follows a second space is ignored. Null for anything
+    else: missing time, impossible day, year that does not have four digits, hour past 47, letters.
     """
     halves = F.split(text, " ")
     return _assembled(F.split(F.get(halves, F.lit(0)), "-"), F.split(F.get(halves, F.lit(1)), ":"))

@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def whole_number(text: Column, type_name: str = "int") -> Column:
+def whole_number(text: Column, type_name: str = "bigint") -> Column:
     """Text to integer: fractions are cut off (``12.7`` is 12), anything else that is no number is null."""
     leading_digits = F.regexp_extract(text, r"^\s*([+-]?\d+)\.\d*\s*$", 1)
     return F.coalesce(text.try_cast(type_name), leading_digits.try_cast(type_name))

@@ -1,71 +1,49 @@
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tillhouse import settings
 from tillhouse.operators.positions import global_positions, running_total
 from tillhouse.staging import pin
 
 LARGEST = {"int": 2**31 - 1, "bigint": 2**63 - 1}
 
 
-def reassign_duplicate_ids(
-    rows: DataFrame, key: str, order: list[str], hot_rows: int = settings.HOT_ROWS
-) -> DataFrame:
+def reassign_duplicate_ids(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Keep the first row of each id, give every further row a new id above the largest one.
 
     New ids count up in the order of (old id, ``order``), nulls first; the rows without an id form
     one group. ``order`` names all other columns, so rows that tie are identical. No row is dropped.
 
-    The place of a row among the surplus rows is the number of surplus rows with smaller ids, a
-    running total over the duplicated ids only, plus its rank inside its own id. The detail rows are
-    shuffled once, by id. Ids with more than ``hot_rows`` rows do not go through that shuffle: there
-    are at most (all rows / ``hot_rows``) of them, and their rows are ranked by a range sort.
+    Rows of ids that occur once pass unchanged. The others are range-sorted as a whole, so an id may
+    hold any part of the rows; a row's new id is the largest id, plus its place among them, less the
+    number of repeated ids up to its own, since the first row of each keeps its id. That number is a
+    running total over the repeated ids only. Runs jobs when called: the repeated ids and the sorted
+    rows are stored.
     """
     id_type = rows.schema[key].dataType.simpleString()
     found = Observation()
-    is_blank = F.col(key).isNull()
-    group_sizes = (
+    sizes = (
         rows.groupBy(key)
         .agg(F.count(F.lit(1)).alias("size"))
-        .observe(
-            found,
-            F.max(key).alias("largest_id"),
-            F.max("size").alias("largest_group"),
-            F.max(F.when(is_blank, F.col("size"))).alias("blank_rows"),
-        )
+        .observe(found, F.max(key).alias("largest_id"), F.max(F.when(F.col(key).isNull(), F.col("size"))).alias("blanks"))
     )
-    repeated = pin(group_sizes.where("size > 1"))
+    repeated = pin(sizes.where("size > 1").select(F.col(key).alias("old_id")))
     largest_id = F.lit(found.get["largest_id"]).cast("bigint")
-    blank_surplus = max((found.get["blank_rows"] or 0) - 1, 0)
-    hot = repeated.where(F.col("size") > hot_rows) if (found.get["largest_group"] or 0) > hot_rows else None
-
-    surplus = repeated.where(~is_blank).select(key, (F.col("size") - 1).alias("surplus"))
-    bits = 32 if id_type == "int" else 64
-    smaller = running_total(surplus, key, "surplus", "smaller_ids", bits)
-
-    def numbered(ranked: DataFrame, smaller_ids: DataFrame) -> DataFrame:
-        before = F.when(is_blank, F.lit(0)).otherwise(F.lit(blank_surplus) + F.coalesce("smaller_ids", F.lit(0)))
-        new_id = _within(largest_id + before + F.col("rank") - 1, id_type)
-        return ranked.join(smaller_ids, key, "left").select(
-            F.when(F.col("rank") == 1, F.col(key)).otherwise(new_id).alias(key), *order
-        )
-
-    in_order = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    if hot is None:
-        return numbered(rows.withColumn("rank", F.row_number().over(in_order)), smaller)
-
-    hot_keys = F.broadcast(hot.select(F.col(key).alias("hot_key"), F.col("size").alias("hot_size")))
-    same = F.col(key).eqNullSafe(F.col("hot_key"))
-    cold = rows.join(hot_keys, same, "left_anti").withColumn("rank", F.row_number().over(in_order))
-    placed = global_positions(rows.join(hot_keys, same, "left_semi").select(key, *order))
-    # One row per hot id.
-    earlier = Window.orderBy(F.col("hot_key").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    starts = hot_keys.select("hot_key", F.coalesce(F.sum("hot_size").over(earlier), F.lit(0)).alias("start"))
-    ranked_hot = placed.join(F.broadcast(starts), same).select(
-        key, *order, (F.col("position") - F.col("start") + 1).alias("rank")
+    same = F.col(key).eqNullSafe(F.col("old_id"))
+    once = rows.join(repeated, same, "left_anti").select(key, *order)
+    placed = global_positions(rows.join(repeated, same, "left_semi").select(key, *order))
+
+    ids = repeated.where(F.col("old_id").isNotNull())
+    smaller = running_total(ids.withColumn("one", F.lit(1)), "old_id", "one", "smaller", 32 if id_type == "int" else 64)
+    starts = placed.groupBy(F.col(key).alias("old_id")).agg(F.min("position").alias("start"))
+    of_id = starts.join(smaller, "old_id", "left")
+    blank_ids = int((found.get["blanks"] or 0) > 1)
+    # Repeated ids up to the row's own, the rows without an id first.
+    up_to = F.when(F.col("old_id").isNull(), F.lit(1)).otherwise(F.col("smaller") + F.lit(1 + blank_ids))
+    new_id = _within(largest_id + F.col("position") + 1 - up_to, id_type)
+    again = placed.join(of_id, same).select(
+        F.when(F.col("position") == F.col("start"), F.col(key)).otherwise(new_id).alias(key), *order
     )
-    hot_smaller = F.broadcast(smaller.join(hot_keys, F.col(key) == F.col("hot_key"), "left_semi"))
-    return numbered(cold, smaller).unionByName(numbered(ranked_hot, hot_smaller))
+    return once.unionByName(again)
 
 
 def _within(value: Column, type_name: str) -> Column:

@@ -84,8 +84,8 @@ _CTE |= {
       from ods_customer""",
     "dwd_store": "select store_id, store_name, employee_number from ods_store where store_id is not null",
     "typed_transaction": """
-      select cast(transaction_id as int) as transaction_id, cast(customer_id as int) as customer_id,
-        cast(store_id as int) as store_id, cast(price as decimal(10,2)) as price, product,
+      select cast(transaction_id as bigint) as transaction_id, cast(customer_id as bigint) as customer_id,
+        cast(store_id as bigint) as store_id, cast(price as decimal(10,2)) as price, product,
         make_timestamp(cast(split_part(date, '-', 1) as bigint), cast(split_part(date, '-', 2) as bigint),
             cast(split_part(date, '-', 3) as bigint), cast(split_part(time, ':', 1) as bigint) % 24,
             cast(split_part(time, ':', 2) as bigint), cast(split_part(time, ':', 3) as double))
@@ -101,7 +101,7 @@ _CTE |= {
         customer_id, store_id, price, product, tran_time
       from ranked_transaction where place > 1""",
     "dwd_transaction": """
-      select cast(transaction_id as int) as transaction_id, customer_id, store_id, price, product,
+      select cast(transaction_id as bigint) as transaction_id, customer_id, store_id, price, product,
         strftime(tran_time, '%Y-%m-%dT%H:%M:%S') as tran_dt, cast(year(tran_time) as int) as tran_year,
         cast(quarter(tran_time) as int) as tran_quarter, cast(month(tran_time) as int) as tran_month,
         (day(tran_time) + 6) // 7 as tran_month_week, cast(day(tran_time) as int) as tran_day,

@@ -42,7 +42,10 @@ def customer_top10_by_sum_amount(by_customer: DataFrame, customer: DataFrame) ->
 
 def credit_type(by_cgc: DataFrame) -> DataFrame:
     """All card types ranked by their number of customers."""
-    return top_dense(by_cgc.where("gid = 6"), "agg_cnt", None).select("credit_type", "rnk").orderBy("rnk")
+    # One row per card type meets in the window.
+    largest_first = Window.orderBy(F.col("agg_cnt").desc_nulls_last())
+    ranked = by_cgc.where("gid = 6").select("credit_type", F.dense_rank().over(largest_first).alias("rnk"))
+    return ranked.orderBy("rnk")
 
 
 def uq_customer_cnt_by_year_quarter(by_quarter_week: DataFrame) -> DataFrame:

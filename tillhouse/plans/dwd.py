@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tillhouse import settings
 from tillhouse.functions import calendar_columns, email_domain, iso_text, money, whole_number, with_iso_datetime
 from tillhouse.operators import reassign_duplicate_ids
 
@@ -31,15 +30,15 @@ def _with_tran_time(raw: DataFrame) -> DataFrame:
     return with_iso_datetime(raw, "tran_time", F.concat_ws(" ", "date", "time"))
 
 
-def transaction(raw: DataFrame, id_type: str = "int", hot_rows: int = settings.HOT_ROWS) -> DataFrame:
+def transaction(raw: DataFrame) -> DataFrame:
     """The fact table: typed, with a repaired datetime, unique ids and calendar fields.
 
     Every raw row is kept. A repeated id stays with its earliest row; the other rows get new ids
     above the largest one. A row whose datetime cannot be read has null time fields and is listed by
-    ``rejected_transactions``. ``id_type="bigint"`` lifts the limit of 2**31 rows.
+    ``rejected_transactions``. The call itself runs jobs: it stores the repeated ids and their sorted rows.
     """
     typed = _with_tran_time(raw).select(
-        whole_number(F.col("transaction_id"), id_type).alias("transaction_id"),
+        whole_number(F.col("transaction_id")).alias("transaction_id"),
         "tran_time",
         whole_number(F.col("customer_id")).alias("customer_id"),
         whole_number(F.col("store_id")).alias("store_id"),
@@ -47,7 +46,7 @@ def transaction(raw: DataFrame, id_type: str = "int", hot_rows: int = settings.H
         "product",
     )
     unique = reassign_duplicate_ids(
-        typed, "transaction_id", ["tran_time", "customer_id", "store_id", "price", "product"], hot_rows
+        typed, "transaction_id", ["tran_time", "customer_id", "store_id", "price", "product"]
     )
     return unique.select(
         "transaction_id",
@@ -60,9 +59,9 @@ def transaction(raw: DataFrame, id_type: str = "int", hot_rows: int = settings.H
     )
 
 
-def duplicate_transaction_ids(raw: DataFrame, id_type: str = "int") -> DataFrame:
+def duplicate_transaction_ids(raw: DataFrame) -> DataFrame:
     """Ids on more than one raw row, with the number of rows."""
-    ids = raw.select(whole_number(F.col("transaction_id"), id_type).alias("transaction_id"))
+    ids = raw.select(whole_number(F.col("transaction_id")).alias("transaction_id"))
     return ids.groupBy("transaction_id").count().where("count > 1")
 
 
@@ -90,9 +89,8 @@ def review(raw: DataFrame, tran: DataFrame) -> DataFrame:
     task. Ids repeat on the review side only, so a much reviewed transaction is split by the adaptive
     skew join.
     """
-    id_type = tran.schema["transaction_id"].dataType.simpleString()
     typed = raw.select(
-        whole_number(F.col("transaction_id"), id_type).alias("transaction_id"),
+        whole_number(F.col("transaction_id")).alias("transaction_id"),
         whole_number(F.col("store_id")).alias("review_store"),
         F.col("review_score").try_cast("decimal(3,2)").alias("review_score"),
     )
@@ -106,7 +104,7 @@ def review(raw: DataFrame, tran: DataFrame) -> DataFrame:
         "review_score",
     )
     unmatched = scored.where(~has_id).select(
-        "transaction_id", F.lit(None).cast("int").alias("store_id"), "review_score"
+        "transaction_id", F.lit(None).cast("bigint").alias("store_id"), "review_score"
     )
     return matched.unionByName(unmatched)
 

@@ -141,12 +141,14 @@ def transaction_by_customer(tran: DataFrame, customer: DataFrame, dates: DataFra
     return customers.select("customer_id", *_measures(F.col("amount"), F.col("number"), F.col("copies")))
 
 
-def transaction_by_ymc(tran: DataFrame, customer: DataFrame, dates: DataFrame) -> DataFrame:
+def transaction_by_ymc(tran: DataFrame, customer: DataFrame, dates: DataFrame, tasks: int | None = None) -> DataFrame:
     """Amounts per customer and month (gid 0) and per customer (gid 6), months without sales as zeros.
 
     Every customer appears in every month of the calendar. That dense result is generated from one
     row per customer after the join, so only one row per customer and active month is ever shuffled.
-    A customer's active months are a map bounded by the calendar.
+    A customer's active months are a map bounded by the calendar. ``tasks`` spreads the customers over
+    that many tasks before the rows are generated, for writing them from there: a month gets as many
+    files at most.
     """
     monthly = (
         _in_calendar(tran, dates)
@@ -160,6 +162,8 @@ def transaction_by_ymc(tran: DataFrame, customer: DataFrame, dates: DataFrame) -
     )
     customers = _customer_copies(customer).join(active, "customer_id", "left")
     history = customers.withColumn("months", calendar_months(dates))
+    if tasks:
+        history = history.repartition(tasks)
 
     # Month 0 stands for the customer level; a calendar without a month has no customer rows either.
     levels = F.when(F.size("months") > 0, F.concat(F.array(F.lit(0)), F.col("months")))
@@ -275,8 +279,8 @@ def transaction_by_store(tran: DataFrame) -> DataFrame:
     )
 
 
-def _store_weeks(tran: DataFrame) -> DataFrame:
-    """Per store: revenue, mean weekly distinct customers, weeks among the top three by revenue."""
+def _store_weeks(tran: DataFrame, week_top: int) -> DataFrame:
+    """Per store: revenue, mean weekly distinct customers, weeks among the ``week_top`` by revenue."""
     week = ["tran_year", "tran_month", "tran_month_week"]
     weekly = tran.groupBy("store_id", *week).agg(
         F.sum("price").alias("amount"), F.count_distinct("customer_id").alias("customers")
@@ -288,7 +292,7 @@ def _store_weeks(tran: DataFrame) -> DataFrame:
         .agg(
             F.sum("amount").cast(AMOUNT).alias("sum_amount"),
             F.avg("customers").alias("week_avg_uq_counter_cnt"),
-            F.count_if(F.col("week_rnk") <= settings.WEEK_TOP).alias("week_top3_count"),
+            F.count_if(F.col("week_rnk") <= week_top).alias("week_top3_count"),
         )
         .where("week_top3_count > 0")
     )
@@ -302,15 +306,19 @@ def _store_new_customers(tran: DataFrame) -> DataFrame:
     return gained.groupBy("store_id").agg(F.avg("gained").alias("avg_month_add_customer_cnt"))
 
 
-def store_tran_factor(tran: DataFrame, review: DataFrame) -> DataFrame:
+def store_tran_factor(
+    tran: DataFrame,
+    review: DataFrame,
+    week_top: int = settings.WEEK_TOP,
+    weights: dict[str, float] = settings.SALE_WEIGHTS,
+) -> DataFrame:
     """Sales quality of a store: six measures, each divided by its maximum, weighted and rounded to
     four places before they are added. Stores that lack a measure are left out."""
     buyers = tran.groupBy("store_id").agg(F.count_distinct("customer_id").alias("total_uq_customer_cnt"))
     scores = review.groupBy("store_id").agg(F.avg("review_score").alias("avg_review_score"))
     measures = (
-        _store_weeks(tran).join(buyers, "store_id").join(_store_new_customers(tran), "store_id").join(scores, "store_id")
+        _store_weeks(tran, week_top).join(buyers, "store_id").join(_store_new_customers(tran), "store_id").join(scores, "store_id")
     )
-    weights = settings.SALE_WEIGHTS
     scored = measures.withColumn("maxima", column_maxima(measures, list(weights)))
     terms = [term.cast("decimal(5,4)") for term in weighted_terms(weights, "maxima")]
     return scored.select("store_id", sum(terms[1:], terms[0]).alias("sale_factor"))
@@ -336,7 +344,13 @@ def store_range_flow(tran: DataFrame) -> DataFrame:
     return tran.groupBy("store_id", "tran_range").agg(F.count("transaction_id").alias("range_flow"))
 
 
-def store_faith_factor(tran: DataFrame, dates: DataFrame, recent_measure: str = "mean_id") -> DataFrame:
+def store_faith_factor(
+    tran: DataFrame,
+    dates: DataFrame,
+    recent_measure: str = "mean_id",
+    recent_days: dict[str, int] = settings.RECENT_DAYS,
+    weights: dict[str, float] = settings.FAITH_WEIGHTS,
+) -> DataFrame:
     """Loyalty of a customer to a store, for pairs with a purchase in the last 21 days.
 
     The measures named ``sum_count_recent_*`` are means of the transaction ids in the published
@@ -347,15 +361,16 @@ def store_faith_factor(tran: DataFrame, dates: DataFrame, recent_measure: str =
     """
     pair = ["store_id", "customer_id"]
     last = dates.agg(F.max(transaction_date()).alias("day"))
-    earliest = F.date_sub("day", max(settings.RECENT_DAYS.values()))
+    earliest = F.date_sub("day", max(recent_days.values()))
     first_month = last.select(month_number(F.year(earliest), F.month(earliest))).scalar()
     age = F.datediff(last.scalar(), transaction_date())
 
     recent_measures = []
-    for name, span in settings.RECENT_DAYS.items():
+    for name, span in recent_days.items():
         inside = F.col("age") <= span
         number = F.count(F.when(inside, F.col("transaction_id")))
-        mean_id = ratio(F.sum(F.when(inside, F.col("transaction_id"))), number)
+        id_sum = F.sum(F.when(inside, F.col("transaction_id").cast("decimal(20,0)"))).cast("double")
+        mean_id = ratio(id_sum, number)
         measure = number.cast("double") if recent_measure == "count" else mean_id
         recent_measures += [
             F.count_if(inside).alias(f"rows_{name}"),
@@ -367,7 +382,7 @@ def store_faith_factor(tran: DataFrame, dates: DataFrame, recent_measure: str =
         .withColumn("age", age)
         .groupBy(*pair)
         .agg(*recent_measures)
-        .where(" and ".join(f"rows_{name} > 0" for name in settings.RECENT_DAYS))
+        .where(" and ".join(f"rows_{name} > 0" for name in recent_days))
     )
     monthly = tran.groupBy(*pair, "tran_year", "tran_month").agg(
         F.sum("price").alias("amount"), F.count("transaction_id").alias("number")
@@ -384,7 +399,6 @@ def store_faith_factor(tran: DataFrame, dates: DataFrame, recent_measure: str =
             *[F.max(column).alias(column) for column in kept],  # the same in every row of a pair
         )
     )
-    weights = settings.FAITH_WEIGHTS
     scored = measures.withColumn("maxima", column_maxima(measures, list(weights)))
     terms = weighted_terms(weights, "maxima")
     return scored.select(*pair, sum(terms[1:], terms[0]).cast("decimal(5,4)").alias("faith_factor"))
@@ -396,8 +410,8 @@ def store_faith_factor(tran: DataFrame, dates: DataFrame, recent_measure: str =
 def review_coverage(tran: DataFrame, review: DataFrame) -> DataFrame:
     """Scored reviews per transaction row of the left join transaction to review; one row.
 
-    Only transactions with a review take part in a join: the others add one each to the divisor, so
-    they are counted without a shuffle.
+    Ids without a review add one each to the divisor and are only counted; the join that finds the
+    others moves the id of every transaction, and no other column, unless the reviews are broadcast.
     """
     per_id = review.groupBy("transaction_id").agg(
         F.count("review_score").alias("scored"), (F.count(F.lit(1)) - 1).alias("further")

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse import schemas
+from tillhouse import schemas, settings
 from tillhouse.plans import ads, dwd, dws, ods
 from tillhouse.sinks import create_database, save_table
 from tillhouse.sources import read_table
@@ -31,6 +31,9 @@ PARTITIONS = {
     "dws.transaction_by_ymc": ("tran_year", "tran_month"),
 }
 
+# Written by the tasks that generate the rows: dense rows are not moved again.
+SPREAD = {"dws.transaction_by_ymc"}
+
 # Every entry takes a function from "layer.table" to its DataFrame. The order is the build order.
 DWD: dict[str, Callable[[Tables], DataFrame]] = {
     "customer": lambda t: dwd.customer(t("ods.customer")),
@@ -46,7 +49,7 @@ DWS: dict[str, Callable[[Tables], DataFrame]] = {
     "customer_by_email": lambda t: dws.customer_by_email(t("dwd.customer")),
     "transaction_by_dim_date": lambda t: dws.transaction_by_dim_date(t("dwd.transaction"), t("dws.dim_date")),
     "transaction_by_ymc": lambda t: dws.transaction_by_ymc(
-        t("dwd.transaction"), t("dwd.customer"), t("dws.dim_date")
+        t("dwd.transaction"), t("dwd.customer"), t("dws.dim_date"), settings.CUBE_TASKS
     ),
     "transaction_product": lambda t: dws.transaction_product(t("dwd.transaction")),
     "transaction_by_country": lambda t: dws.transaction_by_country(t("dwd.transaction"), t("dwd.customer")),
@@ -132,8 +135,27 @@ def load_raw(
         save_table(df, databases.ods, name)
 
 
-def build_layer(spark: SparkSession, layer: str, databases: Databases = Databases()) -> list[str]:
-    """Compute and store all tables of one layer from the stored layers below it."""
+# What the detail layer's inputs are checked for; stored beside it.
+QUALITY: dict[str, Callable[[Tables], DataFrame]] = {
+    "rejected_transaction": lambda t: dwd.rejected_transactions(t("ods.transaction")),
+    "duplicate_transaction_id": lambda t: dwd.duplicate_transaction_ids(t("ods.transaction")),
+    "repeated_dimension_key": lambda t: dwd.repeated_dimension_keys(t("ods.customer"), t("ods.store")),
+}
+
+
+class RejectedRows(RuntimeError):
+    """Raw rows that cannot be read, in a run that must not have any."""
+
+
+def build_layer(
+    spark: SparkSession, layer: str, databases: Databases = Databases(), fail_on_rejects: bool = False
+) -> dict[str, int]:
+    """Compute and store all tables of one layer from the stored layers below it.
+
+    With the detail layer goes a table for each check of its inputs; their row counts are returned
+    (nothing for other layers). ``fail_on_rejects`` ends the run, after these tables are stored, if a
+    datetime or number cannot be read; otherwise such rows stay in the fact with null fields.
+    """
 
     def table(name: str) -> DataFrame:
         if name == "dws.transaction_by_customer":
@@ -143,7 +165,16 @@ def build_layer(spark: SparkSession, layer: str, databases: Databases = Database
 
     database = getattr(databases, layer)
     create_database(spark, database)
+    found: dict[str, int] = {}
+    if layer == "dwd":
+        for name, check in QUALITY.items():
+            save_table(check(table), database, name)
+            found[name] = read_table(spark, database, name).count()
+        if fail_on_rejects and found["rejected_transaction"]:
+            raise RejectedRows(f"{found['rejected_transaction']} rows in {database}.rejected_transaction")
     for name, build in LAYERS[layer].items():
         with temporary(spark):
-            save_table(build(table), database, name, PARTITIONS.get(f"{layer}.{name}", ()))
-    return list(LAYERS[layer])
+            full_name = f"{layer}.{name}"
+            partitions = PARTITIONS.get(full_name, ())
+            save_table(build(table), database, name, partitions, rebalance=full_name not in SPREAD)
+    return found

@@ -25,8 +25,12 @@ _stored: dict[tuple, DataFrame | str] = {}
 def _contents(spark: SparkSession, folder: str) -> tuple:
     """Names, sizes and times of the input files, so that changed inputs are read anew."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        file = files.next()
+        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(found))
 
 
 class Tables:

@@ -1,4 +1,7 @@
-"""Values that decide results, in one place. Every function that uses one takes it as a parameter."""
+"""Values that decide results, in one place. Every function that uses one takes it as a parameter.
+
+``COPY_CHUNK`` decides no result and is read where it is used.
+"""
 
 # They must equal the published warehouse's for the same results.
 COUNTRY_COLUMNS = {"china_cnt": "China", "usa_cnt": "United States", "canada_cnt": "Canada"}
@@ -38,5 +41,5 @@ FAITH_WEIGHTS = {
 CALENDAR = ["tran_year", "tran_quarter", "tran_month", "tran_month_week", "tran_day", "tran_range"]
 
 # Sizing, no effect on results.
-HOT_ROWS = 10_000_000  # an id with more rows than this is ranked by a range sort, not in one task
+CUBE_TASKS = 64  # tasks that write the customer-month table, and files of one month at most
 COPY_CHUNK = 1_000_000  # exact copies of one row are written back in pieces of this many

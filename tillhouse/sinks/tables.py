@@ -15,14 +15,15 @@ def save_table(
     partition_by: tuple[str, ...] = (),
     table_format: str = "orc",
     mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> None:
     """Replace a managed catalog table.
 
     Partitioned tables are rebalanced on the partition columns first, so that a partition gets few
     files of the advisory size: small partitions share a task and a large one is split over several.
-    Other tables are written by the tasks that computed them.
+    Other tables, and all without ``rebalance``, are written by the tasks that computed them.
     """
-    if partition_by:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = df.write.mode(mode).format(table_format)
     if partition_by:

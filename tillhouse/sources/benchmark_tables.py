@@ -47,7 +47,7 @@ REVIEW = """
 select cast(o_orderkey as varchar(20)) as transaction_id,
   case when o_orderkey % 11 = 0 then null else cast(o_orderkey % 90 as varchar(20)) end as store_id,
   case when o_orderkey % 13 = 0 then null else cast(5 - (o_orderkey % 7) % 5 as varchar(20)) end as review_score
-from {orders} where o_orderkey % 3 <> 0
+from {orders}
 """
 
 INPUT_SQL = {"customer": CUSTOMER, "store": STORE, "transaction": TRANSACTION, "review": REVIEW}

@@ -11,12 +11,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_folders: dict[str, str] = {}
-_scopes: list[list[str]] = []
+#: Paths of the innermost ``temporary`` block of this thread or task; None outside.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -34,19 +36,29 @@ def shared_folder(spark: SparkSession) -> str:
 
 def _fresh_path(spark: SparkSession) -> str:
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
+    else:  # goes with the session at the latest
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return path
 
 
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
-    """Tables pinned inside the block are deleted at its end, when their readers have been stored."""
-    _scopes.append([])
+    """Tables pinned inside the block are deleted at its end, when their readers have been stored.
+
+    Blocks in other threads keep their own tables. What is pinned outside any block is deleted when
+    the session's JVM ends.
+    """
+    before = _scope.set([])
     try:
         yield
     finally:
-        for name in _scopes.pop():
+        names = _scope.get()
+        _scope.reset(before)
+        for name in names:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
