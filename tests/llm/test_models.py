@@ -204,6 +204,18 @@ def test_chances_sum_to_one_and_windows_score_once():
     assert np.allclose(network.log_chance(changed, targets)[:, :-1], network.log_chance(inputs, targets)[:, :-1])
 
 
+def test_scoring_equals_the_trained_model():
+    rng = np.random.default_rng(4)
+    network = attention.fresh(12, 7)
+    inputs, targets = rng.integers(0, 12, (70, attention.CONTEXT + attention.SCORED)), rng.integers(0, 7, (70, attention.SCORED))
+    inputs[:, attention.CONTEXT] = 1
+    logits = network._forward(inputs)["logits"].reshape(70, attention.SCORED, -1)
+    want = np.take_along_axis(logits, targets[:, :, None], 2)[:, :, 0] - np.log(np.exp(logits).sum(axis=2))
+    assert np.allclose(network.log_chance(inputs, targets), want, atol=1e-4)
+    network.weights["bias"] = network.weights["bias"] + np.float32(100)  # a constant changes nothing
+    assert np.allclose(network.log_chance(inputs, targets), want, atol=1e-3)
+
+
 def test_gradients_agree_with_differences():
     rng = np.random.default_rng(3)
     network = attention.fresh(12, 7)

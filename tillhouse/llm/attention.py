@@ -19,6 +19,10 @@ PAD = 0
 _CAUSAL = np.where(np.arange(CONTEXT + SCORED)[None, :] <= CONTEXT + np.arange(SCORED)[:, None], 0, -30).astype(np.float32)
 
 
+_MAY_ATTEND = (_CAUSAL == 0).astype(np.float32)
+_BATCH = 32
+
+
 @dataclass
 class Model:
     """Weights by name: embedding, position, query, key, value, mix, output, bias."""
@@ -45,16 +49,40 @@ class Model:
         return {"h": flat, "late": late, "q": q, "k": k, "v": v, "attention": scores, "seen": seen, "out": out, "logits": logits}
 
     def log_chance(self, buckets: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """Natural log of the chance of each scored position's class; any number of windows, in batches."""
+        """Natural log of the chance of each scored position's class; any number of windows, in batches.
+
+        The same model as ``_forward`` with fewer passes over the large arrays.
+        """
+        w = self.weights
+        scaled, both = w["query"] * np.float32(HEAD**-0.5), np.hstack([w["key"], w["value"]])
         found = np.empty(classes.shape, np.float32)
-        for start in range(0, len(buckets), 64):
-            logits = self._forward(buckets[start : start + 64])["logits"]
-            target = classes[start : start + 64].reshape(-1)
+        for start in range(0, len(buckets), _BATCH):
+            some = buckets[start : start + _BATCH]
+            count = len(some)
+            h = w["embedding"][some]
+            h += w["position"]
+            late = np.ascontiguousarray(h[:, CONTEXT:]).reshape(-1, WIDTH)
+            k_and_v = (h.reshape(-1, WIDTH) @ both).reshape(count, CONTEXT + SCORED, 2 * HEAD)
+            attended = (late @ scaled).reshape(count, SCORED, HEAD) @ k_and_v[:, :, :HEAD].transpose(0, 2, 1)
+            if max(attended.max(), -attended.min()) > 30:
+                np.clip(attended, -30, 30, out=attended)
+            np.exp(attended, out=attended)
+            attended *= _MAY_ATTEND
+            padded = some == PAD
+            if padded.any():
+                attended *= ~padded[:, None, :]
+            seen = attended @ k_and_v[:, :, HEAD:]
+            seen /= attended.sum(axis=2, keepdims=True) + np.float32(1e-20)
+            logits = (late + seen.reshape(-1, HEAD) @ w["mix"]) @ w["output"]
+            logits += w["bias"]
+            target = classes[start : start + _BATCH].reshape(-1)
             picked = logits[np.arange(len(target)), target]
-            top = logits.max(axis=1)
-            logits -= top[:, None]
+            if logits.max() > 60:
+                top = logits.max(axis=1)
+                logits -= top[:, None]
+                picked -= top
             np.exp(logits, out=logits)
-            found[start : start + 64] = (picked - top - np.log(logits.sum(axis=1))).reshape(-1, SCORED)
+            found[start : start + _BATCH] = (picked - np.log(logits.sum(axis=1))).reshape(-1, SCORED)
         return found
 
     def _gradients(self, buckets: np.ndarray, classes: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:

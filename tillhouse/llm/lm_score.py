@@ -272,10 +272,21 @@ class _Words:
         return self.flat[np.arange(ends[-1]) + np.repeat(self.begins[places] - ends + lengths, lengths)]
 
 
+class _Shared:
+    """What every worker gets once; the words it has met stay with it from task to task."""
+
+    def __init__(self, model: LanguageModel, keys: np.ndarray, counts: np.ndarray, path: str):
+        self.model, self.head, self.met = model, (keys, counts, path), None
+
+    def words(self) -> _Words:
+        self.met = self.met or _Words(*self.head)
+        return self.met
+
+
 def _score(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, keys, counts_of, path = shared.value
-        words_known, total = _Words(keys, counts_of, path), int(counts_of.sum())
+        model, words_known = shared.value.model, shared.value.words()
+        total = int(words_known.counts.sum())
         for batch in slices(batches, 64):
             count = batch.num_rows
             size, known, base = [0] * count, [0] * count, [0.0] * count
@@ -369,7 +380,7 @@ def score_texts(docs: DataFrame, is_training: str, path: str = RANKS, head_words
     head = head.toArrow().sort_by("word_key")
     keys, counts = head["word_key"].to_numpy(), head["c"].to_numpy()
     del head
-    shared = spark.sparkContext.broadcast((model, keys, counts, path))
+    shared = spark.sparkContext.broadcast(_Shared(model, keys, counts, path))
     kinds = (
         "row_id long, doc_id long, n_tokens long, head_known long, head_base double, rare array<long>, times array<int>, score double"
     )
