@@ -34,7 +34,8 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
-def _fresh_path(spark: SparkSession) -> str:
+def fresh_path(spark: SparkSession) -> str:
+    """A path in the shared folder that is deleted with its ``temporary`` block, or with the session."""
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
     scope = _scope.get()
     if scope is not None:
@@ -65,7 +66,7 @@ def temporary(spark: SparkSession) -> Iterator[None]:
 
 def pin(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once to a fresh table in the shared folder and return a reader of it."""
-    path = _fresh_path(df.sparkSession)
+    path = fresh_path(df.sparkSession)
     if partition_by:
         df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by).orc(path)
     else:
@@ -75,6 +76,6 @@ def pin(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
 
 def land_lines(df: DataFrame) -> str:
     """Write each row as one JSON line to fresh text files, as a log collector does; returns the folder."""
-    path = _fresh_path(df.sparkSession)
+    path = fresh_path(df.sparkSession)
     df.select(F.to_json(F.struct("*"))).write.text(path)
     return path
