@@ -8,13 +8,11 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tillhouse.llm import bpe, decontamination, minhash, suffix_dedup, toxicity
 from tillhouse.llm.common import table
-from tillhouse.staging import shared_folder
+from tillhouse.staging import fresh_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +49,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}/{name}"
+    for _, stage in STAGES:
+        path = fresh_path(spark)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
