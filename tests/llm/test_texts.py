@@ -43,6 +43,8 @@ def test_bpe_equals_the_library(spark, step, overlap):
     library = bpe.encoding(bpe.RANKS)
     want = [(i, np.array(library.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for i, t in rows]
     assert sorted(((r[0], bytes(r[1]), bytes(r[2])) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    at_once = bpe.encode(documents(spark, rows), step=step, overlap=overlap, decoded=True)
+    assert sorted(((r[0], bytes(r[1]), bytes(r[2])) for r in at_once.collect()), key=repr) == sorted(want, key=repr)
 
 
 @pytest.mark.parametrize("step,overlap", [(65_536, 512), (300, 60)])

@@ -18,7 +18,7 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.llm.common import slices, table
@@ -48,25 +48,34 @@ def _pre_tokens():
     return scan
 
 
-def _encode(ranks: str):
+def _encode(ranks: str, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoding(ranks)
         for batch in slices(batches):
-            ids = [np.array(bpe.encode_ordinary(text), "<u4").tobytes() for text in batch.column("text").to_pylist()]
-            others = {name: batch.column(name) for name in batch.schema.names if name != "text"}
-            yield pa.RecordBatch.from_pydict(others | {"ids": pa.array(ids, pa.binary())})
+            ids = [bpe.encode_ordinary(text) for text in batch.column("text").to_pylist()]
+            columns = {name: batch.column(name) for name in batch.schema.names if name != "text"}
+            columns["ids"] = pa.array([np.array(some, "<u4").tobytes() for some in ids], pa.binary())
+            if decoded:
+                columns["decoded"] = pa.array([bpe.decode_bytes(some) for some in ids], pa.binary())
+            yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
-def encode(docs: DataFrame, ranks: str = RANKS, step: int = 65_536, overlap: int = 512) -> DataFrame:
+def encode(
+    docs: DataFrame, ranks: str = RANKS, step: int = 65_536, overlap: int = 512, decoded: bool = False
+) -> DataFrame:
     """doc_id and ids (little-endian unsigned 32-bit) of every whole text; null counts as empty.
 
+    With ``decoded`` also the bytes that the ids stand for, decoded in the same pass.
+
     Repeated rows and null ids stay, other columns are ignored. A text is one row before and after,
     so a row's ids take memory in proportion to its text. Stores the long texts when called.
     """
+    names = ["ids", "decoded"] if decoded else ["ids"]
+    kinds = ", ".join(f"{name} binary" for name in names)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    short = texts.where(F.length("text") <= step).mapInArrow(_encode(ranks), "doc_id long, ids binary")
+    short = texts.where(F.length("text") <= step).mapInArrow(_encode(ranks, decoded), f"doc_id long, {kinds}")
     long_texts = pin(texts.where(F.length("text") > step).select(F.monotonically_increasing_id().alias("row_id"), "*"))
     if long_texts.isEmpty():
         return short
@@ -75,13 +84,14 @@ def encode(docs: DataFrame, ranks: str = RANKS, step: int = 65_536, overlap: int
     pieces = chunks.select(
         "row_id", "chunk", F.substr("text", (F.col("begin") - F.col("start") + 1).cast("int"), size).alias("text")
     )
-    parts = F.sort_array(F.collect_list(F.struct("chunk", F.hex("ids").alias("ids"))))
-    joined = (
-        pieces.mapInArrow(_encode(ranks), "row_id long, chunk long, ids binary")
-        .groupBy("row_id")
-        .agg(F.unhex(F.array_join(F.transform(parts, lambda part: part["ids"]), "")).alias("ids"))
-    )
-    return short.unionByName(long_texts.select("row_id", "doc_id").join(joined, "row_id").select("doc_id", "ids"))
+
+    def in_order(name: str) -> Column:
+        parts = F.sort_array(F.collect_list(F.struct("chunk", F.hex(name).alias("part"))))
+        return F.unhex(F.array_join(F.transform(parts, lambda part: part["part"]), "")).alias(name)
+
+    encoded = pieces.mapInArrow(_encode(ranks, decoded), f"row_id long, chunk long, {kinds}")
+    joined = encoded.groupBy("row_id").agg(*map(in_order, names))
+    return short.unionByName(long_texts.select("row_id", "doc_id").join(joined, "row_id").select("doc_id", *names))
 
 
 def _decode(ranks: str):
@@ -101,7 +111,7 @@ def decode(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
 
 
 def digests(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
-    return decode(encode(docs, ranks), ranks).select(
+    return encode(docs, ranks, decoded=True).select(
         "doc_id",
         (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

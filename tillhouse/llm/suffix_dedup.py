@@ -15,12 +15,10 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from tillhouse.llm.common import slices, table
 from tillhouse.llm.suffix_array import suffix_array
@@ -307,6 +305,15 @@ def repeated_strings(texts: DataFrame, hot_runs: int = HOT_RUNS, array_bytes: in
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _removed(batches, as_text=False)
+
+
+def _remove_as_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _removed(batches, as_text=True)
+
+
+def _removed(batches: Iterator[pa.RecordBatch], as_text: bool) -> Iterator[pa.RecordBatch]:
+    """With ``as_text`` the remaining bytes as a string; a character that lost a byte goes whole."""
     for batch in slices(batches, 64):
         out: dict[str, list] = {name: [] for name in ("n_bytes", "n_removed", "n_spans", "kept")}
         columns = [batch.column(name).to_pylist() for name in ("text", "runs", "copy")]
@@ -323,14 +330,16 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 gone = np.cumsum(edge[:-1]) > 0
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
             spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
+            kept = kept.decode("utf-8", "ignore") if as_text else kept
             for name, value in zip(out, (size, int(gone.sum()), spans, kept), strict=True):
                 out[name].append(value)
-        results = {name: pa.array(values, pa.binary() if name == "kept" else pa.int64()) for name, values in out.items()}
+        kind = pa.string() if as_text else pa.binary()
+        results = {name: pa.array(values, kind if name == "kept" else pa.int64()) for name, values in out.items()}
         yield pa.RecordBatch.from_pydict({"row": batch.column("row")} | results)
 
 
-def _without_repeats(docs: DataFrame, rows: Column, hot_runs: int, array_bytes: int) -> DataFrame:
-    """``rows`` of ``docs`` (as row) with n_bytes, n_removed, n_spans and kept, the remaining bytes."""
+def _without_repeats(docs: DataFrame, rows: Column, hot_runs: int, array_bytes: int, as_text: bool) -> DataFrame:
+    """``rows`` of ``docs`` (as row) with n_bytes, n_removed, n_spans and kept, the remaining bytes or text."""
     text = F.coalesce("text", F.lit(""))
     texts = docs.select(
         F.col("doc_id").isNull().alias("no_id"),
@@ -347,7 +356,8 @@ def _without_repeats(docs: DataFrame, rows: Column, hot_runs: int, array_bytes:
         copy = F.row_number().over(Window.partitionBy(*_KEY).orderBy(F.lit(0)))
     kind = texts.schema["row"].dataType.simpleString()
     return joined.select("row", "text", "runs", copy.alias("copy")).mapInArrow(
-        _remove, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept binary"
+        _remove_as_text if as_text else _remove,
+        f"row {kind}, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}",
     )
 
 
@@ -358,22 +368,17 @@ def remove_repeats(docs: DataFrame, hot_runs: int = HOT_RUNS, array_bytes: int =
     text where different texts share an id; of equal rows one is first, and the others lose all bytes
     if they have SPAN or more. Other columns are ignored. Works through stored tables when called.
     """
-    found = _without_repeats(docs, F.struct("doc_id"), hot_runs, array_bytes)
+    found = _without_repeats(docs, F.struct("doc_id"), hot_runs, array_bytes, as_text=False)
     return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept")
 
 
-@F.pandas_udf(StringType())
-def _whole_characters(parts: pd.Series) -> pd.Series:
-    return pd.Series([bytes(part).decode("utf-8", "ignore") for part in parts], dtype=object)
-
-
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated strings cut out of text; a character that loses a byte goes whole.
 
     n_chars, if there is one, follows the text. Null texts stay null; no row goes.
     """
-    found = _without_repeats(docs, F.struct(*docs.columns), HOT_RUNS, ARRAY_BYTES)
-    text = F.when(F.col("n_removed") > 0, _whole_characters("kept")).otherwise(F.col("row.text"))
+    found = _without_repeats(docs, F.struct(*docs.columns), HOT_RUNS, ARRAY_BYTES, as_text=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("row.text"))
     fresh = found.withColumn("new_text", text)
     columns = {name: F.col(f"row.{name}") for name in docs.columns} | {"text": F.col("new_text")}
     if "n_chars" in columns:
