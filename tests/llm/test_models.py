@@ -179,6 +179,15 @@ def test_word_base_by_brute_force(spark, head_words, monkeypatch):
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_word_shares_do_not_depend_on_the_head(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "EPOCHS", 1)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(60).coalesce(1)
+    scores = [{r.doc_id: r.score for r in lm_score.score_texts(docs, IN_FOLD, head_words=n).collect()} for n in (1, 100, 1_000_000)]
+    assert scores[0].keys() == scores[1].keys() == scores[2].keys()
+    for i, score in scores[2].items():
+        assert math.isclose(scores[0][i], score, rel_tol=1e-5) and math.isclose(scores[1][i], score, rel_tol=1e-5)
+
+
 def test_without_training_texts(spark):
     df = spark.createDataFrame([(1, None), (2, "a b")], "doc_id long, text string")
     rows = {r.doc_id: r for r in lm_score.score_texts(df, "false").collect()}

@@ -5,9 +5,9 @@ space; the end is an id of its own. The chance of an id is that of its class, fr
 model, times the id's share of its class, from the counts of all training documents. The frequent
 ids are classes of their own; rarer ones share classes by the kind of text they occur in and frequency,
 those that begin a word apart from the others. Overlapping windows score each id once. A whole word's chance is interpolated with its share
-of the most frequent words, as is usual, so that the small network need not learn the lexicon.
+of all training words, as is usual, so that the small network need not learn the lexicon.
 
-The base is a smoothed word model. Its counts also cover all training documents; the most frequent
+The base is a smoothed word model. Both take their counts from all training documents; the most frequent
 words are looked up where the text is, all others through a join.
 """
 
@@ -185,13 +185,17 @@ class LanguageModel:
     vocabulary: Vocabulary
     network: attention.Model
 
-    def score(self, texts: list[np.ndarray], lengths: list[np.ndarray], counts: list[np.ndarray], total: int) -> np.ndarray:
+    def score(
+        self, texts: list[np.ndarray], lengths: list[np.ndarray], counts: list[np.ndarray], total: int, joined: bool
+    ) -> tuple[np.ndarray, list[np.ndarray]]:
         """log10 of the chance of each text: its ids (the end included), ids in each word, counts of the words.
 
-        A word's chance is ``WORD_SHARE`` of its share of the ``total`` counted words and the rest of
-        what the network says of its ids; words without a count only have the latter.
+        A word's chance is ``WORD_SHARE`` of its share of the ``total`` training words and the rest of
+        what the network says of its ids; words without a count only have the latter. If counts are
+        ``joined`` later, words whose count is -1 are left out of the scores, and log10 of the network's
+        part of each comes beside them.
         """
-        scores = np.zeros(len(texts))
+        scores, left = np.zeros(len(texts)), [np.zeros(0)] * len(texts)
         windows, part = 0, []
         word_share = WORD_SHARE if total else 0.0
         for i, ids in enumerate(texts):
@@ -208,9 +212,13 @@ class LanguageModel:
                 if word_share:
                     by_word[seen] = np.logaddexp(by_word[seen], np.log(word_share * counted[seen] / total))
                 words = np.array([len(lengths[j]) for j in part])
+                if joined:
+                    for j, chances in zip(part, np.split(by_word, np.cumsum(words)[:-1]), strict=True):
+                        left[j] = chances[counts[j] < 0] / np.log(10)
+                    by_word[counted < 0] = 0
                 scores[part] = np.add.reduceat(by_word, np.cumsum(words) - words)
                 windows, part = 0, []
-        return scores / np.log(10)
+        return scores / np.log(10), left
 
 
 def _sampled(path: str):
@@ -275,8 +283,9 @@ class _Words:
 class _Shared:
     """What every worker gets once; the words it has met stay with it from task to task."""
 
-    def __init__(self, model: LanguageModel, keys: np.ndarray, counts: np.ndarray, path: str):
+    def __init__(self, model: LanguageModel, keys: np.ndarray, counts: np.ndarray, path: str, total: int, joined: bool):
         self.model, self.head, self.met = model, (keys, counts, path), None
+        self.total, self.joined = total, joined
 
     def words(self) -> _Words:
         self.met = self.met or _Words(*self.head)
@@ -286,14 +295,14 @@ class _Shared:
 def _score(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, words_known = shared.value.model, shared.value.words()
-        total = int(words_known.counts.sum())
+        total, joined = shared.value.total, shared.value.joined
         for batch in slices(batches, 64):
             count = batch.num_rows
             size, known, base = [0] * count, [0] * count, [0.0] * count
             ids: list[list[np.ndarray]] = [[] for _ in range(count)]
             lengths: list[list[np.ndarray]] = [[] for _ in range(count)]
             seen: list[list[np.ndarray]] = [[] for _ in range(count)]
-            rare: list[Counter[int]] = [Counter() for _ in range(count)]
+            rare: list[list[np.ndarray]] = [[] for _ in range(count)]
             waiting: list[tuple[int, list[bytes]]] = []
 
             def flush() -> None:
@@ -301,11 +310,11 @@ def _score(shared: Broadcast):
                 for i, words in waiting:
                     places = np.fromiter(map(words_known.known.__getitem__, words), np.int64, len(words))
                     counts = words_known.counted[places]
-                    head = counts >= 0
+                    head = counts >= 0 if joined else np.ones(len(counts), bool)
                     size[i] += len(places)
                     known[i] += int((counts > 0).sum())
                     base[i] += float(words_known.terms[places][head].sum())
-                    rare[i].update(words_known.joined[places[~head]].tolist())
+                    rare[i].append(words_known.joined[places[~head]])
                     ids[i].append(words_known.ids_of(places))
                     lengths[i].append(words_known.lengths[places])
                     seen[i].append(counts)
@@ -322,16 +331,15 @@ def _score(shared: Broadcast):
                         held = 0
                 waiting.append((i, [END]))
             flush()
-            rows = [(size[i], known[i], base[i], list(rare[i]), list(rare[i].values())) for i in range(count)]
-            scores = model.score(*([np.concatenate(x) for x in parts] for parts in (ids, lengths, seen)), total)
-            columns = [*zip(*rows, strict=True)]
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
-            names = ["n_tokens", "head_known", "head_base", "rare", "times"]
+            scores, left = model.score(*([np.concatenate(x) for x in parts] for parts in (ids, lengths, seen)), total, joined)
+            columns = [size, known, base, [np.concatenate(x) for x in rare], left]
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float64())]
+            names = ["n_tokens", "head_known", "head_base", "rare", "chances"]
             others = {name: batch.column(name) for name in ("row_id", "doc_id")}
             yield pa.RecordBatch.from_pydict(
                 others
                 | {name: pa.array(values, kind) for name, values, kind in zip(names, columns, kinds, strict=True)}
-                | {"score": pa.array(scores, pa.float64())}
+                | {"head_score": pa.array(scores, pa.float64())}
             )
 
     return run
@@ -380,30 +388,33 @@ def score_texts(docs: DataFrame, is_training: str, path: str = RANKS, head_words
     head = head.toArrow().sort_by("word_key")
     keys, counts = head["word_key"].to_numpy(), head["c"].to_numpy()
     del head
-    shared = spark.sparkContext.broadcast(_Shared(model, keys, counts, path))
+    joined = distinct > len(keys)  # else every word of the training documents is in the head: the others have no count
+    shared = spark.sparkContext.broadcast(_Shared(model, keys, counts, path, total, joined))
     kinds = (
-        "row_id long, doc_id long, n_tokens long, head_known long, head_base double, rare array<long>, times array<int>, score double"
+        "row_id long, doc_id long, n_tokens long, head_known long, head_base double, rare array<long>, chances array<double>, head_score double"
     )
     numbered = texts.withColumn("row_id", F.monotonically_increasing_id())
     scored = pin(numbered.mapInArrow(_score(shared), kinds))
 
-    if distinct > len(keys):
-        rare = scored.select("row_id", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row_id", F.col("w.rare").alias("word_key"), "w.times")
+    if joined:
+        rare = scored.select("row_id", F.explode(F.arrays_zip("rare", "chances")).alias("w")).select("row_id", F.col("w.rare").alias("word_key"), "w.chances")
         c = F.coalesce("c", F.lit(0))
+        share = F.log10(F.lit(WORD_SHARE) * c / F.lit(float(total)))
+        both = F.greatest("chances", share) + F.log10(1 + F.pow(F.lit(10.0), -F.abs(F.col("chances") - share)))
         looked_up = rare.join(kept, "word_key", "left").groupBy("row_id").agg(
-            F.sum(F.col("times") * F.log10(c + 0.5)).alias("rare_base"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known")
-        )
+            F.sum(F.log10(c + 0.5)).alias("rare_base"), F.sum((c > 0).cast("long")).alias("rare_known"),
+            F.sum(F.when(c > 0, both).otherwise(F.col("chances"))).alias("rare_score"),
+        )
         scored = scored.join(looked_up, "row_id", "left")
-    else:  # every word of the training documents is in the head: the others have no count
-        times = F.aggregate("times", F.lit(0), lambda a, b: a + b)
-        scored = scored.withColumns({"rare_base": times * F.log10(F.lit(0.5)), "rare_known": F.lit(0)})
+    else:
+        scored = scored.withColumns({"rare_base": F.lit(0.0), "rare_known": F.lit(0), "rare_score": F.lit(0.0)})
     per_token = F.log10(F.lit(total + 0.5 * (distinct + 1)))
     return scored.select(
         "doc_id", "n_tokens",
         (F.col("head_known") + F.coalesce("rare_known", F.lit(0))).cast("bigint").alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         (F.col("head_base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * per_token).alias("base_score"),
-        "score",
+        (F.col("head_score") + F.coalesce("rare_score", F.lit(0.0))).alias("score"),
     )
 
 
