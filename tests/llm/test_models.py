@@ -188,6 +188,39 @@ def test_word_shares_do_not_depend_on_the_head(spark, monkeypatch):
         assert math.isclose(scores[0][i], score, rel_tol=1e-5) and math.isclose(scores[1][i], score, rel_tol=1e-5)
 
 
+def test_order_of_words_outside_the_sample_counts(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "SAMPLE_DOCS", 1)
+    monkeypatch.setattr(lm_score, "EPOCHS", 1)
+    docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(40).collect()]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    training = frame(docs).where(IN_FOLD).select("doc_id")
+    first = training.orderBy(F.xxhash64("doc_id"), "doc_id").first().doc_id
+    trained = {r.doc_id for r in training.collect()}
+    turned = [(i, " ".join(t.split()[::-1]) if i in trained and i != first else t) for i, t in docs]
+    scores = [{r.doc_id: r.score for r in lm_score.score_texts(frame(rows), IN_FOLD).collect()} for rows in (docs, turned)]
+    held = [i for i, _ in docs if i not in trained]
+    assert held and all(not math.isclose(scores[0][i], scores[1][i], rel_tol=1e-6) for i in held)
+
+
+def test_all_windows_are_learned_from(spark):
+    path = lm_score.RANKS
+    rows = [(i, "one two three four five " * (i * 30)) for i in range(1, 30)] + [(None, None), (3, "again"), (3, "again")]
+    rows += [(50, "a very long text of words " * 20_000)]
+    texts = spark.createDataFrame([(i, t or "") for i, t in rows], "doc_id long, text string").repartition(3)
+    ids = [np.array([i for words in lm_score.words_of(t) for w in words for i in lm_score._subwords(w, path)] + [lm_score.encoding(path).n_vocab]) for _, t in rows]
+    total = lm_score.encoding(path).n_vocab + 1
+    counts = np.bincount(np.concatenate(ids), minlength=total)
+    pieces = [x[:48] for x in ids]
+    topics = lm_score._Topics.found(lm_score._by_frequency(counts)[:256], total, pieces)
+    assert np.array_equal(lm_score.count_topics(texts, topics, path).reshape(total, -1).sum(axis=1), counts)
+    vocabulary = lm_score.Vocabulary.of(counts, path, pieces)
+    start = lm_score.LanguageModel(vocabulary, attention.fresh(*vocabulary.sizes))
+    model, windows = lm_score.learn_from_all(texts, start, path)
+    assert windows == sum(-(-len(x) // attention.SCORED) for x in ids)
+    inputs, targets, marks = vocabulary.windows(ids)
+    assert model.network.log_chance(inputs, targets)[marks].mean() > start.network.log_chance(inputs, targets)[marks].mean() + 0.3
+
+
 def test_without_training_texts(spark):
     df = spark.createDataFrame([(1, None), (2, "a b")], "doc_id long, text string")
     rows = {r.doc_id: r for r in lm_score.score_texts(df, "false").collect()}

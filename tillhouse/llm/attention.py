@@ -29,6 +29,18 @@ class Model:
 
     weights: dict[str, np.ndarray]
 
+    def copy(self) -> Model:
+        return Model({name: x.copy() for name, x in self.weights.items()})
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.reshape(-1) for x in self.weights.values()])
+
+    def with_flat(self, values: np.ndarray) -> Model:
+        """A model of the same shape with the weights in ``values``, in the order of ``flat``."""
+        parts = np.split(values, np.cumsum([x.size for x in self.weights.values()])[:-1])
+        pairs = zip(self.weights.items(), parts, strict=True)
+        return Model({name: part.reshape(x.shape).astype(x.dtype) for (name, x), part in pairs})
+
     def _forward(self, buckets: np.ndarray) -> dict[str, np.ndarray]:
         w, batch = self.weights, len(buckets)
         h = w["embedding"][buckets] + w["position"]
@@ -87,10 +99,12 @@ class Model:
 
     def _gradients(self, buckets: np.ndarray, classes: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
         w, f, batch = self.weights, self._forward(buckets), len(buckets)
-        chance = np.exp(f["logits"] - f["logits"].max(axis=1, keepdims=True))
-        chance /= chance.sum(axis=1, keepdims=True)
-        chance[np.arange(len(chance)), classes.reshape(-1)] -= 1
-        error = chance * (counted.reshape(-1, 1) / max(counted.sum(), 1)).astype(np.float32)
+        error = f["logits"]
+        error -= error.max(axis=1, keepdims=True)
+        np.exp(error, out=error)
+        error /= error.sum(axis=1, keepdims=True)
+        error[np.arange(len(error)), classes.reshape(-1)] -= 1
+        error *= (counted.reshape(-1, 1) / max(counted.sum(), 1)).astype(np.float32)
         found = {"output": f["out"].T @ error, "bias": error.sum(axis=0)}
         d_out = error @ w["output"].T
         found["mix"] = f["seen"].T @ d_out
@@ -107,7 +121,9 @@ class Model:
         d_h[:, CONTEXT:] += (d_out + d_q @ w["query"].T).reshape(batch, SCORED, WIDTH)
         found["position"] = d_h.sum(axis=0)
         found["embedding"] = np.zeros_like(w["embedding"])
-        np.add.at(found["embedding"], buckets.reshape(-1), d_h.reshape(-1, WIDTH))
+        order = np.argsort(buckets, axis=None, kind="stable")
+        used, starts = np.unique(buckets.reshape(-1)[order], return_index=True)
+        found["embedding"][used] = np.add.reduceat(d_h.reshape(-1, WIDTH)[order], starts)
         return found
 
 
@@ -119,20 +135,33 @@ def fresh(buckets: int, classes: int) -> Model:
     return Model(weights | {"bias": np.zeros(classes, np.float32)})
 
 
+class Trainer:
+    """Adam on a model's own weights, a batch of windows at a time."""
+
+    def __init__(self, model: Model):
+        self.model, self.steps = model, 0
+        self.first = {name: np.zeros_like(x) for name, x in model.weights.items()}
+        self.second = {name: np.zeros_like(x) for name, x in model.weights.items()}
+
+    def step(self, buckets: np.ndarray, classes: np.ndarray, counted: np.ndarray, rate: float) -> None:
+        """``counted`` marks the scored positions that hold a token; the rate rises over the first 20 steps."""
+        self.steps += 1
+        rate *= min(self.steps / 20, 1)
+        for name, gradient in self.model._gradients(buckets, classes, counted).items():
+            first, second = self.first[name], self.second[name]
+            first += 0.1 * (gradient - first)
+            second += 0.01 * (gradient**2 - second)
+            change = first / (1 - 0.9**self.steps) / (np.sqrt(second / (1 - 0.99**self.steps)) + 1e-8)
+            self.model.weights[name] -= np.float32(rate) * change.astype(np.float32)
+
+
 def train(model: Model, buckets: np.ndarray, classes: np.ndarray, counted: np.ndarray, epochs: int, batch: int = 128) -> Model:
-    """Adam over shuffled batches of windows; ``counted`` marks the scored positions that hold a token."""
+    """Adam over shuffled batches of windows, with a falling rate."""
     random = np.random.default_rng(13)
-    first = {name: np.zeros_like(x) for name, x in model.weights.items()}
-    second = {name: np.zeros_like(x) for name, x in model.weights.items()}
-    total, step = epochs * -(-len(buckets) // batch), 0
+    trainer, total, step = Trainer(model), epochs * -(-len(buckets) // batch), 0
     for _ in range(epochs):
         order = random.permutation(len(buckets))
         for start in range(0, len(order), batch):
             some, step = order[start : start + batch], step + 1
-            rate = 0.01 * min(step / 20, 1) * (1 - 0.95 * step / total)
-            for name, gradient in model._gradients(buckets[some], classes[some], counted[some]).items():
-                first[name] += 0.1 * (gradient - first[name])
-                second[name] += 0.01 * (gradient**2 - second[name])
-                change = first[name] / (1 - 0.9**step) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-8)
-                model.weights[name] -= np.float32(rate) * change.astype(np.float32)
+            trainer.step(buckets[some], classes[some], counted[some], 0.01 * (1 - 0.95 * step / total))
     return model

@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -36,15 +37,21 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: buckets: ids of their own, and shared ones.
 OWN_CLASSES, TOPICS, LEVELS = 96, 8, 4
 OWN_BUCKETS, SHARED_BUCKETS = 2048, 256
-#: The attention model's weights come from windows of this many documents at most, this many each.
+#: The attention model's first weights come from windows of this many documents at most, this many each.
 SAMPLE_DOCS, SAMPLE_WINDOWS, EPOCHS = 2500, 10, 4
+#: From there it learns from all windows of all training documents, in so many rounds of part of the documents each.
+#: Weights are added up in pieces, by piece.
+ROUNDS, RATE, BATCH = 4, 0.004, 128
+WEIGHT_PIECES = 64
+#: Ids of the most frequent kinds, by which the topic of a piece of text is told.
+FREQUENT = 256
 #: What part of a word's chance is its share of the counted words; the network gives the rest.
 WORD_SHARE = 0.4
 #: Words whose counts (16 bytes each) go to every worker; all others are joined.
 HEAD_WORDS = 1_000_000
 END = b"\n"  # no word holds white space
 _PIECE = 1_000_000
-_REMEMBERED = 500_000
+_REMEMBERED, _REMEMBERED_IDS = 500_000, 150_000
 
 
 def words_of(text: str | None) -> Iterator[list[bytes]]:
@@ -114,16 +121,16 @@ class Vocabulary:
         return int(self.buckets.max()) + 1, int(self.classes.max()) + 1
 
     @staticmethod
-    def of(counts: np.ndarray, path: str, pieces: list[np.ndarray]) -> Vocabulary:
-        """From the counts of all ids and from pieces of texts, which show which ids occur together."""
+    def of(counts: np.ndarray, path: str, pieces: list[np.ndarray], topics: np.ndarray | None = None) -> Vocabulary:
+        """From the counts of all ids and their topics, or pieces of texts that show which ids occur together."""
         bpe, total = encoding(path), len(counts)
         begins = np.array([i == total - 1 or bpe.decode_single_token_bytes(i)[:1] == b" " for i in range(total)])
-        order = np.lexsort((np.arange(total), -counts))
+        order = _by_frequency(counts)
         others = order[order != total - 1]
         classes = np.empty(total, np.int64)
         classes[[*others[: OWN_CLASSES - 1], total - 1]] = np.arange(OWN_CLASSES)
         rest = others[OWN_CLASSES - 1 :]
-        topics = _topics(pieces, order[:256], total)
+        topics = _topics(pieces, order[:FREQUENT], total) if topics is None else topics
         made = OWN_CLASSES
         for topic in range(TOPICS):
             for beginning in (True, False):
@@ -157,27 +164,164 @@ class Vocabulary:
         return np.concatenate(inputs), np.concatenate(targets), np.concatenate(marks)
 
 
+def _by_frequency(counts: np.ndarray) -> np.ndarray:
+    return np.lexsort((np.arange(len(counts)), -counts))
+
+
+class _Topics:
+    """Groups of pieces of text (mostly languages) by their frequent ids, and how often each id occurs in each."""
+
+    def __init__(self, frequent: np.ndarray, total: int, centres: np.ndarray):
+        self.column, self.width, self.centres = np.full(total, -1), len(frequent), centres
+        self.column[frequent] = np.arange(len(frequent))
+
+    def shares(self, pieces: list[np.ndarray]) -> np.ndarray:
+        at = self.column[np.concatenate(pieces)]
+        cells = np.repeat(np.arange(len(pieces)), [len(ids) for ids in pieces]) * self.width + at
+        shares = np.sqrt(np.bincount(cells[at >= 0], minlength=len(pieces) * self.width)).astype(np.float32)
+        shares = shares.reshape(len(pieces), self.width)
+        return shares / (np.linalg.norm(shares, axis=1, keepdims=True) + 1e-9)
+
+    @staticmethod
+    def found(frequent: np.ndarray, total: int, pieces: list[np.ndarray]) -> _Topics:
+        topics = _Topics(frequent, total, np.zeros((0, 0)))
+        shares = topics.shares(pieces)
+        centres = shares[np.random.default_rng(17).permutation(len(shares))[:TOPICS]]
+        for _ in range(20):
+            nearest = (shares @ centres.T).argmax(axis=1)
+            centres = np.stack([shares[nearest == k].sum(axis=0) if (nearest == k).any() else centre for k, centre in enumerate(centres)])
+            centres /= np.linalg.norm(centres, axis=1, keepdims=True) + 1e-9
+        topics.centres = centres
+        return topics
+
+    def count(self, pieces: list[np.ndarray]) -> np.ndarray:
+        """Occurrences by id and topic, id * TOPICS + topic."""
+        nearest = (self.shares(pieces) @ self.centres.T).argmax(axis=1)
+        cells = np.concatenate(pieces) * TOPICS + np.repeat(nearest, [len(ids) for ids in pieces])
+        return np.bincount(cells, minlength=len(self.column) * TOPICS)
+
+
+def _topic_of_ids(seen: np.ndarray) -> np.ndarray:
+    seen = seen.reshape(-1, TOPICS)
+    return (seen / (seen.sum(axis=0) + 1)).argmax(axis=1)
+
+
 def _topics(pieces: list[np.ndarray], frequent: np.ndarray, total: int) -> np.ndarray:
-    """A topic (mostly a language) for every id: that of the pieces in which it occurs, grouped by frequent ids."""
+    """A topic for every id, from pieces of texts."""
     if not pieces:
         return np.zeros(total, np.int64)
-    column = np.full(total, -1)
-    column[frequent] = np.arange(len(frequent))
-    shares = np.zeros((len(pieces), len(frequent)), np.float32)
-    for row, ids in zip(shares, pieces, strict=True):
-        at = column[ids]
-        np.add.at(row, at[at >= 0], 1)
-    np.sqrt(shares, out=shares)
-    shares /= np.linalg.norm(shares, axis=1, keepdims=True) + 1e-9
-    centres = shares[np.random.default_rng(17).permutation(len(shares))[:TOPICS]]
-    for _ in range(20):
-        nearest = (shares @ centres.T).argmax(axis=1)
-        centres = np.stack([shares[nearest == k].sum(axis=0) if (nearest == k).any() else centre for k, centre in enumerate(centres)])
-        centres /= np.linalg.norm(centres, axis=1, keepdims=True) + 1e-9
-    seen = np.zeros((total, TOPICS))
-    for ids, topic in zip(pieces, nearest.tolist(), strict=True):
-        np.add.at(seen, (ids, topic), 1)
-    return (seen / (seen.sum(axis=0) + 1)).argmax(axis=1)
+    return _topic_of_ids(_Topics.found(frequent, total, pieces).count(pieces))
+
+
+def _texts_as_ids(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[np.ndarray]:
+    """The ids of each text, the end included."""
+
+    class Known(dict):
+        def __missing__(self, word: bytes) -> list[int]:
+            if len(self) >= _REMEMBERED_IDS:
+                self.clear()
+            found = self[word] = _subwords(word, path)
+            return found
+
+    known = Known().__getitem__
+    for batch in slices(batches, 64):
+        for text in batch.column("text").to_pylist():
+            parts = [np.fromiter(chain.from_iterable(map(known, words)), np.int64) for words in words_of(text)]
+            yield np.concatenate([*parts, np.array(known(END), np.int64)])
+
+
+def _count_topics(topics: Broadcast, path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, pieces, size = np.zeros(len(topics.value.column) * TOPICS, np.int64), [], CONTEXT + SCORED
+        for ids in _texts_as_ids(batches, path):
+            for start in range(0, len(ids), size):
+                pieces.append(ids[start : start + size])
+                if len(pieces) == 4096:
+                    seen += topics.value.count(pieces)
+                    pieces = []
+        if pieces:
+            seen += topics.value.count(pieces)
+        cells = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(cells, pa.int64()), "n": pa.array(seen[cells], pa.int64())})
+
+    return run
+
+
+def count_topics(training: DataFrame, topics: _Topics, path: str) -> np.ndarray:
+    """How often each id occurs in each topic in all texts."""
+    shared = training.sparkSession.sparkContext.broadcast(topics)
+    found = training.select("text").mapInArrow(_count_topics(shared, path), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    seen = np.zeros(len(topics.column) * TOPICS)
+    seen[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return seen
+
+
+def _learn(shared: Broadcast, rate: float, path: str):
+    """The weights after the task's windows, times their number, in pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, network = shared.value.vocabulary, shared.value.network.copy()
+        trainer, random = attention.Trainer(network), np.random.default_rng(19)
+        waiting, held, windows = [], 0, 0
+
+        def learn() -> int:
+            inputs, targets, marks = vocabulary.windows(waiting)
+            order = random.permutation(len(inputs))
+            for start in range(0, len(order), BATCH):
+                some = order[start : start + BATCH]
+                trainer.step(inputs[some], targets[some], marks[some], rate)
+            waiting.clear()
+            return len(inputs)
+
+        for ids in _texts_as_ids(batches, path):
+            waiting.append(ids)
+            held += -(-len(ids) // SCORED)
+            if held >= 32 * BATCH:
+                windows, held = windows + learn(), 0
+        if waiting:
+            windows += learn()
+        if windows:
+            pieces = np.array_split(network.flat().astype(np.float64) * windows, WEIGHT_PIECES)
+            yield pa.RecordBatch.from_pydict({
+                "piece": pa.array(range(WEIGHT_PIECES), pa.int32()), "windows": pa.array([windows] * WEIGHT_PIECES, pa.int64()),
+                "weights": pa.array([piece.tobytes() for piece in pieces], pa.binary()),
+            })
+
+    return run
+
+
+def _add_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    windows: Counter[int] = Counter()
+    weights: dict[int, np.ndarray] = {}
+    for batch in slices(batches):
+        for row in batch.to_pylist():
+            piece = row["piece"]
+            windows[piece] += row["windows"]
+            weights[piece] = weights.get(piece, 0) + np.frombuffer(row["weights"])
+    yield pa.RecordBatch.from_pydict({
+        "piece": pa.array(weights, pa.int32()), "windows": pa.array([windows[piece] for piece in weights], pa.int64()),
+        "weights": pa.array([x.tobytes() for x in weights.values()], pa.binary()),
+    })
+
+
+def learn_from_all(training: DataFrame, model: LanguageModel, path: str) -> tuple[LanguageModel, int]:
+    """The model after every window of every text, and the number of windows.
+
+    A round deals with a part of the texts. Each task goes on from the common weights over its own
+    windows; the next common weights are the tasks' mean, weighted by windows.
+    """
+    spark, kinds, total = training.sparkSession, "piece int, windows long, weights binary", 0
+    for number in range(ROUNDS):
+        shared = spark.sparkContext.broadcast(model)
+        part = training.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == number).select("text")
+        learned = part.mapInArrow(_learn(shared, RATE / (number + 1), path), kinds)
+        rows = learned.repartition(WEIGHT_PIECES, "piece").mapInArrow(_add_weights, kinds).collect()
+        shared.unpersist()
+        if rows:
+            total += rows[0]["windows"]
+            means = [np.frombuffer(row["weights"]) / row["windows"] for row in sorted(rows, key=lambda row: row["piece"])]
+            model = LanguageModel(model.vocabulary, model.network.with_flat(np.concatenate(means)))
+    return model, total
 
 
 @dataclass
@@ -368,12 +512,16 @@ def score_texts(docs: DataFrame, is_training: str, path: str = RANKS, head_words
     ids = sample["ids"].combine_chunks()
     places = ids.offsets.to_numpy()
     pieces = np.split(ids.flatten().to_numpy().astype(np.int64), places[1:-1] - places[0]) if len(ids) else []
-    vocabulary = Vocabulary.of(id_counts, path, pieces)
+    topics = None
+    if pieces:
+        grouped = _Topics.found(_by_frequency(id_counts)[:FREQUENT], len(id_counts), pieces)
+        topics = _topic_of_ids(count_topics(training, grouped, path))
+    vocabulary = Vocabulary.of(id_counts, path, pieces, topics)
     network = attention.fresh(*vocabulary.sizes)
     if pieces:
         network = attention.train(network, *_training_windows(vocabulary, sample["begins"].to_pylist(), pieces), EPOCHS)
     del sample, ids, pieces
-    model = LanguageModel(vocabulary, network)
+    model, _ = learn_from_all(training, LanguageModel(vocabulary, network), path)
 
     # The most frequent words, by the levels of frequency that hold head_words of them at most.
     level = F.floor(F.log2("c") * 8).cast("int")
