@@ -129,6 +129,31 @@ def test_main_text(source, text):
     assert html_text.main_text(source) == text
 
 
+PROSE = "<p>The text of the page, as it is, with commas, and some length.</p>"
+PROSE_TEXT = PROSE[3:-4]
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "content-sidebar-wrap", "elementor-widget-container", "post-with-comments", "ad-free", "widget", "sidebar-left"])
+@pytest.mark.parametrize("inside", ["<main>{}</main>", "<article>{}</article>", "{}"])
+def test_wrappers_with_compound_names_keep_the_article(name, inside):
+    page = f"<div class='{name}'>{inside.format(PROSE)}</div><div class='widget-area'><p>Side text.</p></div>"
+    assert html_text.main_text(page) == PROSE_TEXT
+    assert html_text.main_text(page.replace("class", "id")) == PROSE_TEXT
+
+
+def test_named_parts_stay_out_beside_the_article():
+    junk = "<div class='{}'><article><p>Another one, of the same length, with commas, and more of it.</p></article></div>"
+    for name in ("related", "comments", "siteFooter", "share social", "cookie-notice", "x sidebar"):
+        assert html_text.main_text(f"<article>{PROSE}</article>{junk.format(name)}") == PROSE_TEXT
+    assert html_text.main_text("<div class=ad>A long advert, with commas, and words.</div><article><h1>T</h1><p>T</article>") == "T\n\nT"
+    assert html_text.main_text(f"<div>{PROSE}<p>One <span class=ad>AD</span>two, three.</p></div>") == f"{PROSE_TEXT}\n\nOne two, three."
+
+
+def test_formulas_stay():
+    page = "<p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math>, as is known.</p>"
+    assert html_text.main_text(page) == "Energy is E=m, as is known."
+
+
 def test_long_and_deep_pages(spark):
     assert html_text.main_text("<div><div><p>" * 20_000) == ""
     assert len(html_text.main_text("<p>" + "word, " * 200_000)) == 6 * 200_000 - 1

@@ -23,9 +23,9 @@ _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=|[\"'])*+)>", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_WORDS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-_RAW = set("script style noscript template iframe object textarea title svg math canvas audio video".split())
+_RAW = set("script style noscript template iframe object textarea title svg annotation annotation-xml canvas audio video".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _UNWANTED = set("head nav footer aside form menu dialog button select fieldset label datalist".split())
 _ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
@@ -35,6 +35,12 @@ _UNWANTED_NAMES = set(
     "breadcrumbs comment comments disqus respond replies share sharing social related recommended recommendations "
     "newsletter subscribe subscription footer masthead toolbar pagination pager login signup copyright".split()
 )
+#: Words beside the former that leave a class or id what it is; with any other word it names something else.
+_NEUTRAL_NAMES = set(
+    "area bar block box btn button buttons container inner outer list item items links main wrap wrapper top bottom left right "
+    "site page primary secondary global header section text message form row column col".split()
+)
+_COMMENT_NAMES = set("comment comments disqus respond replies".split())
 _CONTAINERS = {"article", "main"}
 _BLOCK = set(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 "
@@ -50,6 +56,18 @@ _ENDED_BY = (
 )
 _SCOPES = {"ul", "ol", "dl", "table", "div", "section", "article", "main", "body", "html", "blockquote", "td", "th"}
 LEAST_PARAGRAPH = 25
+#: An element left out by its name that has this share of the page's text is a wrapper of the article.
+WRAPPER_SHARE = 0.75
+
+
+def _unwanted_names(value: str) -> set[str]:
+    """The unwanted names among the classes or ids of an element: whole ones, or with neutral words only."""
+    found = set()
+    for token in value.split():
+        parts = {token.lower()} & _UNWANTED_NAMES or {part.lower() for part in _PARTS.findall(token)}
+        if parts <= _UNWANTED_NAMES | _NEUTRAL_NAMES:
+            found |= parts & _UNWANTED_NAMES
+    return found
 
 
 def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
@@ -59,8 +77,6 @@ def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
         return False
     for name, double, single, bare in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (double or single or bare).lower()
-        if name in ("class", "id") and not _UNWANTED_NAMES.isdisjoint(_WORDS.findall(value)):
-            return True
         if name == "role" and value in _ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -68,29 +84,80 @@ def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
     return False
 
 
+def _named(tag: str, attributes: str) -> set[str]:
+    if not attributes or tag in _CONTAINERS or tag in ("html", "body"):
+        return set()
+    found = set()
+    for name, double, single, bare in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            found |= _unwanted_names(double or single or bare)
+    return found
+
+
 class _Page:
-    """Elements in the order of their start tags, and the blocks of text that are not left out."""
+    """Elements in the order of their start tags, and the blocks of text that are not left out.
+
+    What an element's name alone would leave out is decided when the whole page is known.
+    """
 
     def __init__(self, source: str):
         self.tags, self.parents, self.dropped = ["html"], [-1], [False]
-        self.blocks: list[tuple[int, list[str], list[str]]] = []  # element, text, link text
+        self.names: dict[int, set[str]] = {}
+        self.named = [0]  # the nearest element, itself or around it, with an unwanted name; 0 if none
+        self.texts: list[tuple[int, list[tuple[str, int, bool]]]] = []  # element; text, its named element, link
         self._fresh = True
         self._read(source)
+        self.blocks = self._kept()
+
+    def _kept(self) -> list[tuple[int, list[str], list[str]]]:
+        """Element, text and link text of every block that stays."""
+        if not self.names:
+            return [(node, [x for x, _, _ in found], [x for x, _, link in found if link]) for node, found in self.texts]
+        within = [False]
+        for parent, tag in zip(self.parents[1:], self.tags[1:], strict=True):
+            within.append(tag in _CONTAINERS or within[parent])
+        # Whether an article or main with text stands outside all named elements; characters besides headings and links.
+        free = any(within[node] and not named and text.strip() for node, found in self.texts for text, named, _ in found)
+        size, every = dict.fromkeys(self.names, 0), 0
+        for node, found in self.texts:
+            for text, named, link in found:
+                if not link and self.tags[node] not in _HEADINGS:
+                    every += len(text)
+                    if named:
+                        size[named] += len(text)
+        for node in sorted(self.names, reverse=True):
+            if above := self.named[self.parents[node]]:
+                size[above] += size[node]
+        mains, articles = set(), set()  # named elements that hold one
+        for node, tag in enumerate(self.tags):
+            if tag in _CONTAINERS and not self.dropped[node]:
+                above = self.named[node]
+                holds = mains if tag == "main" else articles
+                while above and above not in holds:
+                    holds.add(above)
+                    above = self.named[self.parents[above]]
+        left = {0: False}
+        for node, names in sorted(self.names.items()):
+            comments = names & _COMMENT_NAMES
+            holds = node in mains or node in articles and not free and not comments
+            wraps = not free and (not comments and size[node] >= WRAPPER_SHARE * every > 0 or size[node] == every > 0)
+            left[node] = left[self.named[self.parents[node]]] or not (holds or wraps)
+        kept = [(node, [x for x in found if not left[x[1]]]) for node, found in self.texts]
+        return [(node, [x for x, _, _ in found], [x for x, _, link in found if link]) for node, found in kept]
 
     def _text(self, text: str, node: int, in_link: bool) -> None:
         if not text or self.dropped[node]:
             return
         text = html.unescape(text) if "&" in text else text
+        named = self.named[node]
         while node and self.tags[node] not in _BLOCK:
             node = self.parents[node]
         if self._fresh:
             if not text.strip():
                 return
-            self.blocks.append((node, [], []))
+            self.texts.append((node, []))
             self._fresh = False
-        self.blocks[-1][1].append(text)
-        if in_link:
-            self.blocks[-1][2].append(text)
+        self.texts[-1][1].append((text, named, in_link))
 
     def _read(self, source: str) -> None:
         stack, links, articles, place = [0], 0, 0, 0
@@ -139,6 +206,10 @@ class _Page:
             tags.append(tag)
             self.parents.append(parent)
             self.dropped.append(self.dropped[parent] or _unwanted(tag, match[3], articles > 0))
+            names = set() if self.dropped[-1] else _named(tag, match[3])
+            self.named.append(len(tags) - 1 if names else self.named[parent])
+            if names:
+                self.names[len(tags) - 1] = names
             stack.append(len(tags) - 1)
             links += tag == "a"
             articles += tag in _CONTAINERS
