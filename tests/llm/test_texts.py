@@ -149,6 +149,13 @@ def test_named_parts_stay_out_beside_the_article():
     assert html_text.main_text(f"<div>{PROSE}<p>One <span class=ad>AD</span>two, three.</p></div>") == f"{PROSE_TEXT}\n\nOne two, three."
 
 
+def test_short_sections_beside_the_best_stay():
+    first, second = "abcde fgh, " * 10 + "x" * 490, "klmno pqr, " * 2 + "y" * 178
+    rest = "<ul><li>one<li>two</ul><ol><li>three</ol><table><tr><td>four</table><blockquote>five</blockquote><pre>six</pre>"
+    page = f"<div id=c><div><p>{first}</p></div><div><p>{second}</p></div>{rest}<ul><li><a href=x>menu</a><li><a href=y>more</a></ul></div>"
+    assert html_text.main_text(page) == "\n\n".join([first, second, "one", "two", "three", "four", "five", "six"])
+
+
 def test_formulas_stay():
     page = "<p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>E=m</annotation></math>, as is known.</p>"
     assert html_text.main_text(page) == "Energy is E=m, as is known."

@@ -253,8 +253,8 @@ def main_text(source: str | None) -> str:
             if parents[node] == parents[best] and node != best and size[node]:
                 density = linked[node] / size[node]
                 chosen |= {node} if (
-                    score[node] >= max(10, 0.2 * score[best])
-                    or tags[node] == "p" and density < 0.25 and (size[node] > 80 or not density)
+                    score[node] >= 0.2 * score[best] > 0
+                    or tags[node] not in _HEADINGS and density < 0.25 and (size[node] > 80 or not density)
                     or tags[node] in _HEADINGS and not density
                 ) else set()
     inside = [False] * count
