@@ -155,6 +155,24 @@ def test_toxicity_is_learned_and_located(spark):
     assert {r.toxicity_score for r in toxicity.score(odd.limit(1), nothing).collect()} == {0.5}
 
 
+def test_length_alone_makes_no_text_toxic(spark):
+    rows = toxic_rows(900, 5)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    plain = "red green blue house. " * 100_000
+    long = spark.createDataFrame([(1, plain), (2, f"{plain} an idiotic house. {plain}"), (3, "red")], "doc_id long, text string")
+    scores = {r.doc_id: r.toxicity_score for r in toxicity.score(long, model).collect()}
+    assert scores[1] == scores[3] < toxicity.THRESHOLD <= scores[2]
+    assert {r.doc_id for r in toxicity.clean(long, model).collect()} == {1, 3}
+
+
+def test_slight_evidence_does_not_add_up():
+    model = toxicity.Model(-6.0, {"slight": 1.5, "grave": 9.0})
+    chance = lambda text: (scorer := toxicity.Scorer(model)).chance(scorer.sentences(text)[1])
+    assert chance("none") < chance("a slight one. " * 100_000) == chance("a slight one") < 0.02
+    assert chance("a slight one. " * 100_000 + "a grave one") > 0.9
+
+
 IN_FOLD = "coalesce(crc32(cast(cast(doc_id as string) as binary)) % 5, -1) != 1"
 
 

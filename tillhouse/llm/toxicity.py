@@ -1,7 +1,9 @@
 """Toxicity by multiple-instance learning.
 
 Only documents are labelled. A sentence has a logistic score over its words and word beginnings; a
-document is toxic unless all its sentences are clean, so its score is the noisy-or of theirs. The
+document is toxic unless all its sentences are clean, so its score is the noisy-or of theirs and of one
+chance that every document has once. What a sentence without known features would add is taken off,
+and of sentences with slight evidence alone only the strongest counts, so that length alone makes no text toxic. The
 weights are fitted to the documents' labels through that noisy-or, and the sentence scores then show
 where in a document the offence is.
 """
@@ -26,6 +28,8 @@ from tillhouse.staging import pin
 SAMPLE, FEATURES = 20_000, 4096
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
+#: Log-odds of a sentence without known features, and those below which sentences do not add up.
+BASE, SLIGHT = -6.0, math.log(0.05 / 0.95)
 _REMEMBERED = 150_000
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -37,9 +41,9 @@ def features_of(word: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """Log-odds of a sentence without known features, and what each feature adds per occurrence."""
+    """Log-odds of a document without known features, and what each feature adds to a sentence per occurrence."""
 
-    base: float
+    leak: float
     weights: dict[str, float]
 
 
@@ -47,7 +51,7 @@ class Scorer:
     """Scores texts; what a word adds is remembered up to a bound."""
 
     def __init__(self, model: Model):
-        self.base, weights = model.base, model.weights
+        self.leak, weights = model.leak, model.weights
 
         class Added(dict):
             def __missing__(self, word: str) -> float:
@@ -63,12 +67,14 @@ class Scorer:
         spans, odds = [], []
         for match in _SENTENCE.finditer(text):
             spans.append(match.span())
-            odds.append(sum(map(self.added, _WORD.findall(match[0].lower())), self.base))
-        return spans or [(0, 0)], np.array(odds or [self.base])
+            odds.append(sum(map(self.added, _WORD.findall(match[0].lower())), BASE))
+        return spans or [(0, 0)], np.array(odds or [BASE])
 
-
-def noisy_or(odds: np.ndarray) -> float:
-    return float(-np.expm1(-np.logaddexp(0, odds).sum()))
+    def chance(self, odds: np.ndarray) -> float:
+        """Noisy-or of a text's sentences and what every document has once."""
+        telling = odds[odds >= SLIGHT] if odds.max() >= SLIGHT else odds.max(keepdims=True)
+        added = np.maximum(np.logaddexp(0, telling) - np.logaddexp(0, BASE), 0)
+        return float(-np.expm1(-np.logaddexp(0, self.leak) - added.sum()))
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +102,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _instances(index: dict[str, int]):
-    """Per document how many sentences hold no chosen feature, and the features of each other one."""
+    """Per document the features of each sentence that holds any."""
 
     class Known(dict):
         def __missing__(self, word: str) -> list[int]:
@@ -108,17 +114,15 @@ def _instances(index: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Known()
         for batch in slices(batches):
-            plain, marked = [], []
+            marked = []
             for text in batch.column("text").to_pylist():
                 sentences = [
                     list(chain.from_iterable(map(known.__getitem__, _WORD.findall(m[0].lower()))))
                     for m in _SENTENCE.finditer(text)
                 ]
                 marked.append([s for s in sentences if s])
-                plain.append(max(len(sentences), 1) - len(marked[-1]))
             yield pa.RecordBatch.from_pydict({
-                "toxic": batch.column("toxic"), "plain": pa.array(plain, pa.int64()),
-                "marked": pa.array(marked, pa.list_(pa.list_(pa.int32()))),
+                "toxic": batch.column("toxic"), "marked": pa.array(marked, pa.list_(pa.list_(pa.int32()))),
             })
 
     return run
@@ -129,7 +133,6 @@ def _fit(rows: list, features: list[str], steps: int = 400) -> Model:
     labels = np.array([row["toxic"] for row in rows], float)
     if not features or not 0 < labels.sum() < len(labels):
         return Model(math.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1)), {})
-    plain = np.array([row["plain"] for row in rows], float)
     marked = [sentence for row in rows for sentence in row["marked"]]
     owner = np.repeat(np.arange(len(rows)), [len(row["marked"]) for row in rows])
     sizes = np.array([len(sentence) for sentence in marked])
@@ -137,16 +140,17 @@ def _fit(rows: list, features: list[str], steps: int = 400) -> Model:
     sentence = np.repeat(np.arange(len(marked)), sizes)
 
     theta = np.zeros(len(features) + 1)
-    theta[-1] = -6.0
+    theta[-1] = -6.0  # the leak
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
-        odds = theta[-1] + np.bincount(sentence, theta[ids], len(marked))
-        clean = -np.bincount(owner, np.logaddexp(0, odds), len(rows)) - plain * np.logaddexp(0, theta[-1])
+        odds = BASE + np.bincount(sentence, theta[ids], len(marked))
+        added = np.maximum(np.logaddexp(0, odds) - np.logaddexp(0, BASE), 0)
+        clean = -np.bincount(owner, added, len(rows)) - np.logaddexp(0, theta[-1])
         clean = np.minimum(clean, -1e-9)  # log of the chance that all sentences are clean
         slope = np.where(labels == 1, 1 / np.expm1(-clean), -1.0)
-        by_sentence = -slope[owner] / (1 + np.exp(-odds))
+        by_sentence = -slope[owner] / (1 + np.exp(-odds)) * (odds >= BASE)
         gradient = np.bincount(ids, by_sentence[sentence], len(features) + 1)
-        gradient[-1] = by_sentence.sum() - (slope * plain).sum() / (1 + np.exp(-theta[-1]))
+        gradient[-1] = -slope.sum() / (1 + np.exp(-theta[-1]))
         gradient = gradient / len(rows) + 1e-5 * np.append(theta[:-1], 0)
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
@@ -176,19 +180,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
     telling = counts.where((F.col("t") >= 3) & (F.col("t") > 1.5 * expected)).orderBy(gain.desc(), "feature").limit(features)
     names = [row["feature"] for row in telling.select("feature").collect()]
     index = {name: i for i, name in enumerate(names)}
-    found = rows.mapInArrow(_instances(index), "toxic long, plain long, marked array<array<int>>")
+    found = rows.mapInArrow(_instances(index), "toxic long, marked array<array<int>>")
     return _fit(found.collect() if total else [], names)
 
 
 def _score(model: Model, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sentences = Scorer(model).sentences
+        scorer = Scorer(model)
         limit = math.log(threshold / (1 - threshold))
         for batch in slices(batches):
             scores, offending = [], []
             for text in batch.column("text").to_pylist():
-                spans, odds = sentences(text or "")
-                scores.append(noisy_or(odds))
+                spans, odds = scorer.sentences(text or "")
+                scores.append(scorer.chance(odds))
                 offending.append([{"first": spans[i][0], "past": spans[i][1]} for i in np.flatnonzero(odds >= limit).tolist()])
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"),
@@ -213,10 +217,10 @@ def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     """The rows of ``docs``, with all their columns, that score less than ``threshold``."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sentences = Scorer(model).sentences
+        scorer = Scorer(model)
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            yield batch.filter(pa.array([noisy_or(sentences(text or "")[1]) < threshold for text in texts], pa.bool_()))
+            yield batch.filter(pa.array([scorer.chance(scorer.sentences(text or "")[1]) < threshold for text in texts], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 
