@@ -155,6 +155,23 @@ def test_toxicity_is_learned_and_located(spark):
     assert {r.toxicity_score for r in toxicity.score(odd.limit(1), nothing).collect()} == {0.5}
 
 
+def test_offences_inside_clauses_without_spaces_are_found(spark):
+    rng, rows = np.random.default_rng(7), []
+    for i in range(600):
+        toxic = int(rng.random() < 0.3)
+        parts = ["".join(rng.choice([*"今日天気良山川空海木花本人大小"], 12)) for _ in range(6)]
+        if toxic:
+            parts[3] = parts[3][:6] + "馬鹿" + parts[3][6:]
+        rows.append((i, "。".join(parts) + "。", toxic))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    held = {i: (t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 3 == 1}
+    found = [r for r in toxicity.score(docs, model).collect() if r.doc_id in held]
+    assert sum((r.toxicity_score >= toxicity.THRESHOLD) == held[r.doc_id][1] for r in found) >= 0.98 * len(found)
+    spans = [held[r.doc_id][0][s.first : s.past] for r in found for s in r.offending]
+    assert spans and sum("馬鹿" in s and "。" not in s for s in spans) >= 0.95 * len(spans)
+
+
 def test_length_alone_makes_no_text_toxic(spark):
     rows = toxic_rows(900, 5)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")

@@ -28,14 +28,20 @@ from tillhouse.staging import pin
 SAMPLE, FEATURES = 20_000, 4096
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
+#: Lengths of the character runs that stand for words in scripts without spaces.
+GRAMS = (2, 3, 4)
 #: Log-odds of a sentence without known features, and those below which sentences do not add up.
 BASE, SLIGHT = -6.0, math.log(0.05 / 0.95)
 _REMEMBERED = 150_000
-_SENTENCE = re.compile(r"[^.!?\n]+")
+_SENTENCE = re.compile(r"[^.!?\n。！？．｡]+")
+#: Thai, Lao, Myanmar, Khmer, kana, Chinese characters.
+_UNSPACED = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def features_of(word: str) -> list[str]:
+    if not word.isascii() and _UNSPACED.search(word):
+        return [word, *(f"*{word[i : i + size]}*" for size in GRAMS for i in range(len(word) - size + 1))]
     return [word, *(f"{word[:size]}*" for size in PREFIXES if len(word) >= size)]
 
 
