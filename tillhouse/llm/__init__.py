@@ -7,14 +7,17 @@ from collections.abc import Callable
 from tillhouse.llm import (
     bpe,
     decontamination,
+    hard_negatives,
     html_text,
     lm_score,
     minhash,
     neighbours,
+    personal_data,
     suffix_dedup,
     token_counts,
     toxicity,
     url_filter,
+    variants,
 )
 
 _MODULES = (
@@ -28,6 +31,9 @@ _MODULES = (
     decontamination,
     html_text,
     minhash,
+    hard_negatives,
+    personal_data,
+    variants,
 )
 
 
