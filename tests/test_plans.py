@@ -52,7 +52,7 @@ def parents_of_single_partitions(plan: str) -> list[str]:
 @pytest.mark.parametrize("name", queries())
 def test_only_aggregates_meet_in_one_task(spark, no_broadcast, name):
     for below in parents_of_single_partitions(plan_of(queries()[name](spark, SMALL))):
-        assert re.search(r"HashAggregate|LocalLimit|TakeOrdered", below), below
+        assert re.search(r"HashAggregate|SortAggregate|LocalLimit|TakeOrdered", below), below
 
 
 def test_detail_rows_are_shuffled_once_by_the_repair(spark, no_broadcast):

@@ -21,7 +21,7 @@ SQL = oracles.oracle_sql()
 @pytest.fixture(scope="module")
 def oracle():
     connection = duckdb.connect()
-    for table in "region nation customer supplier part orders lineitem".split():
+    for table in "region nation customer supplier part orders lineitem events".split():
         connection.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
     return connection
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def iso_datetime(text: Column) -> Column:
@@ -60,3 +61,11 @@ def transaction_date() -> Column:
     """Calendar date of a clean transaction. Two of its three parts are partition columns, so it
     costs one integer column of the fact."""
     return F.make_date(F.col("tran_year"), F.col("tran_month"), F.col("tran_day"))
+
+
+def epoch_micros(timestamp: Column, kind: T.DataType) -> Column:
+    """Microseconds since 1970 of a timestamp of this type; of one without time zone as if read in UTC."""
+    if isinstance(kind, T.TimestampNTZType):
+        since = (timestamp - F.expr("timestamp_ntz '1970-01-01 00:00:00'")).cast("interval second")
+        return (since.cast("decimal(20,6)") * 1000000).cast("bigint")
+    return F.unix_micros(timestamp)

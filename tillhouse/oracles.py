@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+from tillhouse import activity_oracles
 from tillhouse.sources.benchmark_tables import INPUT_SQL, TABLES
 
 
@@ -356,4 +357,4 @@ def oracle_sql() -> dict[str, str]:
         if name.split("_")[0] in ("ods", "dwd", "dws", "ads", "dq"):
             steps = ",\n".join(f"{step} as ({_CTE[step]})" for step in _needed(name))
             texts[name] = f"with {steps}\nselect * from {name}"
-    return texts
+    return texts | activity_oracles.oracle_sql()

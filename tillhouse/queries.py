@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse import schemas
+from tillhouse import activity_queries, schemas
 from tillhouse.plans import dwd, dws, ods, warehouse
 from tillhouse.sources import read_json_log
 from tillhouse.sources.benchmark_tables import read_input
@@ -89,4 +89,4 @@ def queries() -> dict[str, Query]:
     found["dq_repeated_dimension_keys"] = over(
         lambda t: dwd.repeated_dimension_keys(t("ods.customer"), t("ods.store"))
     )
-    return found
+    return found | activity_queries.queries()
