@@ -169,6 +169,47 @@ def test_long_and_deep_pages(spark):
     assert rows_of(got) == row_set(got.columns, [(1, "u", "é", 1), (1, "u", "é", 1), (None, None, "", 0)])
 
 
+HOSTILE = {
+    "no end": "<a ", "ends in quotes": "<a ='>'", "quotes of two kinds": "<a =\"<b ='", "declarations": "<!x", "nested": "<b>x", "signs": "<",
+    "empty": "<svg/>", "list": "<li>x", "comments": "<a <!--",
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_pages_take_time_by_length(name):
+    """Megabytes each; any of them took hours when a tag without end was looked for again and again."""
+    html_text.main_text(HOSTILE[name] * (3_000_000 // len(HOSTILE[name])))
+
+
+@pytest.mark.parametrize("before", ["<div>", "<i><div>", "<i>", "<p>"])
+@pytest.mark.parametrize("after", ["</i>", "<h1></h1>", "</q>", "<tr>"])
+def test_stray_tags_behind_open_ones(before, after):
+    html_text.main_text(before + "<b>" * 100_000 + after * 100_000)
+
+
+def test_tags_without_end_are_text():
+    assert html_text.main_text("<p>One <a href='x'>two</a> three <a four") == "One two three <a four"
+    assert html_text.main_text("<p>a <b c='>' d='<p>e</p>") == "a e"
+    assert html_text.main_text("<p>a <!-- never ended <p>b") == "a"
+    assert html_text.main_text("<p>1 < 2 <3 <!x") == "1 < 2 <3 <!x"
+
+
+@pytest.mark.parametrize("name", ["ad-slot-1", "js-cookie-consent", "user-comments", "related-posts", "comment-count", "sidebar-2"])
+def test_compound_names_of_junk(name):
+    junk = f"<div class='{name}'><p>Some other words, with commas, that nobody asked for, at some length.</p></div>"
+    assert html_text.main_text(f"<div>{PROSE}{junk}</div>") == PROSE_TEXT
+    assert html_text.main_text(f"<article>{PROSE}{junk}</article>") == PROSE_TEXT
+
+
+def test_articles_in_main():
+    comment = "<article class='comment'><p>I, as a reader, think otherwise, and say so at some length here.</p></article>"
+    assert html_text.main_text(f"<main><article>{PROSE}</article>{comment}</main>") == PROSE_TEXT
+    assert html_text.main_text(f"<main><article>{PROSE}</article><article>{PROSE}</article></main>") == f"{PROSE_TEXT}\n\n{PROSE_TEXT}"
+    teaser = "<article><a href=x>Another article, with a title, and no more than that title here</a></article>"
+    assert html_text.main_text(f"<main><article>{PROSE}</article>{teaser}</main>") == PROSE_TEXT
+    assert html_text.main_text(f"<article class='post-with-comments'>{PROSE}</article>") == PROSE_TEXT
+
+
 @pytest.mark.parametrize("symbols", [1, 2, 4, 300])
 def test_suffix_array(symbols):
     rng = np.random.default_rng(symbols)

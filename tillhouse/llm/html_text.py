@@ -9,6 +9,7 @@ adverts, forms, comments and what is never shown are left out beforehand by tag,
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -22,6 +23,7 @@ from tillhouse.llm.common import slices, table
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=|[\"'])*+)>", re.S
 )
+_QUOTED = re.compile(r"=\s*+\"[^\"]*+\"|=\s*+'[^']*+'")
 _ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -38,7 +40,8 @@ _UNWANTED_NAMES = set(
 #: Words beside the former that leave a class or id what it is; with any other word it names something else.
 _NEUTRAL_NAMES = set(
     "area bar block box btn button buttons container inner outer list item items links main wrap wrapper top bottom left right "
-    "site page primary secondary global header section text message form row column col".split()
+    "site page primary secondary global header section text message form row column col slot unit js user reader post posts "
+    "article articles stories count thread".split()
 )
 _COMMENT_NAMES = set("comment comments disqus respond replies".split())
 _CONTAINERS = {"article", "main"}
@@ -54,7 +57,10 @@ _ENDED_BY = (
     | {"li": {"p", "li"}, "dt": {"p", "dt", "dd"}, "dd": {"p", "dt", "dd"}, "option": {"option"}}
     | {"tr": {"td", "th", "tr", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 )
+#: Elements that no end of another one reaches across.
 _SCOPES = {"ul", "ol", "dl", "table", "div", "section", "article", "main", "body", "html", "blockquote", "td", "th"}
+_STOPS = {tag: tuple(_SCOPES - ended) for tag, ended in _ENDED_BY.items()}
+_RAW_ENDS = {tag: re.compile(rf"</{re.escape(tag)}\s*>", re.I) for tag in _RAW}
 LEAST_PARAGRAPH = 25
 #: An element left out by its name that has this share of the page's text is a wrapper of the article.
 WRAPPER_SHARE = 0.75
@@ -85,13 +91,49 @@ def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
 
 
 def _named(tag: str, attributes: str) -> set[str]:
-    if not attributes or tag in _CONTAINERS or tag in ("html", "body"):
+    if not attributes or tag in ("main", "html", "body"):
         return set()
     found = set()
     for name, double, single, bare in _ATTRIBUTE.findall(attributes):
         if name.lower() in ("class", "id"):
             found |= _unwanted_names(double or single or bare)
-    return found
+    return found & _COMMENT_NAMES if tag == "article" else found
+
+
+class _Tokens:
+    """Tags, comments and declarations of a page in order, in time that grows with its length.
+
+    A tag without end is text. The reading of one that runs out at the end of the page tells so of all tags that
+    begin outside its quoted values, as it would go on like theirs; there are as many readings as kinds of quotes.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last_end = source.rfind(">")
+        self.failed: list[tuple[list[int], list[int]]] = []  # begins and ends of the quoted values
+
+    def _fails(self, at: int) -> bool:
+        for begins, ends in self.failed:
+            i = bisect.bisect_right(begins, at) - 1
+            if i < 0 or ends[i] <= at:
+                return True
+        return False
+
+    def next(self, place: int) -> re.Match | None:
+        source = self.source
+        while (at := source.find("<", place)) >= 0:
+            place = at + 1
+            if at > self.last_end and not source.startswith("<!--", at):
+                at = source.find("<!--", at)  # all that can still be is a comment without end
+                return _TOKEN.match(source, at) if at >= 0 else None
+            if self.failed and source[place : place + 1] not in ("!", "?") and self._fails(at):
+                continue
+            if match := _TOKEN.match(source, at):
+                return match
+            if source[place : place + 1].isalpha() or source[place : place + 1] == "/" and source[place + 1 : place + 2].isalpha():
+                values = [m.span() for m in _QUOTED.finditer(source, at)]
+                self.failed.append(([b for b, _ in values], [e for _, e in values]))
+        return None
 
 
 class _Page:
@@ -104,6 +146,7 @@ class _Page:
         self.tags, self.parents, self.dropped = ["html"], [-1], [False]
         self.names: dict[int, set[str]] = {}
         self.named = [0]  # the nearest element, itself or around it, with an unwanted name; 0 if none
+        self.block = [0]  # the nearest block, itself or around it
         self.texts: list[tuple[int, list[tuple[str, int, bool]]]] = []  # element; text, its named element, link
         self._fresh = True
         self._read(source)
@@ -150,8 +193,7 @@ class _Page:
             return
         text = html.unescape(text) if "&" in text else text
         named = self.named[node]
-        while node and self.tags[node] not in _BLOCK:
-            node = self.parents[node]
+        node = self.block[node]
         if self._fresh:
             if not text.strip():
                 return
@@ -161,31 +203,36 @@ class _Page:
 
     def _read(self, source: str) -> None:
         stack, links, articles, place = [0], 0, 0, 0
-        tags = self.tags
+        tags, tokens = self.tags, _Tokens(source)
+        open_at: dict[str, list[int]] = {}  # depths of the open elements by name
+        blocks: list[int] = []  # and of those that are blocks
 
         def close() -> None:
             nonlocal links, articles
             tag = tags[stack.pop()]
+            open_at[tag].pop()
+            if tag in _BLOCK:
+                blocks.pop()
             links -= tag == "a"
             articles -= tag in _CONTAINERS
             self._fresh |= tag in _BLOCK
 
-        while match := _TOKEN.search(source, place):
+        while match := tokens.next(place):
             self._text(source[place : match.start()], stack[-1], links > 0)
             place, tag = match.end(), (match[2] or "").lower()
             if not tag:
                 continue
             if match[1]:
-                depth = len(stack) - 1
-                while depth and tags[stack[depth]] != tag:
-                    # A stray end tag inside a block does not end what stands around the block.
-                    depth = 0 if tag not in _BLOCK and tags[stack[depth]] in _BLOCK else depth - 1
+                depth = open_at[tag][-1] if open_at.get(tag) else 0
+                # A stray end tag inside a block does not end what stands around the block.
+                if tag not in _BLOCK and blocks and blocks[-1] > depth:
+                    depth = 0
                 while depth and len(stack) > depth:
                     close()
                 continue
             if tag in _RAW:
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, place)
                 if not match[3].endswith("/"):
+                    end = _RAW_ENDS[tag].search(source, place)
                     place = end.end() if end else len(source)
                 continue
             if tag == "br":
@@ -194,12 +241,13 @@ class _Page:
             if tag in _VOID:
                 continue
             if ended := _ENDED_BY.get(tag):
+                stop = max((open_at[t][-1] for t in _STOPS[tag] if open_at.get(t)), default=0)
                 lowest = 0
-                for depth in range(len(stack) - 1, 0, -1):
-                    if tags[stack[depth]] in ended:
-                        lowest = depth
-                    elif tags[stack[depth]] in _SCOPES:
-                        break
+                for name in ended:
+                    depths = open_at.get(name, ())
+                    i = bisect.bisect_right(depths, stop)
+                    if i < len(depths) and (not lowest or depths[i] < lowest):
+                        lowest = depths[i]
                 while lowest and len(stack) > lowest:
                     close()
             parent = stack[-1]
@@ -208,8 +256,12 @@ class _Page:
             self.dropped.append(self.dropped[parent] or _unwanted(tag, match[3], articles > 0))
             names = set() if self.dropped[-1] else _named(tag, match[3])
             self.named.append(len(tags) - 1 if names else self.named[parent])
+            self.block.append(len(tags) - 1 if tag in _BLOCK else self.block[parent])
             if names:
                 self.names[len(tags) - 1] = names
+            open_at.setdefault(tag, []).append(len(stack))
+            if tag in _BLOCK:
+                blocks.append(len(stack))
             stack.append(len(tags) - 1)
             links += tag == "a"
             articles += tag in _CONTAINERS
@@ -248,6 +300,10 @@ def main_text(source: str | None) -> str:
     while above > 0 and tags[above] not in _CONTAINERS:
         above = parents[above]
     chosen = {above if above > 0 else best}
+    if above > 0 and tags[above] == "article":  # articles beside it that read like it belong to the text
+        for node in range(1, count):
+            if tags[node] == "article" and parents[node] == parents[above] and size[node] and linked[node] < 0.25 * size[node]:
+                chosen |= {node} if score[node] >= 0.2 * score[above] > 0 else set()
     if above <= 0:
         for node in range(1, count):
             if parents[node] == parents[best] and node != best and size[node]:
