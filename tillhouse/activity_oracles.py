@@ -1,4 +1,4 @@
-"""The activity queries in plain SQL for the second engine."""
+"""The queries beside the warehouse in plain SQL for the second engine."""
 
 from __future__ import annotations
 
@@ -53,6 +53,35 @@ _SQL = {
       select user_id, epoch_us(min(ts)) as since, epoch_us(max(ts)) + 4 * 3600000000 as until, count(*) as events,
         count(*) filter (event_type = 'purchase') as purchases, cast(sum(cents) as bigint) as cents
       from numbered group by user_id, session""",
+    "chg_order_differences": """
+      added as (select * from second_load except all select * from first_load),
+      dropped as (select * from first_load except all select * from second_load)
+      select o_orderkey, o_custkey, status, cents, count(*) as added, 0 as dropped from added group by all
+      union all
+      select o_orderkey, o_custkey, status, cents, 0, count(*) from dropped group by all""",
+    "chg_customer_versions": """
+      states as (
+        select 1 as i, * from snapshot_1 union all select 2, * from snapshot_2 union all select 3, * from snapshot_3),
+      single as (
+        select * from states
+        qualify row_number() over (partition by i, customer_id order by segment desc nulls last, cents desc nulls last) = 1),
+      starts as (
+        select *, case when lag(i) over own = i - 1 and lag(segment) over own is not distinct from segment
+          and lag(cents) over own is not distinct from cents then 0 else 1 end as new
+        from single window own as (partition by customer_id order by i)),
+      runs as (select *, sum(new) over (partition by customer_id order by i) as run from starts)
+      select customer_id, segment, cents, '2024-0' || min(i) || '-05' as valid_from,
+        case when max(i) < 3 then '2024-0' || (max(i) + 1) || '-05' end as valid_to
+      from runs group by customer_id, run, segment, cents""",
+    "chg_customers_between": """
+      single as (
+        select * from snapshot_2
+        qualify row_number() over (partition by customer_id order by segment desc nulls last, cents desc nulls last) = 1)
+      select * from single""",
+    "sum_line_cube": """
+      select flag, status, ship_year, line, cast(grouping_id(flag, status, ship_year, line) as bigint) as grouping_id, count(*) as lines,
+        cast(sum(quantity) as bigint) as quantity, min(cents) as least, max(cents) as most
+      from order_lines group by cube (flag, status, ship_year, line)""",
 }
 
 

@@ -1,4 +1,4 @@
-"""The activity plans as queries over the benchmark tables."""
+"""The plans beside the warehouse as queries over the benchmark tables."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillhouse.plans import activity
+from tillhouse.plans import activity, changes, summaries
 from tillhouse.sources.activity_tables import read_activity
 
 #: Per query its plan and the inputs that the plan takes.
@@ -17,6 +17,10 @@ _PLANS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "act_campaign_activity": (activity.campaign_activity, ("act_events", "act_campaigns")),
     "act_streamed_events": (activity.streamed_events, ("act_deliveries",)),
     "act_streamed_sessions": (activity.streamed_sessions, ("act_deliveries",)),
+    "chg_order_differences": (changes.order_differences, ("first_load", "second_load")),
+    "chg_customer_versions": (changes.customer_versions, ("snapshot_1", "snapshot_2", "snapshot_3")),
+    "chg_customers_between": (changes.customers_between, ("snapshot_1", "snapshot_2", "snapshot_3")),
+    "sum_line_cube": (summaries.line_cube, ("order_lines",)),
 }
 
 

@@ -36,6 +36,7 @@ def _top(source: str, value: str, k: int, key: str = "product") -> str:
       ) where rnk <= {k}"""
 
 
+_PERIODS = ("tran_year", "tran_quarter", "tran_month", "tran_month_week")
 _SLOT = "tran_year, tran_quarter, tran_month, tran_month_week, tran_day, tran_range"
 _ORDER = ", ".join(f"{c} nulls first" for c in ("tran_time", "customer_id", "store_id", "price", "product"))
 
@@ -337,6 +338,15 @@ _CTE |= {
       from ods_customer group by customer_id having count(*) > 1
       union all
       select 'store', store_id, count(*) from ods_store group by store_id having count(*) > 1""",
+    "dq_distinct_sketches": " union all ".join(
+        f"""
+      select '{periods[-1]}' as level, {", ".join(f"cast({p if p in periods else 'null'} as bigint) as {p}" for p in _PERIODS)},
+        count(distinct customer_id) as customers, 1 as within
+      from dwd_transaction group by {", ".join(periods)}"""
+        for periods in (_PERIODS[:size] for size in range(1, len(_PERIODS) + 1))
+    ),
+    "dq_quantile_sketches": """
+      select store_id, count(*) as prices, 1 as within from dwd_transaction where price is not null group by store_id""",
 }
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillhouse import activity_queries, schemas
-from tillhouse.plans import dwd, dws, ods, warehouse
+from tillhouse.plans import dwd, dws, ods, summaries, warehouse
 from tillhouse.sources import read_json_log
 from tillhouse.sources.benchmark_tables import read_input
 from tillhouse.staging import land_lines, pin
@@ -89,4 +89,6 @@ def queries() -> dict[str, Query]:
     found["dq_repeated_dimension_keys"] = over(
         lambda t: dwd.repeated_dimension_keys(t("ods.customer"), t("ods.store"))
     )
+    found["dq_distinct_sketches"] = over(lambda t: summaries.distinct_check(t("dwd.transaction")))
+    found["dq_quantile_sketches"] = over(lambda t: summaries.quantile_check(t("dwd.transaction")))
     return found | activity_queries.queries()

@@ -1,4 +1,5 @@
-"""Inputs of the activity plans: events of users, orders and campaigns in the events' month, deliveries in batches.
+"""Inputs of the plans beside the warehouse: events of users, orders and campaigns in the events' month, deliveries in
+batches, loads and snapshots.
 
 The texts run unchanged in DuckDB; Spark reads them with timestamps without time zone. A third of all orders
 belongs to one user, and half-hour times repeat within a user.
@@ -39,8 +40,64 @@ select event_id, user_id, event_type, cast(round(value * 100) as bigint), ts,
 from {events} where event_id % 5 = 0 and event_id % 31 <> 1 and event_id % 7 <> 3
 """
 
-INPUT_SQL = {"act_events": EVENTS, "act_orders": ORDERS, "act_campaigns": CAMPAIGNS, "act_deliveries": DELIVERIES}
-TABLES = ("events", "orders", "supplier")
+# Two loads of the orders: rows dropped, changed, repeated and, in one group of copies, a third of all rows.
+FIRST_LOAD = """
+select o_orderkey, o_custkey, case when o_orderkey % 23 = 0 then null else o_orderstatus end as status,
+  cast(round(o_totalprice * 100) as bigint) as cents
+from {orders}
+union all
+select o_orderkey, o_custkey, case when o_orderkey % 23 = 0 then null else o_orderstatus end,
+  cast(round(o_totalprice * 100) as bigint)
+from {orders} where o_orderkey % 19 = 0
+union all
+select -1, null, 'copy', null from {orders} where o_orderkey % 2 = 0
+"""
+
+SECOND_LOAD = """
+select o_orderkey, o_custkey, case when o_orderkey % 11 = 0 then null else o_orderstatus end as status,
+  cast(round(o_totalprice * 100) as bigint) as cents
+from {orders} where o_orderkey % 13 <> 0
+union all
+select o_orderkey, o_custkey, case when o_orderkey % 11 = 0 then null else o_orderstatus end,
+  cast(round(o_totalprice * 100) as bigint)
+from {orders} where o_orderkey % 17 = 0
+union all
+select -1, null, 'copy', null from {orders} where o_orderkey % 5 < 2
+"""
+
+# Three snapshots of the customers: some appear, change, change back, vanish, return; some have no key.
+_SNAPSHOT = """
+select case when c_custkey % 97 = 3 then null else c_custkey end as customer_id, {segment} as segment, {cents} as cents
+from {{customer}} where {where}
+"""
+_CENTS = "cast(round(c_acctbal * 100) as bigint)"
+_SOME_CENTS = f"case when c_custkey % 7 = 0 then null else {_CENTS} end"
+SNAPSHOTS = (
+    _SNAPSHOT.format(segment="c_mktsegment", cents=_CENTS, where="c_custkey % 29 <> 1"),
+    _SNAPSHOT.format(
+        segment="case when c_custkey % 5 = 0 then 'MOVED' else c_mktsegment end", cents=_SOME_CENTS, where="c_custkey % 31 <> 2"
+    ),
+    _SNAPSHOT.format(segment="c_mktsegment", cents=_SOME_CENTS, where="c_custkey % 37 <> 5"),
+)
+
+LINES = """
+select case when l_linenumber = 5 then null else l_returnflag end as flag, l_linestatus as status,
+  cast(year(l_shipdate) as int) as ship_year, l_linenumber as line, cast(l_quantity as bigint) as quantity,
+  cast(round(l_extendedprice * 100) as bigint) as cents
+from {lineitem}
+"""
+
+INPUT_SQL = {
+    "act_events": EVENTS,
+    "act_orders": ORDERS,
+    "act_campaigns": CAMPAIGNS,
+    "act_deliveries": DELIVERIES,
+    "first_load": FIRST_LOAD,
+    "second_load": SECOND_LOAD,
+    **{f"snapshot_{i}": text for i, text in enumerate(SNAPSHOTS, 1)},
+    "order_lines": LINES,
+}
+TABLES = ("events", "orders", "supplier", "customer", "lineitem")
 
 
 def read_activity(spark: SparkSession, folder: str, name: str) -> DataFrame:
