@@ -8,6 +8,8 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -240,6 +242,39 @@ def test_repeated_strings_by_brute_force(spark, options):
     assert sorted(map(tuple, got), key=repr) == sorted(suffix_dedup.brute_force(rows), key=repr)
 
 
+def periodic(period, size, seed=5):
+    rng = random.Random(seed + period)
+    letters = "".join(rng.choice("abcdefgh") for _ in range(period))
+    return (letters * (size // period + 1))[:size]
+
+
+def test_long_periodic_texts_by_brute_force(spark):
+    """Runs of one piece that are longer than one run may be, alone, repeated, and among other text."""
+    rows = [(1, "=" * 30_000), (2, periodic(7, 20_000)), (3, periodic(71, 16_000)), (4, "x" * 200 + "=" * 11_000 + "y" * 200), (5, periodic(7, 12_345)),
+            (6, periodic(11, 11_000) + periodic(400, 9000)), (7, "".join(f"{'-' * (i % 190)}\n" for i in range(150))), (8, periodic(13, 5040 + 99))]
+    want = sorted(suffix_dedup.brute_force(rows), key=repr)
+    for options in ({}, {"array_bytes": 3000}):
+        removed = suffix_dedup.remove_repeats(documents(spark, rows), **options)
+        got = removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
+        assert sorted(map(tuple, got), key=repr) == want
+
+
+def test_very_long_periodic_texts(spark):
+    sizes = {1: (1, 12_000_000), 7: (2, 12_000_003), 60: (3, 9_000_001)}
+    df = documents(spark, [(i, periodic(period, size)) for period, (i, size) in sizes.items()]).repartition(3)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(df).drop("kept").collect()}
+    assert got == {i: (size, size - period, 1) for period, (i, size) in sizes.items()}
+
+
+def test_runs_are_bounded():
+    rows = pa.RecordBatch.from_pylist([{"no_id": False, "doc_id": 1, "text_key": 5, "text": periodic(7, 9_000_000)}])
+    runs = pa.Table.from_batches(list(suffix_dedup._runs(iter([rows]))))
+    assert max(runs["size"].to_pylist()) <= suffix_dedup.LONGEST
+    assert sum(runs["size"].to_pylist()) == 9_000_000 - 99
+    left = list(suffix_dedup._sift(iter(runs.filter(pa.compute.invert(runs["sure"])).sort_by([("piece", "ascending"), ("bytes_key", "ascending"), ("first", "ascending")]).combine_chunks().to_batches())))
+    assert sum(sum(b["size"].filter(pa.compute.invert(b["sure"])).to_pylist()) for b in left) < 100_000
+
+
 def test_repeated_strings_of_whole_tables(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
     got = suffix_dedup.op5_suffix_dedup(spark, SMALL).collect()

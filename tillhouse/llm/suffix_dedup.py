@@ -26,9 +26,14 @@ from tillhouse.staging import pin
 
 SPAN, GRAM = 100, 32
 WIDTH = SPAN - GRAM + 1
-#: Bytes of runs in one suffix array, about; runs of a piece beyond which its strings are dealt out singly.
+#: Bytes of runs in one suffix array, about; runs of a piece beyond which its strings are dealt out singly, as they
+#: are beyond twice these bytes.
 ARRAY_BYTES, HOT_RUNS = 1_000_000, 10_000
-_BATCH_BYTES = 4_000_000
+#: Strings of one run at most: in long periodic texts a piece comes again and again. A number that most short periods
+#: divide, so that the runs of such a text are the same bytes.
+LONGEST = 5040
+#: Bytes of texts read at once, of a longer text one part after another, and strings dealt out at once.
+_BATCH_BYTES, _SINGLES = 4_000_000, 50_000
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 _KEY = ["no_id", "doc_id", "text_key"]
 _ORDER = ["no_id", "doc_id", "text_key", "first"]
@@ -102,6 +107,28 @@ def _emit(columns: dict[str, np.ndarray | list]) -> pa.RecordBatch:
     )
 
 
+def _add_runs(found: dict[str, list], row: dict, data: bytes, begin: int) -> None:
+    """The runs of a part of a text that begins at byte ``begin``."""
+    grams, pieces = _pieces(data)
+    changes = np.concatenate([[True], pieces[1:] != pieces[:-1]])
+    firsts = np.flatnonzero(changes)
+    sizes = np.diff(np.append(firsts, len(pieces)))
+    if sizes.max() > LONGEST:
+        for first, size in zip(firsts[sizes > LONGEST].tolist(), sizes[sizes > LONGEST].tolist(), strict=True):
+            changes[first : first + size : LONGEST] = True
+        firsts = np.flatnonzero(changes)
+        sizes = np.diff(np.append(firsts, len(pieces)))
+    ends = (firsts + sizes + SPAN - 1).tolist()
+    keys = [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(firsts.tolist(), ends, strict=True)]
+    found["piece"].append(pieces[firsts])
+    found["bytes_key"].append(np.array(keys, np.uint64))
+    found["inner"].append(_occurrences(grams, firsts, sizes, pieces[firsts]) > 1)
+    found["doc_id"].extend([None if row["no_id"] else row["doc_id"]] * len(firsts))
+    found["text_key"].append(np.full(len(firsts), row["text_key"], np.int64))
+    found["first"].append(firsts.astype(np.int64) + begin)
+    found["size"].append(sizes.astype(np.int64))
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in _text_batches(batches):
         found: dict[str, list] = {name: [] for name in ("piece", "bytes_key", "inner", "doc_id", "text_key", "first", "size")}
@@ -109,18 +136,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = row["text"].encode()
             if len(data) < SPAN:
                 continue
-            grams, pieces = _pieces(data)
-            firsts = np.flatnonzero(np.concatenate([[True], pieces[1:] != pieces[:-1]]))
-            sizes = np.diff(np.append(firsts, len(pieces)))
-            ends = (firsts + sizes + SPAN - 1).tolist()
-            keys = [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(firsts.tolist(), ends, strict=True)]
-            found["piece"].append(pieces[firsts])
-            found["bytes_key"].append(np.array(keys, np.uint64))
-            found["inner"].append(_occurrences(grams, firsts, sizes, pieces[firsts]) > 1)
-            found["doc_id"].extend([None if row["no_id"] else row["doc_id"]] * len(firsts))
-            found["text_key"].append(np.full(len(firsts), row["text_key"], np.int64))
-            found["first"].append(firsts.astype(np.int64))
-            found["size"].append(sizes.astype(np.int64))
+            for begin in range(0, len(data) - SPAN + 1, _BATCH_BYTES):
+                _add_runs(found, row, data[begin : begin + _BATCH_BYTES + SPAN - 1], begin)
         if found["piece"]:
             yield _emit({k: v if k == "doc_id" else np.concatenate(v) for k, v in found.items()})
 
@@ -172,6 +189,18 @@ def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(hot: bool):
     """The bytes of each run; of a hot piece, every string on its own under a piece made from its bytes."""
 
+    def rows(out: dict[str, list]) -> pa.RecordBatch:
+        if not hot:
+            kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 4, pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
+        return _emit({
+            "piece": np.array([xxhash.xxh3_64_intdigest(x) for x in out["bytes"]], np.uint64),
+            "bytes_key": np.array([xxhash.xxh64_intdigest(x) for x in out["bytes"]], np.uint64),
+            "inner": np.zeros(len(out["bytes"]), bool),
+            "doc_id": [None if gone else d for d, gone in zip(out["doc_id"], out["no_id"], strict=True)],
+            **{k: np.array(out[k], np.int64) for k in ("text_key", "first", "size")},
+        })
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 16):
             out: dict[str, list] = {name: [] for name in ("piece", "no_id", "doc_id", "text_key", "first", "size", "bytes")}
@@ -186,17 +215,10 @@ def _cut(hot: bool):
                         values = (part["piece"], row["no_id"], row["doc_id"], row["text_key"], first, 1 if hot else part["size"], cut)
                         for name, value in zip(out, values, strict=True):
                             out[name].append(value)
-            if hot:
-                yield _emit({
-                    "piece": np.array([xxhash.xxh3_64_intdigest(x) for x in out["bytes"]], np.uint64),
-                    "bytes_key": np.array([xxhash.xxh64_intdigest(x) for x in out["bytes"]], np.uint64),
-                    "inner": np.zeros(len(out["bytes"]), bool),
-                    "doc_id": [None if gone else d for d, gone in zip(out["doc_id"], out["no_id"], strict=True)],
-                    **{k: np.array(out[k], np.int64) for k in ("text_key", "first", "size")},
-                })
-            else:
-                kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 4, pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], names=list(out))
+                    if len(out["piece"]) >= _SINGLES:
+                        yield rows(out)
+                        out = {name: [] for name in out}
+            yield rows(out)
 
     return run
 
@@ -246,7 +268,7 @@ def _repeats(rows: pa.Table) -> pa.RecordBatch:
 
 
 def _sorted_repeats(array_bytes: int):
-    """Suffix arrays over whole pieces, from runs sorted by piece; a piece has a bounded number of runs."""
+    """Suffix arrays over whole pieces, from runs sorted by piece; a piece has a bounded number of runs and bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -288,7 +310,8 @@ def repeated_strings(texts: DataFrame, hot_runs: int = HOT_RUNS, array_bytes: in
     found = pin(sifted(texts.mapInArrow(_runs, _RUN)))
     repeats = found.where("sure").select(*_ORDER, "size")
     left = found.where("not sure")
-    hot = left.groupBy("piece").agg(F.count(F.lit(1)).alias("runs")).where(F.col("runs") > hot_runs)
+    sizes = left.groupBy("piece").agg(F.count(F.lit(1)).alias("runs"), F.sum(F.col("size") + SPAN).alias("bytes"))
+    hot = sizes.where((F.col("runs") > hot_runs) | (F.col("bytes") > 2 * array_bytes)).drop("bytes")
     marked = left.join(hot, "piece", "left").withColumn("hot", F.col("runs").isNotNull())
     of_doc = marked.groupBy(*_KEY).agg(F.collect_list(F.struct("piece", "first", "size", "hot")).alias("runs"))
     read = of_doc.join(texts, _KEY)
@@ -324,10 +347,10 @@ def _removed(batches: Iterator[pa.RecordBatch], as_text: bool) -> Iterator[pa.Re
             gone = np.zeros(size, bool)
             kept = data
             if found:
-                edge = np.zeros(size + 1, np.int64)
+                edge = np.zeros(size + 1, np.int32)
                 np.add.at(edge, [first for first, _ in found], 1)
                 np.add.at(edge, [first + count + SPAN - 1 for first, count in found], -1)
-                gone = np.cumsum(edge[:-1]) > 0
+                gone = np.cumsum(edge[:-1], dtype=np.int32) > 0
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
             spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
             kept = kept.decode("utf-8", "ignore") if as_text else kept
