@@ -172,6 +172,54 @@ def test_offences_inside_clauses_without_spaces_are_found(spark):
     assert spans and sum("馬鹿" in s and "。" not in s for s in spans) >= 0.95 * len(spans)
 
 
+def test_texts_without_sentence_ends(spark):
+    """Long runs of clean words stay clean, however often one with a little weight comes; an offence in them is found."""
+    rows = toxic_rows(900, 5)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    model = toxicity.train(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    scorer = toxicity.Scorer(model)
+    chance = lambda text: scorer.chance(scorer.sentences(text)[1])
+    words = " ".join(t.replace(".", "") for _, t, y in rows if not y).split()
+    clean = " ".join((words * (100_000 // len(words) + 1))[:100_000])
+    assert chance(clean) < 0.1
+    worst = next(t for _, t, y in rows if y and chance(t) >= toxicity.THRESHOLD)
+    assert chance(clean + " " + worst.replace(".", "") + " " + clean) >= toxicity.THRESHOLD
+    spans, odds = scorer.sentences(clean)
+    assert len(spans) > 3000 and max(b - a for a, b in spans) < 1000 and spans[-1][1] == len(clean)
+    slight = toxicity.Scorer(toxicity.Model(-7.0, {"one": 0.3}))
+    assert slight.chance(slight.sentences("one two three " * 1000)[1]) < 0.01
+
+
+def test_windows_cover_all_words():
+    for count in (1, 60, 61, 89, 90, 91, 1000):
+        windows = toxicity._windows(count)
+        assert set().union(*(range(a, b) for a, b in windows)) == set(range(count))
+        assert all(b - a <= toxicity.WINDOW for a, b in windows) and windows[-1][1] == count
+
+
+def test_one_formula_for_fit_and_score():
+    rng = np.random.default_rng(3)
+    odds = [rng.uniform(-6, high, size) for high, size in ((-4, 1000), (-2.9, 30), (1, 5), (-5, 1))]
+    owner = np.repeat(np.arange(4), [len(o) for o in odds])
+    clean, counts = toxicity.log_clean(np.concatenate(odds), owner, 4, -7.0)
+    scorer = toxicity.Scorer(toxicity.Model(-7.0, {}))
+    assert [scorer.chance(o) for o in odds] == pytest.approx((-np.expm1(clean)).tolist())
+    assert counts.sum() == 1 + max(1, (odds[1] >= toxicity.SLIGHT).sum()) + max(1, (odds[2] >= toxicity.SLIGHT).sum()) + 1
+
+
+def test_sample_is_bounded_by_rows_of_an_id_and_characters(spark, monkeypatch):
+    rows = toxic_rows(300, 6)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(rows[0][0], rows[0][1])] * 500, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    seen, fit = [], toxicity._fit
+    monkeypatch.setattr(toxicity, "_fit", lambda found, names: seen.append(len(found)) or fit(found, names, 5))
+    toxicity.train(docs, labels)
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", sum(len(t) for _, t, _ in rows) // 4)
+    toxicity.train(docs, labels)
+    learned = sum(zlib.crc32(str(i).encode()) % 3 != 1 for i, _, _ in rows)
+    assert seen[0] == learned and 20 < seen[1] < learned / 2
+
+
 def test_length_alone_makes_no_text_toxic(spark):
     rows = toxic_rows(900, 5)
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")

@@ -1,11 +1,11 @@
 """Toxicity by multiple-instance learning.
 
-Only documents are labelled. A sentence has a logistic score over its words and word beginnings; a
-document is toxic unless all its sentences are clean, so its score is the noisy-or of theirs and of one
-chance that every document has once. What a sentence without known features would add is taken off,
-and of sentences with slight evidence alone only the strongest counts, so that length alone makes no text toxic. The
-weights are fitted to the documents' labels through that noisy-or, and the sentence scores then show
-where in a document the offence is.
+Only documents are labelled. A sentence, or a window of a long one, has a logistic score over its
+different words and word beginnings; a document is toxic unless all its sentences are clean, so its score
+is the noisy-or of theirs and of one chance that every document has once. What a sentence without known
+features would add is taken off, and of sentences with slight evidence alone only the strongest counts, so
+that length alone makes no text toxic. The weights are fitted to the documents' labels through the same
+noisy-or, and the sentence scores then show where in a document the offence is.
 """
 
 from __future__ import annotations
@@ -18,20 +18,22 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillhouse.llm.common import remainder, slices, table
 from tillhouse.staging import pin
 
-#: Labelled documents to learn from at most (those whose id has the least hash), and features kept.
-SAMPLE, FEATURES = 20_000, 4096
+#: Labelled documents to learn from at most (those whose id has the least hash), their characters, and features kept.
+SAMPLE, SAMPLE_CHARS, FEATURES = 20_000, 100_000_000, 4096
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
 #: Lengths of the character runs that stand for words in scripts without spaces.
 GRAMS = (2, 3, 4)
 #: Log-odds of a sentence without known features, and those below which sentences do not add up.
 BASE, SLIGHT = -6.0, math.log(0.05 / 0.95)
+#: Words of one instance at most, and those from one instance of a longer sentence to the next.
+WINDOW, STEP = 60, 30
 _REMEMBERED = 150_000
 _SENTENCE = re.compile(r"[^.!?\n。！？．｡]+")
 #: Thai, Lao, Myanmar, Khmer, kana, Chinese characters.
@@ -47,12 +49,32 @@ def features_of(word: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """Log-odds of a document without known features, and what each feature adds to a sentence per occurrence."""
+    """Log-odds of a document without known features, and what each feature's words add to a sentence that has them."""
 
     leak: float
     weights: dict[str, float]
 
 
+def _windows(count: int) -> list[tuple[int, int]]:
+    """Overlapping windows over ``count`` words; a word stands in two at most."""
+    if count <= WINDOW:
+        return [(0, count)]
+    return [(begin, min(begin + WINDOW, count)) for begin in range(0, count - WINDOW + STEP, STEP)]
+
+
+def instances(text: str) -> Iterator[tuple[int, int, list[str]]]:
+    """Place and different words of every sentence with words, or of the windows of a long one."""
+    for match in _SENTENCE.finditer(text):
+        words = _WORD.findall(match[0].lower())
+        if len(words) > WINDOW:
+            places = [m.span() for m in _WORD.finditer(text, *match.span())]
+            words = [text[a:b].lower() for a, b in places]
+            for begin, past in _windows(len(words)):
+                yield places[begin][0], places[past - 1][1], list(dict.fromkeys(words[begin:past]))
+        elif words:
+            yield *match.span(), list(dict.fromkeys(words))
+
+
 class Scorer:
     """Scores texts; what a word adds is remembered up to a bound."""
 
@@ -71,16 +93,30 @@ class Scorer:
     def sentences(self, text: str) -> tuple[list[tuple[int, int]], np.ndarray]:
         """Where the sentences are, and the log-odds of each; a text without any is one empty sentence."""
         spans, odds = [], []
-        for match in _SENTENCE.finditer(text):
-            spans.append(match.span())
-            odds.append(sum(map(self.added, _WORD.findall(match[0].lower())), BASE))
+        for begin, past, words in instances(text):
+            spans.append((begin, past))
+            odds.append(sum(map(self.added, words), BASE))
         return spans or [(0, 0)], np.array(odds or [BASE])
 
     def chance(self, odds: np.ndarray) -> float:
         """Noisy-or of a text's sentences and what every document has once."""
-        telling = odds[odds >= SLIGHT] if odds.max() >= SLIGHT else odds.max(keepdims=True)
-        added = np.maximum(np.logaddexp(0, telling) - np.logaddexp(0, BASE), 0)
-        return float(-np.expm1(-np.logaddexp(0, self.leak) - added.sum()))
+        clean, _ = log_clean(odds, np.zeros(len(odds), np.int64), 1, self.leak)
+        return float(-np.expm1(clean[0]))
+
+
+def log_clean(odds: np.ndarray, owner: np.ndarray, documents: int, leak: float) -> tuple[np.ndarray, np.ndarray]:
+    """Log of the chance that a document is clean, from its sentences' log-odds; and which sentences count.
+
+    Those with more than slight evidence do, and of a document without any the strongest.
+    """
+    most = np.full(documents, -np.inf)
+    np.maximum.at(most, owner, odds)
+    telling = odds >= SLIGHT
+    counts = telling | (odds >= most[owner]) & (most[owner] < SLIGHT)
+    none = np.logaddexp(0, BASE)
+    slight = np.where(most < SLIGHT, np.maximum(np.logaddexp(0, most) - none, 0), 0)
+    added = slight + np.bincount(owner[telling], np.logaddexp(0, odds[telling]) - none, documents)
+    return -added - np.logaddexp(0, leak), counts
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,10 +158,7 @@ def _instances(index: dict[str, int]):
         for batch in slices(batches):
             marked = []
             for text in batch.column("text").to_pylist():
-                sentences = [
-                    list(chain.from_iterable(map(known.__getitem__, _WORD.findall(m[0].lower()))))
-                    for m in _SENTENCE.finditer(text)
-                ]
+                sentences = (list(chain.from_iterable(map(known.__getitem__, words))) for _, _, words in instances(text))
                 marked.append([s for s in sentences if s])
             yield pa.RecordBatch.from_pydict({
                 "toxic": batch.column("toxic"), "marked": pa.array(marked, pa.list_(pa.list_(pa.int32()))),
@@ -135,7 +168,7 @@ def _instances(index: dict[str, int]):
 
 
 def _fit(rows: list, features: list[str], steps: int = 400) -> Model:
-    """Weights of least log loss of the noisy-or, by Adam with a small quadratic penalty."""
+    """Weights of least log loss of the noisy-or of ``log_clean``, by Adam with a small quadratic penalty."""
     labels = np.array([row["toxic"] for row in rows], float)
     if not features or not 0 < labels.sum() < len(labels):
         return Model(math.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1)), {})
@@ -150,11 +183,10 @@ def _fit(rows: list, features: list[str], steps: int = 400) -> Model:
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         odds = BASE + np.bincount(sentence, theta[ids], len(marked))
-        added = np.maximum(np.logaddexp(0, odds) - np.logaddexp(0, BASE), 0)
-        clean = -np.bincount(owner, added, len(rows)) - np.logaddexp(0, theta[-1])
+        clean, counts = log_clean(odds, owner, len(rows), theta[-1])
         clean = np.minimum(clean, -1e-9)  # log of the chance that all sentences are clean
         slope = np.where(labels == 1, 1 / np.expm1(-clean), -1.0)
-        by_sentence = -slope[owner] / (1 + np.exp(-odds)) * (odds >= BASE)
+        by_sentence = -slope[owner] / (1 + np.exp(-odds)) * (counts & (odds >= BASE))
         gradient = np.bincount(ids, by_sentence[sentence], len(features) + 1)
         gradient[-1] = -slope.sum() / (1 + np.exp(-theta[-1]))
         gradient = gradient / len(rows) + 1e-5 * np.append(theta[:-1], 0)
@@ -165,17 +197,21 @@ def _fit(rows: list, features: list[str], steps: int = 400) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> Model:
-    """Learns from at most ``sample`` labelled documents that are not held out.
+    """Learns from at most ``sample`` labelled documents, and SAMPLE_CHARS characters, that are not held out.
 
     Labels are doc_id and toxic (0 or 1); rows with a null in either are ignored, a repeated id is
-    toxic if any of its rows says so. The sample's ids are broadcast: their number is bounded. Of the
-    words and word beginnings the ``features`` most telling of toxic documents are kept.
+    toxic if any of its rows says so. Of rows of ``docs`` that share an id the one whose text has the least hash
+    is read. The sample's ids are broadcast: their number is bounded. Of the words and word beginnings the ``features`` most telling of toxic documents are kept.
     """
     usable = labels.where("doc_id is not null and toxic is not null").where(remainder("doc_id", 3) != 1)
     one = usable.groupBy("doc_id").agg(F.max(F.col("toxic").cast("long")).alias("toxic"))
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = pin(texts.join(F.broadcast(chosen), "doc_id").select("toxic", "text"))
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    in_order = Window.orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)  # over the sample
+    sizes = found.select("doc_id", F.xxhash64("doc_id").alias("key"), F.length("text").alias("size"))
+    fitting = sizes.withColumn("before", F.coalesce(F.sum("size").over(in_order), F.lit(0))).where(F.col("before") + F.col("size") <= SAMPLE_CHARS)
+    rows = pin(found.join(F.broadcast(fitting.select("doc_id")), "doc_id", "left_semi").select("toxic", "text"))
     total, toxic = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     counts = rows.mapInArrow(_counts, "feature string, docs long, toxic_docs long").groupBy("feature").agg(F.sum("docs").alias("d"), F.sum("toxic_docs").alias("t"))
     share = toxic / total if total else 0.0
