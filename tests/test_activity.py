@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillhouse.functions import epoch_micros
-from tillhouse.operators import asof_join, interval_join
+from tillhouse.operators import asof_join, fill_gaps, interval_join
 from tillhouse.streaming import advance, read_arrivals, replay, sessions, unique_events
 
 from tests.helpers import rows_of
@@ -146,6 +146,29 @@ def test_epoch_micros_do_not_depend_on_the_zone(spark):
     assert len(seen) == 1 and [b - a for a, b in seen] == [150 * 60_000_000]
 
 
+def test_gaps_by_brute_force(spark):
+    rng = random.Random(6)
+    found = [(rng.choice([7] * 5 + [1, 2, None]), rng.choice([None, *range(-30, 400)]), rng.choice([None, 1, 2]), "x") for _ in range(200)]
+    found += [(3, 10, 5, "a"), (3, 45_000, 6, "b"), (4, 1, None, None)]
+    df = spark.createDataFrame(found, "user int, slot int, value int, name string")
+    best = {}
+    for user, slot, value, name in found:
+        if None not in (user, slot):
+            best.setdefault(user, {}).setdefault(slot, []).append(((value is not None, value or 0), (name is not None, name or ""), (value, name)))
+    want = []
+    for user, slots in best.items():
+        row = None
+        for slot in range(min(slots), max(slots) + 1):
+            row = max(slots[slot])[-1] if slot in slots else row
+            want.append((user, slot, *row, slot not in slots))
+    got = fill_gaps(df, ["user"], "slot")
+    assert got.columns == ["user", "slot", "value", "name", "filled"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert fill_gaps(df.limit(0), ["user"], "slot").count() == 0
+    with pytest.raises(ValueError):
+        fill_gaps(df.withColumn("filled", F.lit(1)), ["user"], "slot")
+
+
 # ---- streams
 
 ROWS = "id long, user int, at timestamp, name string"

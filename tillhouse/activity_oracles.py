@@ -42,6 +42,13 @@ _SQL = {
       select campaign_id, event_type, count(*) as events, cast(sum(cents) as bigint) as cents,
         min(user_id) as least_user, max(user_id) as greatest_user
       from found group by campaign_id, event_type""",
+    "act_hourly_activity": """
+      hours as (
+        select user_id, epoch_us(ts) // 3600000000 as hour, count(*) as events, max(cents) as cents from act_events group by all),
+      grid as (select user_id, unnest(range(min(hour), max(hour) + 1)) as hour from hours group by user_id)
+      select user_id, hour, coalesce(events, 0) as events,
+        last_value(cents ignore nulls) over (partition by user_id order by hour) as cents
+      from grid left join hours using (user_id, hour)""",
     "act_streamed_events": f"""{_ARRIVED}
       select event_id, user_id, event_type, cents, epoch_us(ts) as ts from arrived""",
     "act_streamed_sessions": f"""{_ARRIVED},
@@ -78,6 +85,14 @@ _SQL = {
         select * from snapshot_2
         qualify row_number() over (partition by customer_id order by segment desc nulls last, cents desc nulls last) = 1)
       select * from single""",
+    "dq_rejected_of_dirty_transactions": """
+      judged as (
+        select *, case when transaction_id like 'T%' then 'transaction_id' when customer_id = 'abc' then 'customer_id'
+            when store_id = '1e' then 'store_id' when price = '12,5' then 'price'
+            when date is null or date in ('2018-02-30', '18-1-1', '2018-1-x') or time in ('25', '48:00:00', '10:61:00', 'noon', '')
+            then 'datetime' end as reason
+        from dirty_transactions)
+      select * from judged where reason is not null""",
     "sum_line_cube": """
       select flag, status, ship_year, line, cast(grouping_id(flag, status, ship_year, line) as bigint) as grouping_id, count(*) as lines,
         cast(sum(quantity) as bigint) as quantity, min(cents) as least, max(cents) as most

@@ -1,6 +1,7 @@
 """Operators that a plain Spark call would funnel through one task, in forms that stay distributed."""
 
 from tillhouse.operators.asof import asof_join
+from tillhouse.operators.gaps import fill_gaps
 from tillhouse.operators.history import as_of, next_version
 from tillhouse.operators.intervals import interval_join
 from tillhouse.operators.lattice import lattice_cube
@@ -14,6 +15,7 @@ __all__ = [
     "as_of",
     "asof_join",
     "column_maxima",
+    "fill_gaps",
     "global_positions",
     "interval_join",
     "lattice_cube",

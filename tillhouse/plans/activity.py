@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions import epoch_micros
 from tillhouse.operators.asof import asof_join
+from tillhouse.operators.gaps import fill_gaps
 from tillhouse.operators.intervals import interval_join
 from tillhouse.streaming import replay, sessions, unique_events
 
@@ -57,6 +58,14 @@ def campaign_activity(events: DataFrame, campaigns: DataFrame) -> DataFrame:
     )
 
 
+def hourly_activity(events: DataFrame) -> DataFrame:
+    """Events of each user in every hour from the first to the last, and the largest amount of the last hour with any."""
+    hour = F.expr("micros div 3600000000")
+    hours = events.withColumn("micros", _micros(events, "ts")).groupBy("user_id", hour.alias("hour"))
+    series = fill_gaps(hours.agg(F.count(F.lit(1)).alias("events"), F.max("cents").alias("cents")), ["user_id"], "hour")
+    return series.select("user_id", "hour", F.when(F.col("filled"), 0).otherwise(F.col("events")).alias("events"), "cents")
+
+
 #: How late an event may come, and the pause that ends a session.
 DELAY, PAUSE = "10 days", "4 hours"
 

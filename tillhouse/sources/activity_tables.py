@@ -7,6 +7,8 @@ belongs to one user, and half-hour times repeat within a user.
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillhouse.sources.benchmark_tables import TRANSACTION
+
 EVENTS = """
 select event_id, user_id, event_type, cast(round(value * 100) as bigint) as cents, ts from {events}
 """
@@ -87,6 +89,19 @@ select case when l_linenumber = 5 then null else l_returnflag end as flag, l_lin
 from {lineitem}
 """
 
+# The raw transactions with every kind of value that cannot be read, one in a row, and some odd ones that can.
+DIRTY = f"""
+select case kind when 1 then concat('T', transaction_id) when 14 then null else transaction_id end as transaction_id,
+  case kind when 2 then 'abc' else customer_id end as customer_id,
+  case kind when 3 then '1e' else store_id end as store_id,
+  case kind when 4 then '12,5' else price end as price,
+  product,
+  case kind when 5 then '2018-02-30' when 6 then '18-1-1' when 7 then null when 15 then '2018-1-x' else date end as date,
+  case kind when 8 then '25' when 9 then '48:00:00' when 10 then '10:61:00' when 11 then 'noon' when 12 then '26:10:00'
+    when 13 then '10:5' when 16 then '' else time end as time
+from (select cast(transaction_id as int) % 50 as kind, * from ({TRANSACTION}) t) k
+"""
+
 INPUT_SQL = {
     "act_events": EVENTS,
     "act_orders": ORDERS,
@@ -96,8 +111,9 @@ INPUT_SQL = {
     "second_load": SECOND_LOAD,
     **{f"snapshot_{i}": text for i, text in enumerate(SNAPSHOTS, 1)},
     "order_lines": LINES,
+    "dirty_transactions": DIRTY,
 }
-TABLES = ("events", "orders", "supplier", "customer", "lineitem")
+TABLES = ("events", "orders", "supplier", "customer", "lineitem", "part")
 
 
 def read_activity(spark: SparkSession, folder: str, name: str) -> DataFrame:
