@@ -116,6 +116,45 @@ def test_odd_vectors_take_no_part(spark):
     assert neighbours.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_every_code_within_the_radius_is_found():
+    rng = np.random.default_rng(4)
+    vectors = rng.standard_normal((600, 64))
+    vectors[300:400] = vectors[:100]
+    codes = neighbours.learn(vectors)
+    code = codes.encode(vectors)
+    shard = neighbours.Shard(np.arange(600), vectors, code)
+    whole = code.view(np.uint64)
+    apart = np.bitwise_count(whole[:40, None, :] ^ whole[None]).sum(axis=2)
+    for radius in (0, 3, 17, 40, 64, 128):
+        q, r = shard.within(code[:40], radius)
+        assert sorted(zip(q.tolist(), r.tolist(), strict=True)) == [tuple(x) for x in np.argwhere(apart <= radius).tolist()]
+
+
+def test_many_shards_chunks_and_outliers(spark, monkeypatch):
+    """Clusters that give a small radius, and queries far from all rows, for which it is widened."""
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 100)
+    monkeypatch.setattr(neighbours, "SHARD_QUERIES", 30)
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((20, 32))
+    rows = [(i, (centres[i % 20] + 0.05 * rng.standard_normal(32)).tolist()) for i in range(1000) if i % 10]
+    rows += [(i * 10, rng.standard_normal(32).tolist()) for i in range(100)]  # the queries
+    rows += rows[:30] + [(15, rows[0][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, F.col("vec_id") % 10 == 0)
+    assert got.groupBy("query_id").count().where("count = 5").count() == 100
+    ids, vectors = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    units, hits = vectors / np.linalg.norm(vectors, axis=1, keepdims=True), 0
+    best = collections.defaultdict(dict)
+    for q in np.flatnonzero(ids % 10 == 0):
+        for i, c in zip(ids.tolist(), (units @ units[q]).tolist(), strict=True):
+            if i != ids[q]:
+                best[ids[q]][i] = max(c, best[ids[q]].get(i, -2))
+    for r in got.collect():
+        assert r.score == pytest.approx(best[r.query_id][r.vec_id])
+        hits += r.vec_id in sorted(best[r.query_id], key=lambda i: (-best[r.query_id][i], i))[:5]
+    assert hits >= 0.8 * 500
+
+
 def test_pigeonhole_shares():
     for radius in range(129):
         shares = neighbours.part_radii(radius)

@@ -3,8 +3,10 @@
 Vectors become binary codes by rotations learned on a sample (iterative quantisation). A code is cut
 into substrings, each indexed on its own. Codes within a Hamming radius must come close in one
 substring at least (pigeonhole), so a query probes in each index the values within that index's share
-of the radius, and finds every code within the radius; what it finds is ranked by exact cosine. The
-radius is learned from the neighbours within the sample. Queries that find too few look at all rows.
+of the radius, and finds every code within the radius; what it finds is ranked by exact cosine. Rows lie in
+shards of bounded size, each with the indexes of its own codes, so that a vector moves once and not once for
+every substring; every query visits every shard and takes the best of each along. The radius is learned
+from the neighbours within the sample and widened in steps for queries that find too few.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillhouse.llm.common import sorted_groups, table
 from tillhouse.staging import pin
@@ -27,9 +30,11 @@ PART_BITS = BITS // PARTS
 #: Rows that the rotations and the radius are learned from at most; share of the sample's own
 #: neighbours that the radius has to reach.
 SAMPLE, REACH = 4096, 0.98
-#: Indexed rows and queries that meet in one task, about.
-CELL_ROWS, CELL_QUERIES = 4096, 2048
-_QUERY_BLOCK = 64
+#: Rows of a shard, and queries that visit it in one task, about.
+SHARD_ROWS, SHARD_QUERIES = 16_384, 4096
+#: What a radius that was too small is widened by, as often as need be.
+WIDER = 32
+_QUERY_BLOCK = 32
 
 
 @dataclass(frozen=True)
@@ -73,9 +78,11 @@ def learn(vectors: np.ndarray, neighbours: int = NEIGHBOURS, reach: float = REAC
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and embedding (doubles) of rows that take part, all of the commonest length."""
+    """vec_id and embedding of rows that take part, all of the commonest length; floats stay as they are given."""
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    given = vectors.schema["embedding"].dataType
+    kind = "array<float>" if given == T.ArrayType(T.FloatType(), given.containsNull) else "array<double>"
+    rows = vectors.select("vec_id", F.col("embedding").cast(kind).alias("embedding"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad)
     rows = rows.where(F.exists("embedding", lambda x: x != 0))
     sizes = rows.groupBy(F.size("embedding").alias("width")).agg(F.count(F.lit(1)).alias("rows"))
@@ -85,102 +92,82 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 def _matrix(column: pa.Array) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy().reshape(len(column), -1)
-
-
-def _encode(codes: Codes):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                found = codes.encode(_matrix(batch.column("embedding")))
-                parts = found.view(np.uint16).byteswap().astype(np.int32)
-                yield pa.RecordBatch.from_pydict({
-                    "vec_id": batch.column("vec_id"), "embedding": batch.column("embedding"),
-                    "code": pa.array([row.tobytes() for row in found], pa.binary()),
-                    "parts": pa.array(list(parts), pa.list_(pa.int32())),
-                })
-
-    return run
-
-
-def _rank(radius: int, neighbours: int):
-    radii = part_radii(radius)
-
-    def near(queries: pa.Table, rows: pa.Table, part: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Per block of queries the pairs first found through this part: query, vec_id and cosine."""
-        ids, vectors = rows["vec_id"].to_numpy(), _matrix(rows["embedding"])
-        code = np.frombuffer(b"".join(rows["code"].to_pylist()), np.uint8).reshape(len(ids), -1)
-        small, large = code.view(np.uint16), code.view(np.uint64)
-        norms = np.sqrt((vectors * vectors).sum(axis=1))
-        for start in range(0, queries.num_rows, _QUERY_BLOCK):
-            block = queries.slice(start, _QUERY_BLOCK)
-            own, asked = block["vec_id"].to_numpy(), _matrix(block["embedding"])
-            theirs = np.frombuffer(b"".join(block["code"].to_pylist()), np.uint8).reshape(len(own), -1)
-            q, r = np.nonzero(np.bitwise_count(theirs.view(np.uint16)[:, part, None] ^ small[None, :, part]) <= radii[part])
-            close = np.bitwise_count(theirs.view(np.uint64)[q] ^ large[r]).sum(axis=1) <= radius
-            close &= own[q] != ids[r]
-            q, r = q[close], r[close]
-            for earlier in range(part):
-                first = np.bitwise_count(theirs.view(np.uint16)[q, earlier] ^ small[r, earlier]) > radii[earlier]
-                q, r = q[first], r[first]
-            for some in np.array_split(np.arange(len(q)), len(q) // 200_000 + 1):
-                a, b = asked[q[some]], vectors[r[some]]
-                cosine = (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * norms[r[some]])
-                yield own[q[some]], ids[r[some]], cosine
-
-    def best(query: np.ndarray, ids: np.ndarray, cosine: np.ndarray) -> tuple[np.ndarray, ...]:
-        order = np.lexsort((-cosine, ids, query))
-        query, ids, cosine = query[order], ids[order], cosine[order]
-        fresh = np.ones(len(query), bool)
-        fresh[1:] = (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])
-        query, ids, cosine = query[fresh], ids[fresh], cosine[fresh]
-        order = np.lexsort((ids, -cosine, query))
-        query, ids, cosine = query[order], ids[order], cosine[order]
-        place = np.arange(len(query)) - np.searchsorted(query, query)
-        return tuple(x[place < neighbours] for x in (query, ids, cosine))
-
+    return column.flatten().to_numpy().astype(np.float64).reshape(len(column), -1)
+
+
+class Shard:
+    """Some rows with one index per substring: its values in order, and the rows of each."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, code: np.ndarray):
+        self.ids, self.vectors, self.code = ids, vectors, code.view(np.uint64)
+        self.norms = np.sqrt((vectors * vectors).sum(axis=1))
+        parts = code.view(np.uint16)
+        self.orders = [np.argsort(parts[:, part], kind="stable") for part in range(PARTS)]
+        self.values, self.starts = [], []
+        for part, order in enumerate(self.orders):
+            values, starts = np.unique(parts[order, part], return_index=True)
+            self.values.append(values)
+            self.starts.append(np.append(starts, len(ids)))
+
+    def within(self, code: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of query and row whose codes differ in ``radius`` bits at most, each found in one substring at least."""
+        parts, whole = code.view(np.uint16), code.view(np.uint64)
+        met = np.zeros((len(code), len(self.ids)), bool)
+        for part, share in enumerate(part_radii(radius)):
+            q, v = np.nonzero(np.bitwise_count(parts[:, part, None] ^ self.values[part][None, :]) <= share)
+            sizes = np.diff(self.starts[part])[v]
+            ends = np.cumsum(sizes)
+            at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[part][v] - ends + sizes, sizes)
+            met[np.repeat(q, sizes), self.orders[part][at]] = True
+        q, r = np.nonzero(met)
+        close = np.bitwise_count(whole[q] ^ self.code[r]).sum(axis=1) <= radius
+        return q[close], r[close]
+
+    def best(self, own: np.ndarray, asked: np.ndarray, code: np.ndarray, radius: int, neighbours: int) -> tuple[np.ndarray, ...]:
+        """Of every query the nearest rows within the radius: query, vec_id and cosine, and how many it found."""
+        q, r = self.within(code, radius)
+        other = own[q] != self.ids[r]
+        q, r = q[other], r[other]
+        cosine = np.empty(len(q))
+        lengths = np.sqrt((asked * asked).sum(axis=1))
+        for some in np.array_split(np.arange(len(q)), len(q) // 200_000 + 1):
+            products = np.einsum("ij,ij->i", asked[q[some]], self.vectors[r[some]])
+            cosine[some] = products / (lengths[q[some]] * self.norms[r[some]])
+        order = np.lexsort((self.ids[r], -cosine, q))
+        q, r, cosine = q[order], r[order], cosine[order]
+        fresh = np.ones(len(q), bool)  # a repeated row stands beside itself
+        fresh[1:] = (q[1:] != q[:-1]) | (self.ids[r][1:] != self.ids[r][:-1])
+        q, r, cosine = q[fresh], r[fresh], cosine[fresh]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        return tuple(x[place < neighbours] for x in (own[q], self.ids[r], cosine))
+
+
+def _visit(codes: Codes, neighbours: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in sorted_groups(batches, ["part", "prefix", "salt", "chunk"]):
+        for group in sorted_groups(batches, ["shard", "chunk"]):
             queries, rows = group.filter(group["asks"]), group.filter(pa.compute.invert(group["asks"]))
-            if queries.num_rows and rows.num_rows:
-                part = group["part"][0].as_py()
-                for found in near(queries.combine_chunks(), rows.combine_chunks(), part):
-                    columns = best(*found)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["query_id", "vec_id", "score"])
+            if not queries.num_rows or not rows.num_rows:
+                continue
+            vectors = _matrix(rows["embedding"])
+            shard = Shard(rows["vec_id"].to_numpy(), vectors, codes.encode(vectors))
+            own, asked = queries["vec_id"].to_numpy(), _matrix(queries["embedding"])
+            code = codes.encode(asked)
+            for start in range(0, len(own), _QUERY_BLOCK):
+                some = slice(start, start + _QUERY_BLOCK)
+                found = shard.best(own[some], asked[some], code[some], codes.radius, neighbours)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["query_id", "vec_id", "score"])
 
     return run
 
 
-def _probe(queries: DataFrame, index: DataFrame, radius: int, parts: int, bits: int, neighbours: int) -> DataFrame:
-    """Pairs within ``radius`` found through the first ``parts`` substrings, the best of each query and cell.
-
-    A cell is a substring's first ``bits`` bits. Cells with many rows or many queries are dealt out
-    in chunks, each of the one meeting each of the other.
-    """
-    key = ["part", "prefix"]
-    radii = F.array(*[F.lit(r) for r in part_radii(radius)])
-
-    def prefix(value: Column) -> Column:
-        return F.shiftright(value, PART_BITS - bits)
-
-    used = F.slice("parts", 1, parts)
-    held = index.select("vec_id", "embedding", "code", F.posexplode(used).alias("part", "value"))
-    held = held.withColumn("prefix", prefix(F.col("value"))).drop("value")
-    asking = queries.select("vec_id", "embedding", "code", F.posexplode(used).alias("part", "value"))
-    apart = lambda cell: F.bit_count(cell.bitwiseXOR(prefix(F.col("value"))))
-    probes = F.filter(F.sequence(F.lit(0), F.lit(2**bits - 1)), lambda cell: apart(cell) <= F.get(radii, F.col("part")))
-    asking = asking.withColumn("prefix", F.explode(probes)).drop("value")
-
-    salts = held.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).cast("int").alias("salts"))
-    chunks = asking.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / CELL_QUERIES).cast("int").alias("chunks"))
-    cells = salts.join(chunks, key)
-    own = F.xxhash64("vec_id")
-    rows = held.join(cells, key).withColumns({"salt": F.pmod(own, "salts").cast("int"), "chunk": F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)), "asks": F.lit(False)})
-    asks = asking.join(cells, key).withColumns({"salt": F.explode(F.sequence(F.lit(0), F.col("salts") - 1)), "chunk": F.pmod(own, "chunks").cast("int"), "asks": F.lit(True)})
-    dealt = rows.unionByName(asks).drop("salts", "chunks")
-    keys = [*key, "salt", "chunk"]
-    met = dealt.repartition(*keys).sortWithinPartitions(*keys)
-    return met.mapInArrow(_rank(radius, neighbours), "query_id long, vec_id long, score double")
+def _search(queries: DataFrame, rows: DataFrame, shards: int, codes: Codes, neighbours: int) -> DataFrame:
+    """The best pairs within the radius of each query and shard; every query visits every shard once."""
+    own, keys = F.xxhash64("vec_id", "embedding"), ["shard", "chunk"]
+    chunks = max(math.ceil(queries.count() / SHARD_QUERIES), 1)
+    held = rows.withColumns({"shard": F.pmod(own, F.lit(shards)).cast("int"), "chunk": F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))), "asks": F.lit(False)})
+    asking = queries.withColumns({"shard": F.explode(F.sequence(F.lit(0), F.lit(shards - 1))), "chunk": F.pmod(own, F.lit(chunks)).cast("int"), "asks": F.lit(True)})
+    met = held.unionByName(asking).repartition(*keys).sortWithinPartitions(*keys)
+    return met.mapInArrow(_visit(codes, neighbours), "query_id long, vec_id long, score double")
 
 
 def nearest(vectors: DataFrame, is_query: Column, neighbours: int = NEIGHBOURS, sample: int = SAMPLE) -> DataFrame:
@@ -192,22 +179,26 @@ def nearest(vectors: DataFrame, is_query: Column, neighbours: int = NEIGHBOURS,
     nearest of its vectors counts, and it is never its own neighbour. Works through stored tables when
     called; at most ``sample`` vectors come to the driver, those whose ids have the least hashes.
     """
-    rows = usable(vectors)
+    rows = pin(usable(vectors).distinct())
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("embedding").collect()
     if not picked:
         empty = "query_id long, rank int, vec_id long, score double"
         return vectors.sparkSession.createDataFrame([], empty)
     codes = learn(np.array([row["embedding"] for row in picked]), neighbours)
-    kinds = "vec_id long, embedding array<double>, code binary, parts array<int>"
-    index = pin(rows.mapInArrow(_encode(codes), kinds))
-    queries = index.where(is_query)
-    bits = min(max(math.ceil(math.log2(index.count() / CELL_ROWS)), 0), PART_BITS)
-
-    found = pin(_probe(queries, index, codes.radius, PARTS, bits, neighbours))
-    enough = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("found")).where(F.col("found") >= neighbours)
-    short = queries.join(enough.withColumnRenamed("query_id", "vec_id"), "vec_id", "left_anti")
-    if not short.isEmpty():
-        found = found.unionByName(_probe(short, index, BITS, 1, bits, neighbours))
+    short = rows.where(is_query)
+    shards = max(math.ceil(rows.count() / SHARD_ROWS), 1)
+
+    found = None
+    while not short.isEmpty():
+        new = pin(_search(short, rows, shards, codes, neighbours))
+        found = new if found is None else found.unionByName(new)
+        if codes.radius >= BITS:
+            break
+        enough = new.groupBy("query_id").agg(F.count_distinct("vec_id").alias("found")).where(F.col("found") >= neighbours)
+        short = short.join(enough.select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti").select(*rows.columns)
+        codes = Codes(codes.rotation, min(codes.radius + WIDER, BITS))
+    if found is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     one = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = one.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= neighbours)
