@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# The fields of the inputs, by the names that the logs and dimension tables give them.
 CUSTOMER = T.StructType(
     [
         T.StructField("customer_id", T.LongType()),
