@@ -7,6 +7,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -334,15 +335,80 @@ def test_all_windows_are_learned_from(spark):
     counts = np.bincount(np.concatenate(ids), minlength=total)
     pieces = [x[:48] for x in ids]
     topics = lm_score._Topics.found(lm_score._by_frequency(counts)[:256], total, pieces)
-    assert np.array_equal(lm_score.count_topics(texts, topics, path).reshape(total, -1).sum(axis=1), counts)
+    encoded = lm_score.encode_texts(texts, path)
+    assert np.array_equal(lm_score.count_topics(encoded, topics).reshape(total, -1).sum(axis=1), counts)
     vocabulary = lm_score.Vocabulary.of(counts, path, pieces)
     start = lm_score.LanguageModel(vocabulary, attention.fresh(*vocabulary.sizes))
-    model, windows = lm_score.learn_from_all(texts, start, path)
+    model, windows = lm_score.learn_from_all(encoded, start, int(counts.sum()))
     assert windows == sum(-(-len(x) // attention.SCORED) for x in ids)
     inputs, targets, marks = vocabulary.windows(ids)
     assert model.network.log_chance(inputs, targets)[marks].mean() > start.network.log_chance(inputs, targets)[marks].mean() + 0.3
 
 
+def test_windows_of_parts_are_those_of_the_whole():
+    size = lm_score.encoding(lm_score.RANKS).n_vocab + 1
+    rng = np.random.default_rng(6)
+    vocabulary = lm_score.Vocabulary.of(rng.integers(1, 50, size).astype(float), lm_score.RANKS, [])
+    batch = pa.RecordBatch.from_pylist([{"key": 5, "text": " ".join(rng.choice(["on", "thor", "reaux", "x"], 9000).tolist())}])
+    ids = next(iter(lm_score._texts_as_ids(iter([batch]), lm_score.RANKS)))
+    parts, leads = lm_score._ids(next(iter(lm_score._encode_texts(lm_score.RANKS)(iter([batch])))))
+    assert len(parts) > 3 and np.array_equal(np.concatenate([p[lead:] for p, lead in zip(parts, leads, strict=True)]), ids)
+    for a, b in zip(vocabulary.windows([ids]), vocabulary.windows(parts, leads), strict=True):
+        assert np.array_equal(a, b)
+
+
+def test_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "EPOCHS", 1)
+    monkeypatch.setattr(lm_score, "SHARD_IDS", 3000)  # several shards
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").where("doc_id < 80")
+    docs = docs.unionByName(docs.where("doc_id < 5"))
+    scores = [sorted((r.doc_id, r.score) for r in lm_score.score_texts(docs.repartition(n), IN_FOLD).collect()) for n in (1, 3, 7)]
+    for other in scores[1:]:
+        assert [i for i, _ in other] == [i for i, _ in scores[0]]
+        assert [s for _, s in other] == pytest.approx([s for _, s in scores[0]], rel=1e-5)
+
+
+def test_chances_of_words_sum_to_one_at_most():
+    """Over a closed lexicon in many contexts, with the end; the words' ends are what keeps the sum down."""
+    path, rng = lm_score.RANKS, np.random.default_rng(8)
+    lexicon = [b"a", b"an", b"ana", b"on", b"ont", b"thor", b"thorn", b"x", b"xx", b"reaux", b"re", b"12", b"\xc3\xa9t\xc3\xa9"]
+    texts = [[lexicon[i] for i in rng.integers(0, len(lexicon), 30)] for _ in range(60)]
+    as_ids = lambda words: [np.array(lm_score._subwords(w, path)) for w in [*words, lm_score.END]]
+    flat = [np.concatenate(as_ids(words)) for words in texts]
+    counts = np.bincount(np.concatenate(flat), minlength=lm_score.encoding(path).n_vocab + 1)
+    vocabulary = lm_score.Vocabulary.of(counts, path, [])
+    network = attention.fresh(*vocabulary.sizes)
+    network = attention.train(network, *vocabulary.windows(flat), 60)
+    model = lm_score.LanguageModel(vocabulary, network)
+
+    def chance(words):
+        ids = as_ids(words)
+        lengths = [np.array([len(x) for x in ids])]
+        return model.score([np.concatenate(ids)], lengths, [np.zeros(len(ids), np.int64)], 0, False)[0][0]
+
+    # Chance of a beginning of a text: what all texts that go on from it add up to, a few words deep.
+    for words in texts[:6]:
+        for cut in (0, 2, 5):
+            ended = 10.0 ** chance(words[:cut])
+            one_more = sum(10.0 ** chance([*words[:cut], w]) for w in lexicon)
+            two_more = sum(10.0 ** chance([*words[:cut], v, w]) for v in lexicon for w in lexicon)
+            assert ended + one_more + two_more <= 1 + 1e-3
+    # Given what stands before, the words and the end share one.
+    for words in texts[:6]:
+        for cut in (1, 4):
+            before, begins = [], []
+            for w in [*lexicon, lm_score.END]:
+                ids = as_ids(words[:cut])[:-1] + [np.array(lm_score._subwords(w, path))] + ([] if w == lm_score.END else [np.array(lm_score._subwords(lm_score.END, path))])
+                inputs, targets, marks = vocabulary.windows([np.concatenate(ids)])
+                by_id, starts = (x[marks].astype(float) for x in network.log_chances(inputs, targets, vocabulary.begins))
+                by_id += vocabulary.log_share[np.concatenate(ids)]
+                first = sum(map(len, ids[:cut]))
+                past = first + len(ids[cut])
+                before.append(by_id[first:past].sum() - starts[first] + (0 if w == lm_score.END else starts[past]))
+                begins.append(starts[first])
+            assert 0.5 < np.exp(before).sum() <= 1 + 1e-4 and np.allclose(begins, begins[0])
+
+
 def test_without_training_texts(spark):
     df = spark.createDataFrame([(1, None), (2, "a b")], "doc_id long, text string")
     rows = {r.doc_id: r for r in lm_score.score_texts(df, "false").collect()}

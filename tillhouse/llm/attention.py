@@ -61,13 +61,17 @@ class Model:
         return {"h": flat, "late": late, "q": q, "k": k, "v": v, "attention": scores, "seen": seen, "out": out, "logits": logits}
 
     def log_chance(self, buckets: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """Natural log of the chance of each scored position's class; any number of windows, in batches.
+        """Natural log of the chance of each scored position's class; any number of windows, in batches."""
+        return self.log_chances(buckets, classes, np.zeros(len(self.weights["bias"]), np.float32))[0]
+
+    def log_chances(self, buckets: np.ndarray, classes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Natural logs of the chances of each scored position's class, and of the classes marked in ``group`` together.
 
         The same model as ``_forward`` with fewer passes over the large arrays.
         """
         w = self.weights
         scaled, both = w["query"] * np.float32(HEAD**-0.5), np.hstack([w["key"], w["value"]])
-        found = np.empty(classes.shape, np.float32)
+        found, grouped = np.empty(classes.shape, np.float32), np.empty(classes.shape, np.float32)
         for start in range(0, len(buckets), _BATCH):
             some = buckets[start : start + _BATCH]
             count = len(some)
@@ -94,8 +98,10 @@ class Model:
                 logits -= top[:, None]
                 picked -= top
             np.exp(logits, out=logits)
-            found[start : start + _BATCH] = (picked - np.log(logits.sum(axis=1))).reshape(-1, SCORED)
-        return found
+            every = logits.sum(axis=1)
+            found[start : start + _BATCH] = (picked - np.log(every)).reshape(-1, SCORED)
+            grouped[start : start + _BATCH] = np.log((logits @ group + np.float32(1e-30)) / every).reshape(-1, SCORED)
+        return found, grouped
 
     def _gradients(self, buckets: np.ndarray, classes: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
         w, f, batch = self.weights, self._forward(buckets), len(buckets)

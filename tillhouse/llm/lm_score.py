@@ -4,8 +4,10 @@ A text is its words (A-Z lower-cased) and one end. Each word becomes the subword
 space; the end is an id of its own. The chance of an id is that of its class, from a causal attention
 model, times the id's share of its class, from the counts of all training documents. The frequent
 ids are classes of their own; rarer ones share classes by the kind of text they occur in and frequency,
-those that begin a word apart from the others. Overlapping windows score each id once. A whole word's chance is interpolated with its share
-of all training words, as is usual, so that the small network need not learn the lexicon.
+those that begin a word apart from the others. Overlapping windows score each id once. A word's chance is that of
+its ids, given that the first begins a word, times the chance that what follows begins the next one or is the end; the
+chances of all words so sum to one at most. It is interpolated with the word's share of all training words,
+as is usual, so that the small network need not learn the lexicon.
 
 The base is a smoothed word model. Both take their counts from all training documents; the most frequent
 words are looked up where the text is, all others through a join.
@@ -16,6 +18,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -39,10 +42,13 @@ OWN_CLASSES, TOPICS, LEVELS = 96, 8, 4
 OWN_BUCKETS, SHARED_BUCKETS = 2048, 256
 #: The attention model's first weights come from windows of this many documents at most, this many each.
 SAMPLE_DOCS, SAMPLE_WINDOWS, EPOCHS = 2500, 10, 4
-#: From there it learns from all windows of all training documents, in so many rounds of part of the documents each.
-#: Weights are added up in pieces, by piece.
+#: From there it learns from all windows of all training documents, in so many rounds of part of the windows each. They
+#: are dealt by hash to shards of about so many ids, whose number and order follow from the texts alone. Weights are
+#: added up in pieces, by piece.
 ROUNDS, RATE, BATCH = 4, 0.004, 128
-WEIGHT_PIECES = 64
+SHARD_IDS, WEIGHT_PIECES = 1_000_000, 64
+#: Windows of a row of stored ids.
+ROW_WINDOWS = 64
 #: Ids of the most frequent kinds, by which the topic of a piece of text is told.
 FREQUENT = 256
 #: What part of a word's chance is its share of the counted words; the network gives the rest.
@@ -110,11 +116,13 @@ def _count_ids(path: str):
 
 @dataclass
 class Vocabulary:
-    """Class and log share in it of every id, and the input bucket of every id (PAD and the start come first)."""
+    """Class and log share in it of every id, the input bucket of every id (PAD and the start come first), and a mark
+    at the classes whose ids begin a word, or are the end."""
 
     classes: np.ndarray
     log_share: np.ndarray
     buckets: np.ndarray
+    begins: np.ndarray
 
     @property
     def sizes(self) -> tuple[int, int]:
@@ -146,16 +154,23 @@ class Vocabulary:
         buckets = np.empty(total, np.int64)
         buckets[order[:OWN_BUCKETS]] = 2 + np.arange(OWN_BUCKETS)
         buckets[order[OWN_BUCKETS:]] = 2 + OWN_BUCKETS + order[OWN_BUCKETS:] % SHARED_BUCKETS
-        return Vocabulary(classes, np.log((counts + 0.5) / mass[classes]), buckets)
+        return Vocabulary(classes, np.log((counts + 0.5) / mass[classes]), buckets, np.bincount(classes, begins).astype(bool).astype(np.float32))
 
-    def windows(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Input buckets, classes and marks of real positions of all windows over the texts' ids."""
+    def windows(self, texts: list[np.ndarray], leads: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Input buckets, classes and marks of real positions of all windows over the texts' ids.
+
+        The first ``leads`` ids of a text that goes on from an earlier part are not scored, but seen.
+        """
         inputs, targets, marks = [], [], []
-        for ids in texts:
-            count = -(-len(ids) // SCORED)
+        for ids, lead in zip(texts, leads or [0] * len(texts), strict=True):
+            count = -(-(len(ids) - lead) // SCORED)
             padded = np.full(CONTEXT + count * SCORED, PAD, np.int64)
-            padded[CONTEXT] = 1  # the start
-            padded[CONTEXT + 1 : CONTEXT + len(ids)] = self.buckets[ids[:-1]]
+            if lead:
+                padded[: len(ids) - 1] = self.buckets[ids[:-1]]
+                ids = ids[lead:]
+            else:
+                padded[CONTEXT] = 1  # the start
+                padded[CONTEXT + 1 : CONTEXT + len(ids)] = self.buckets[ids[:-1]]
             target = np.zeros(count * SCORED, np.int64)
             target[: len(ids)] = self.classes[ids]
             inputs.append(np.lib.stride_tricks.sliding_window_view(padded, CONTEXT + SCORED)[::SCORED])
@@ -213,59 +228,108 @@ def _topics(pieces: list[np.ndarray], frequent: np.ndarray, total: int) -> np.nd
     return _topic_of_ids(_Topics.found(frequent, total, pieces).count(pieces))
 
 
-def _texts_as_ids(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[np.ndarray]:
-    """The ids of each text, the end included."""
+class _Known(dict):
+    """The ids of words, remembered up to a bound."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.path = path
+
+    def __missing__(self, word: bytes) -> list[int]:
+        if len(self) >= _REMEMBERED_IDS:
+            self.clear()
+        found = self[word] = _subwords(word, self.path)
+        return found
+
 
-    class Known(dict):
-        def __missing__(self, word: bytes) -> list[int]:
-            if len(self) >= _REMEMBERED_IDS:
-                self.clear()
-            found = self[word] = _subwords(word, path)
-            return found
+_known = lru_cache(1)(_Known)
 
-    known = Known().__getitem__
+
+def _texts_as_ids(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[np.ndarray]:
+    """The ids of each text, the end included."""
+    known = _known(path).__getitem__
     for batch in slices(batches, 64):
         for text in batch.column("text").to_pylist():
             parts = [np.fromiter(chain.from_iterable(map(known, words)), np.int64) for words in words_of(text)]
             yield np.concatenate([*parts, np.array(known(END), np.int64)])
 
 
-def _count_topics(topics: Broadcast, path: str):
+_ENCODED = "key long, number long, lead int, ids binary"
+
+
+def _encode_texts(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, pieces, size = np.zeros(len(topics.value.column) * TOPICS, np.int64), [], CONTEXT + SCORED
-        for ids in _texts_as_ids(batches, path):
-            for start in range(0, len(ids), size):
-                pieces.append(ids[start : start + size])
-                if len(pieces) == 4096:
-                    seen += topics.value.count(pieces)
-                    pieces = []
-        if pieces:
-            seen += topics.value.count(pieces)
+        for batch in slices(batches, 64):
+            rows: dict[str, list] = {name: [] for name in ("key", "number", "lead", "ids")}
+            keys = batch.column("key").to_pylist()
+            for key, ids in zip(keys, _texts_as_ids(iter([batch]), path), strict=True):
+                for number, begin in enumerate(range(0, len(ids), ROW_WINDOWS * SCORED)):
+                    lead = CONTEXT + 1 if begin else 0
+                    part = ids[begin - lead : begin + ROW_WINDOWS * SCORED].astype("<u2").tobytes()
+                    for name, value in zip(rows, (key, number, lead, part), strict=True):
+                        rows[name].append(value)
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_pydict({name: pa.array(x, t) for (name, x), t in zip(rows.items(), types, strict=True)})
+
+    return run
+
+
+def encode_texts(training: DataFrame, path: str) -> DataFrame:
+    """The ids of all texts (doc_id, text; no nulls in text) as a stored table, two bytes an id, some windows in a row."""
+    if encoding(path).n_vocab >= 2**16:
+        raise ValueError("ids of this vocabulary take more than two bytes")
+    keyed = training.select(F.xxhash64("doc_id", "text").alias("key"), "text")
+    return pin(keyed.mapInArrow(_encode_texts(path), _ENCODED))
+
+
+def _ids(batch: pa.RecordBatch) -> tuple[list[np.ndarray], list[int]]:
+    """The ids of each row, and how many of them only lead up to it."""
+    return [np.frombuffer(x, "<u2").astype(np.int64) for x in batch.column("ids").to_pylist()], batch.column("lead").to_pylist()
+
+
+def _count_topics(topics: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, size = np.zeros(len(topics.value.column) * TOPICS, np.int64), CONTEXT + SCORED
+        for batch in slices(batches, 64):
+            texts = [ids[lead:] for ids, lead in zip(*_ids(batch), strict=True)]
+            seen += topics.value.count([ids[start : start + size] for ids in texts for start in range(0, len(ids), size)])
         cells = np.flatnonzero(seen)
         yield pa.RecordBatch.from_pydict({"cell": pa.array(cells, pa.int64()), "n": pa.array(seen[cells], pa.int64())})
 
     return run
 
 
-def count_topics(training: DataFrame, topics: _Topics, path: str) -> np.ndarray:
+def count_topics(encoded: DataFrame, topics: _Topics) -> np.ndarray:
     """How often each id occurs in each topic in all texts."""
-    shared = training.sparkSession.sparkContext.broadcast(topics)
-    found = training.select("text").mapInArrow(_count_topics(shared, path), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    shared = encoded.sparkSession.sparkContext.broadcast(topics)
+    found = encoded.select("lead", "ids").mapInArrow(_count_topics(shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     seen = np.zeros(len(topics.column) * TOPICS)
     seen[found["cell"].to_numpy()] = found["n"].to_numpy()
     return seen
 
 
-def _learn(shared: Broadcast, rate: float, path: str):
-    """The weights after the task's windows, times their number, in pieces."""
+_WEIGHTS = "shard int, piece int, windows long, weights binary"
+
+
+def _learn(shared: Broadcast, rate: float):
+    """The weights after each shard's windows, times their number, in pieces; rows come sorted by shard."""
+
+    def learned(shard: int, network: attention.Model, windows: int) -> pa.RecordBatch:
+        pieces = np.array_split(network.flat().astype(np.float64) * windows, WEIGHT_PIECES)
+        return pa.RecordBatch.from_pydict({
+            "shard": pa.array([shard] * WEIGHT_PIECES, pa.int32()), "piece": pa.array(range(WEIGHT_PIECES), pa.int32()),
+            "windows": pa.array([windows] * WEIGHT_PIECES, pa.int64()), "weights": pa.array([piece.tobytes() for piece in pieces], pa.binary()),
+        })
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, network = shared.value.vocabulary, shared.value.network.copy()
-        trainer, random = attention.Trainer(network), np.random.default_rng(19)
-        waiting, held, windows = [], 0, 0
+        vocabulary = shared.value.vocabulary
+        shard, network, trainer, random, windows = None, None, None, None, 0
+        waiting: list[tuple[np.ndarray, int]] = []
 
         def learn() -> int:
-            inputs, targets, marks = vocabulary.windows(waiting)
+            if not waiting:
+                return 0
+            inputs, targets, marks = vocabulary.windows([ids for ids, _ in waiting], [lead for _, lead in waiting])
             order = random.permutation(len(inputs))
             for start in range(0, len(order), BATCH):
                 some = order[start : start + BATCH]
@@ -273,19 +337,20 @@ def _learn(shared: Broadcast, rate: float, path: str):
             waiting.clear()
             return len(inputs)
 
-        for ids in _texts_as_ids(batches, path):
-            waiting.append(ids)
-            held += -(-len(ids) // SCORED)
-            if held >= 32 * BATCH:
-                windows, held = windows + learn(), 0
-        if waiting:
-            windows += learn()
+        for batch in slices(batches, 64):
+            for own, ids, lead in zip(batch.column("shard").to_pylist(), *_ids(batch), strict=True):
+                if own != shard:
+                    windows += learn()
+                    if windows:
+                        yield learned(shard, network, windows)
+                    shard, network, windows = own, shared.value.network.copy(), 0
+                    trainer, random = attention.Trainer(network), np.random.default_rng(19)
+                waiting.append((ids, lead))
+                if len(waiting) >= 64:
+                    windows += learn()
+        windows += learn()
         if windows:
-            pieces = np.array_split(network.flat().astype(np.float64) * windows, WEIGHT_PIECES)
-            yield pa.RecordBatch.from_pydict({
-                "piece": pa.array(range(WEIGHT_PIECES), pa.int32()), "windows": pa.array([windows] * WEIGHT_PIECES, pa.int64()),
-                "weights": pa.array([piece.tobytes() for piece in pieces], pa.binary()),
-            })
+            yield learned(shard, network, windows)
 
     return run
 
@@ -304,18 +369,23 @@ def _add_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     })
 
 
-def learn_from_all(training: DataFrame, model: LanguageModel, path: str) -> tuple[LanguageModel, int]:
-    """The model after every window of every text, and the number of windows.
+def learn_from_all(encoded: DataFrame, model: LanguageModel, ids: int) -> tuple[LanguageModel, int]:
+    """The model after every window of all texts, and the number of windows; ``ids`` is how many ids there are.
 
-    A round deals with a part of the texts. Each task goes on from the common weights over its own
-    windows; the next common weights are the tasks' mean, weighted by windows.
+    A round deals with a part of the rows of ids, in shards that their hashes make. Each shard goes on from the
+    common weights over its own windows, in a fixed order; the next common weights are the shards' mean, weighted by
+    windows. How files or partitions split the texts changes nothing.
     """
-    spark, kinds, total = training.sparkSession, "piece int, windows long, weights binary", 0
+    spark, total = encoded.sparkSession, 0
+    shards = max(1, round(ids / ROUNDS / SHARD_IDS))
     for number in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model)
-        part = training.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == number).select("text")
-        learned = part.mapInArrow(_learn(shared, RATE / (number + 1), path), kinds)
-        rows = learned.repartition(WEIGHT_PIECES, "piece").mapInArrow(_add_weights, kinds).collect()
+        part = encoded.where(F.pmod(F.xxhash64("key", "number"), F.lit(ROUNDS)) == number)
+        dealt = part.withColumn("shard", F.pmod(F.xxhash64("number", "key"), F.lit(shards)).cast("int"))
+        ordered = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "key", "number", "ids")
+        learned = ordered.mapInArrow(_learn(shared, RATE / (number + 1)), _WEIGHTS)
+        added = learned.repartition(WEIGHT_PIECES, "piece").sortWithinPartitions("piece", "shard")
+        rows = added.mapInArrow(_add_weights, "piece int, windows long, weights binary").collect()
         shared.unpersist()
         if rows:
             total += rows[0]["windows"]
@@ -335,7 +405,7 @@ class LanguageModel:
         """log10 of the chance of each text: its ids (the end included), ids in each word, counts of the words.
 
         A word's chance is ``WORD_SHARE`` of its share of the ``total`` training words and the rest of
-        what the network says of its ids; words without a count only have the latter. If counts are
+        what the network says of its ids and of its end; words without a count only have the latter. If counts are
         ``joined`` later, words whose count is -1 are left out of the scores, and log10 of the network's
         part of each comes beside them.
         """
@@ -347,10 +417,14 @@ class LanguageModel:
             windows += len(ids) // SCORED + 1
             if windows > 4096 or i == len(texts) - 1:
                 inputs, targets, marks = self.vocabulary.windows([texts[j] for j in part])
-                by_id = self.network.log_chance(inputs, targets)[marks].astype(np.float64)
+                by_id, begins = (x[marks].astype(np.float64) for x in self.network.log_chances(inputs, targets, self.vocabulary.begins))
                 by_id += self.vocabulary.log_share[np.concatenate([texts[j] for j in part])]
                 sizes = np.concatenate([lengths[j] for j in part])
-                by_word = np.add.reduceat(by_id, np.cumsum(sizes) - sizes) + np.log1p(-word_share)
+                firsts = np.cumsum(sizes) - sizes
+                # That a word begins here is given; that the next one begins, or the end comes, belongs to the word.
+                ends = np.append(begins[firsts[1:]], 0.0)
+                ends[np.cumsum([len(lengths[j]) for j in part]) - 1] = 0.0  # nothing follows the end
+                by_word = np.add.reduceat(by_id, firsts) - begins[firsts] + ends + np.log1p(-word_share)
                 counted = np.concatenate([counts[j] for j in part])
                 seen = np.flatnonzero(counted > 0)
                 if word_share:
@@ -369,16 +443,15 @@ def _sampled(path: str):
     """Ids of pieces of a text, evenly spread, for training."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = CONTEXT + SCORED
         for batch in slices(batches, 64):
             out = []
-            for text in batch.column("text").to_pylist():
-                ids = [i for words in words_of(text) for word in [*words] for i in _subwords(word, path)]
-                ids += _subwords(END, path)
-                size = CONTEXT + SCORED
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), _texts_as_ids(iter([batch]), path), strict=True):
                 starts = {round(s) for s in np.linspace(0, max(len(ids) - size, 0), SAMPLE_WINDOWS)}
-                out += [(start == 0, ids[start : start + size]) for start in sorted(starts)]
+                out += [(doc, start, ids[start : start + size]) for start in sorted(starts)]
             yield pa.RecordBatch.from_pydict({
-                "begins": pa.array([b for b, _ in out], pa.bool_()), "ids": pa.array([i for _, i in out], pa.list_(pa.int32())),
+                "doc_id": pa.array([d for d, _, _ in out], pa.int64()), "start": pa.array([s for _, s, _ in out], pa.int64()),
+                "ids": pa.array([i for _, _, i in out], pa.list_(pa.int32())),
             })
 
     return run
@@ -508,20 +581,24 @@ def score_texts(docs: DataFrame, is_training: str, path: str = RANKS, head_words
     id_counts[found["id"].to_numpy()] = found["n"].to_numpy()
 
     chosen = training.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    sample = training.join(F.broadcast(chosen), "doc_id").mapInArrow(_sampled(path), "begins boolean, ids array<int>").toArrow()
+    read = training.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = read.mapInArrow(_sampled(path), "doc_id long, start long, ids array<int>").toArrow()
+    sample = sample.sort_by([("doc_id", "ascending"), ("start", "ascending")])
     ids = sample["ids"].combine_chunks()
     places = ids.offsets.to_numpy()
     pieces = np.split(ids.flatten().to_numpy().astype(np.int64), places[1:-1] - places[0]) if len(ids) else []
     topics = None
+    encoded = encode_texts(training, path)
     if pieces:
         grouped = _Topics.found(_by_frequency(id_counts)[:FREQUENT], len(id_counts), pieces)
-        topics = _topic_of_ids(count_topics(training, grouped, path))
+        topics = _topic_of_ids(count_topics(encoded, grouped))
     vocabulary = Vocabulary.of(id_counts, path, pieces, topics)
     network = attention.fresh(*vocabulary.sizes)
     if pieces:
-        network = attention.train(network, *_training_windows(vocabulary, sample["begins"].to_pylist(), pieces), EPOCHS)
+        begins = [start == 0 for start in sample["start"].to_pylist()]
+        network = attention.train(network, *_training_windows(vocabulary, begins, pieces), EPOCHS)
     del sample, ids, pieces
-    model, _ = learn_from_all(training, LanguageModel(vocabulary, network), path)
+    model, _ = learn_from_all(encoded, LanguageModel(vocabulary, network), int(id_counts.sum()))
 
     # The most frequent words, by the levels of frequency that hold head_words of them at most.
     level = F.floor(F.log2("c") * 8).cast("int")
