@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions import epoch_micros
 from tillhouse.operators import asof_join, fill_gaps, interval_join
+from tillhouse.plans import activity
 from tillhouse.streaming import advance, read_arrivals, replay, sessions, unique_events
 
 from tests.helpers import rows_of
@@ -267,3 +268,50 @@ def test_replay_of_deliveries(spark):
     assert sorted(r.id for r in got.collect()) == [1, 2, 3, 4]
     assert replay(df.limit(0), "batch", plan).count() == 0
     assert rows_of(replay(df.where("batch = 1"), "batch", plan)) == rows_of(df.where("batch = 1").drop("batch"))
+
+
+def test_campaigns_and_events_never_meet_in_pairs(spark):
+    """Long overlapping campaigns, repeated and null ones; only sums of blocks are joined with campaigns."""
+    rng = random.Random(9)
+    minute = lambda: None if rng.random() < 0.05 else rng.randrange(400)
+    kinds, users = ["a", "b", None], [None, 1, 2, 3]
+    events = [(minute(), rng.choice(kinds), rng.choice([None, 1, 5]), rng.choice(users)) for _ in range(600)]
+    campaigns = [(rng.randrange(40), minute(), minute()) for _ in range(80)]
+    campaigns += campaigns[:9] + [(99, 0, 400), (None, 0, 400), (98, 7, 7), (97, 500, 600)]
+    one = spark.createDataFrame([(at(t), *r) for t, *r in events], "ts timestamp_ntz, event_type string, cents long, user_id long")
+    two = spark.createDataFrame([(c, at(a), at(b)) for c, a, b in campaigns], "campaign_id long, since timestamp_ntz, until timestamp_ntz")
+    want = collections.defaultdict(list)
+    for c, a, b in campaigns:
+        for t, kind, cents, user in events:
+            if None not in (a, b, t) and a <= t < b:
+                want[c, kind].append((cents, user))
+    rows = []
+    for (c, kind), held in want.items():
+        cents, seen = [x for x, _ in held if x is not None], [u for _, u in held if u is not None]
+        rows.append((c, kind, len(held), sum(cents) if cents else None, min(seen, default=None), max(seen, default=None)))
+    got = activity.campaign_activity(one, two)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(rows, key=repr)
+    assert activity.campaign_activity(one, two.limit(0)).count() == 0
+
+    many = spark.range(5000).selectExpr(f"timestamp_ntz '{START}' + id % 400 * interval '1' minute as ts", "'a' as event_type", "id as cents", "id as user_id")
+    whole = spark.range(500).selectExpr("id as campaign_id", f"timestamp_ntz '{START}' as since", f"timestamp_ntz '{START}' + interval '400' minute as until")
+    observed = activity.campaign_activity(many, whole)
+    assert {(r["events"], r["cents"]) for r in observed.collect()} == {(5000, 4999 * 2500)}
+    assert 500 <= max(rows_out_of_joins(observed)) < 50_000  # all pairs are 2,500,000
+
+
+def rows_out_of_joins(df):
+    """Rows that each join of the executed plan gave."""
+    found, left = [0], [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            left.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            left.append(node.plan())
+        if "Join" in name:
+            found.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        left += [children.apply(i) for i in range(children.size())]
+    return found

@@ -1,6 +1,7 @@
 """Operators that a plain Spark call would funnel through one task, in forms that stay distributed."""
 
 from tillhouse.operators.asof import asof_join
+from tillhouse.operators.blocks import block_levels, blocks_between, blocks_of
 from tillhouse.operators.gaps import fill_gaps
 from tillhouse.operators.history import as_of, next_version
 from tillhouse.operators.intervals import interval_join
@@ -14,6 +15,9 @@ from tillhouse.operators.scoring import column_maxima, weighted_terms
 __all__ = [
     "as_of",
     "asof_join",
+    "block_levels",
+    "blocks_between",
+    "blocks_of",
     "column_maxima",
     "fill_gaps",
     "global_positions",

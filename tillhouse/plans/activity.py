@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions import epoch_micros
 from tillhouse.operators.asof import asof_join
+from tillhouse.operators.blocks import block_levels, blocks_between, blocks_of
 from tillhouse.operators.gaps import fill_gaps
 from tillhouse.operators.intervals import interval_join
+from tillhouse.operators.positions import global_positions
+from tillhouse.staging import pin
 from tillhouse.streaming import replay, sessions, unique_events
 
 
@@ -51,11 +54,30 @@ def events_between_orders(events: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def campaign_activity(events: DataFrame, campaigns: DataFrame) -> DataFrame:
-    """Events of all users while each campaign ran; campaigns overlap, and some run for most of the month."""
-    met = interval_join(events, campaigns, [], "ts", "since", "until")
-    return met.groupBy("campaign_id", "event_type").agg(
+    """Events of all users while each campaign ran; campaigns overlap, and some run for most of the month.
+
+    Events meet the spans between neighbouring bounds of campaigns, which do not overlap, so each event meets one.
+    What the spans hold is summed up in blocks of 1, 2, 4 ... spans, and a campaign takes at most two blocks of each
+    size: the pairs of events and campaigns are never made.
+    """
+    running = campaigns.where("since < until").select("campaign_id", "since", "until")
+    bounds = running.select(F.explode(F.array("since", "until")).alias("bound")).distinct()
+    places = pin(global_positions(bounds, "place"))
+    ends = places.select(F.col("bound").alias("span_until"), (F.col("place") - 1).alias("place"))
+    spans = pin(places.withColumnRenamed("bound", "span_since").join(ends, "place"))
+    met = interval_join(events.select("ts", "event_type", "cents", "user_id"), spans, [], "ts", "span_since", "span_until")
+    in_span = met.groupBy("place", "event_type").agg(
         F.count(F.lit(1)).alias("events"), F.sum("cents").alias("cents"), F.min("user_id").alias("least_user"), F.max("user_id").alias("greatest_user")
     )
+    merged = [F.sum("events").alias("events"), F.sum("cents").alias("cents"), F.min("least_user").alias("least_user"), F.max("greatest_user").alias("greatest_user")]
+    levels = block_levels(spans.count())
+    in_block = in_span.withColumn("block", blocks_of(F.col("place"), levels)).groupBy("block", "event_type").agg(*merged)
+
+    first = places.select(F.col("bound").alias("since"), F.col("place").alias("first"))
+    past = places.select(F.col("bound").alias("until"), F.col("place").alias("past"))
+    asked = running.join(first, "since").join(past, "until")
+    asked = asked.select("campaign_id", blocks_between(F.col("first"), F.col("past"), levels).alias("block"))
+    return asked.join(in_block, "block").groupBy("campaign_id", "event_type").agg(*merged)
 
 
 def hourly_activity(events: DataFrame) -> DataFrame:
