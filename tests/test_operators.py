@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import collections
+import os
 import random
 import threading
 
@@ -17,7 +19,9 @@ from tillhouse.operators import (
     weighted_terms,
 )
 
-from tillhouse.staging import pin, shared_folder, temporary
+from tillhouse.operators import renumber
+from tillhouse.sources import read_json_log
+from tillhouse.staging import land_lines, pin, shared_folder, temporary
 
 from tests.helpers import rows_of
 
@@ -96,6 +100,37 @@ def test_reassign_without_ids(spark, rows):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_force(rows)
 
 
+@pytest.mark.parametrize("hot_rows", [1, 30, 10**6])
+@pytest.mark.parametrize("id_type", ["int", "bigint"])
+def test_rows_of_hot_ids_are_spread(spark, monkeypatch, hot_rows, id_type):
+    """Only ids of more rows than HOT_ROWS are range-sorted as a whole; all others move once, by id."""
+    monkeypatch.setattr(settings, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(settings, "COPY_CHUNK", 16)
+    sorted_rows = []
+
+    def positions(df):
+        sorted_rows.append(df.count())
+        return global_positions(df)
+
+    monkeypatch.setattr(renumber, "global_positions", positions)
+    rows = sample_rows(7)
+    df = spark.createDataFrame(rows, f"id {id_type}, a int, b int").repartition(7)
+    got = reassign_duplicate_ids(df, "id", ["a", "b"])
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == brute_force(rows)
+    sizes = collections.Counter(row[0] for row in rows).values()
+    hot = sum(size for size in sizes if size > hot_rows)
+    assert sorted_rows == ([hot] if hot else [])
+
+
+def test_landed_lines_are_compressed_and_split(spark, monkeypatch):
+    monkeypatch.setattr(settings, "LOG_LINES", 1000)
+    rows = spark.range(2500).select(F.col("id").cast("string").alias("name"), F.lit("a text that repeats").alias("text")).coalesce(1)
+    path = land_lines(rows)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".gz") for f in files)
+    assert rows_of(read_json_log(spark, path, ["name", "text"])) == rows_of(rows)
+
+
 def test_reassign_fails_past_the_type(spark):
     df = spark.createDataFrame([(2**31 - 1, 1), (2**31 - 1, 2)], "id int, a int")
     with pytest.raises(PySparkException, match="exceed"):

@@ -1,6 +1,7 @@
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from tillhouse import settings
 from tillhouse.operators.positions import global_positions, running_total
 from tillhouse.staging import pin
 
@@ -13,37 +14,53 @@ def reassign_duplicate_ids(rows: DataFrame, key: str, order: list[str]) -> DataF
     New ids count up in the order of (old id, ``order``), nulls first; the rows without an id form
     one group. ``order`` names all other columns, so rows that tie are identical. No row is dropped.
 
-    Rows of ids that occur once pass unchanged. The others are range-sorted as a whole, so an id may
-    hold any part of the rows; a row's new id is the largest id, plus its place among them, less the
-    number of repeated ids up to its own, since the first row of each keeps its id. That number is a
-    running total over the repeated ids only. Runs jobs when called: the repeated ids and the sorted
-    rows are stored.
+    All rows move once, by id, and are numbered inside their id; what the ids before an id hold beyond their first
+    rows is a running total over the repeated ids only, joined in the same place. An id may hold any part of the
+    rows, so those of more than ``HOT_ROWS`` rows are range-sorted as a whole instead; they are few, and without
+    any no row is sorted but inside its id. Runs jobs when called: the repeated ids and the sorted rows of hot ids
+    are stored.
     """
     id_type = rows.schema[key].dataType.simpleString()
     found = Observation()
+    size, hot_size = F.col("size"), F.lit(settings.HOT_ROWS)
     sizes = (
         rows.groupBy(key)
         .agg(F.count(F.lit(1)).alias("size"))
-        .observe(found, F.max(key).alias("largest_id"), F.max(F.when(F.col(key).isNull(), F.col("size"))).alias("blanks"))
+        .observe(
+            found,
+            F.max(key).alias("largest_id"),
+            F.max(F.when(F.col(key).isNull(), size)).alias("blanks"),
+            F.count_if(size > hot_size).alias("hot"),
+        )
     )
-    repeated = pin(sizes.where("size > 1").select(F.col(key).alias("old_id")))
+    repeated = pin(sizes.where("size > 1").select(F.col(key).alias("old_id"), "size"))
     largest_id = F.lit(found.get["largest_id"]).cast("bigint")
     same = F.col(key).eqNullSafe(F.col("old_id"))
-    once = rows.join(repeated, same, "left_anti").select(key, *order)
-    placed = global_positions(rows.join(repeated, same, "left_semi").select(key, *order))
-
-    ids = repeated.where(F.col("old_id").isNotNull())
-    smaller = running_total(ids.withColumn("one", F.lit(1)), "old_id", "one", "smaller", 32 if id_type == "int" else 64)
-    starts = placed.groupBy(F.col(key).alias("old_id")).agg(F.min("position").alias("start"))
-    of_id = starts.join(smaller, "old_id", "left")
-    blank_ids = int((found.get["blanks"] or 0) > 1)
-    # Repeated ids up to the row's own, the rows without an id first.
-    up_to = F.when(F.col("old_id").isNull(), F.lit(1)).otherwise(F.col("smaller") + F.lit(1 + blank_ids))
-    new_id = _within(largest_id + F.col("position") + 1 - up_to, id_type)
-    again = placed.join(of_id, same).select(
-        F.when(F.col("position") == F.col("start"), F.col(key)).otherwise(new_id).alias(key), *order
-    )
-    return once.unionByName(again)
+
+    # Further rows of the ids before an id; the rows without an id come first.
+    further = repeated.where(F.col("old_id").isNotNull()).select("old_id", (size - 1).alias("further"))
+    smaller = running_total(further, "old_id", "further", "smaller", 32 if id_type == "int" else 64)
+    blanks = F.lit(max((found.get["blanks"] or 0) - 1, 0)).cast("bigint")
+    before = F.when(F.col(key).isNull(), F.lit(0).cast("bigint")).otherwise(F.col("smaller") + blanks)
+    new_id = _within(largest_id + before + F.col("place"), id_type)
+
+    def numbered(placed: DataFrame) -> DataFrame:
+        """``place`` counts from 0 inside each id."""
+        return placed.join(smaller, F.col(key) == F.col("old_id"), "left").select(
+            F.when(F.col("place") == 0, F.col(key)).otherwise(new_id).alias(key), *order
+        )
+
+    rows = rows.select(key, *order)
+    in_id = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    place = (F.row_number().over(in_id) - 1).cast("bigint").alias("place")
+    if not found.get["hot"]:
+        return numbered(rows.select("*", place))
+
+    hot = F.broadcast(repeated.where(size > hot_size).select("old_id"))  # one for HOT_ROWS rows at most
+    placed = global_positions(rows.join(hot, same, "left_semi"))
+    starts = F.broadcast(placed.groupBy(F.col(key).alias("old_id")).agg(F.min("position").alias("start")))
+    placed = placed.join(starts, same).select(key, *order, (F.col("position") - F.col("start")).alias("place"))
+    return numbered(rows.join(hot, same, "left_anti").select("*", place)).unionByName(numbered(placed))
 
 
 def _within(value: Column, type_name: str) -> Column:

@@ -16,6 +16,8 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillhouse import settings
+
 _local_folders: dict[str, str] = {}
 #: Paths of the innermost ``temporary`` block of this thread or task; None outside.
 _scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
@@ -75,7 +77,11 @@ def pin(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def land_lines(df: DataFrame) -> str:
-    """Write each row as one JSON line to fresh text files, as a log collector does; returns the folder."""
+    """Write each row as one JSON line to fresh compressed text files, as a log collector does; returns the folder.
+
+    Such files are read whole, so one holds ``LOG_LINES`` lines at most.
+    """
     path = fresh_path(df.sparkSession)
-    df.select(F.to_json(F.struct("*"))).write.text(path)
+    lines = df.select(F.to_json(F.struct("*")))
+    lines.write.option("maxRecordsPerFile", settings.LOG_LINES).text(path, compression="gzip")
     return path
