@@ -43,6 +43,7 @@ def load_difference(old: DataFrame, new: DataFrame) -> DataFrame:
     both = hashed(old, -1).unionByName(hashed(new, 1))
     sums = both.groupBy("hash").agg(F.sum("sign").alias("net"), F.min("second").alias("least"), F.max("second").alias("most"))
     open_hashes = sums.where("net != 0 or least != most").select("hash")
-    again = both.join(open_hashes, "hash", "left_semi").select("row.*", F.col("sign").alias("_sign"))
+    # Each hash is there once. A semi join would be pushed to rows of constants, and have no key left there.
+    again = both.join(open_hashes, "hash").select("row.*", F.col("sign").alias("_sign"))
     net = again.groupBy(*names).agg(F.sum("_sign").alias("_net")).where("_net != 0")
     return net.select(*names, F.greatest("_net", F.lit(0).cast("bigint")).alias("added"), F.greatest(-F.col("_net"), F.lit(0).cast("bigint")).alias("dropped"))
