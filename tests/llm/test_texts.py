@@ -287,3 +287,15 @@ def test_cutting_keeps_rows_columns_and_whole_characters(spark):
     got = {r.doc_id: r for r in suffix_dedup.cut_repeats(docs).collect()}
     assert suffix_dedup.cut_repeats(docs).dtypes == docs.dtypes
     assert len(got) == 4 and got[2].text == "xy" and got[2].n_chars == 2 and got[3].text is None and got[4].n_chars == 4
+
+
+def test_windows_are_found_at_every_offset_by_few_runs(spark):
+    """A document gives one run for each six words, and each place of a window is found by them."""
+    plain = [f"w{i}" for i in range(60)]
+    docs = [(first, " ".join(plain[:first] + [f"b{i}" for i in range(10)] + plain[first:])) for first in range(51)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    benchmark = spark.createDataFrame([("item", " ".join(["x", "y"] + [f"b{i}" for i in range(10)] + ["z"]))], "item_id string, text string")
+    found = decontamination.find_hits(docs, benchmark)
+    assert {(r["doc_id"], r["n_words"], r["n_hit"], r["n_items"]) for r in found.collect()} == {(i, 70, 10, 1) for i in range(51)}
+    runs = docs.select(F.size(decontamination._prints(decontamination.words_of(F.col("text")), 6)).alias("n"))
+    assert {r["n"] for r in runs.collect()} == {11}

@@ -1,9 +1,9 @@
-"""Benchmark decontamination by winnowing.
+"""Benchmark decontamination by runs of words at fixed distances.
 
-Words are hashed in runs of ``GRAM``; of every ``WINDOW - GRAM + 1`` neighbouring runs the least hash
-is kept. Two texts that share ``WINDOW`` words share all hashes of that window, so both keep the same
-one: every window that an item and a document share is found by joining the kept hashes, and none by
-chance, because each hit is extended by comparing the words around it.
+Words are hashed in runs of ``GRAM``: of an item all runs, of a document those that begin at every
+``WINDOW - GRAM + 1``-th word. As many runs lie in a window of ``WINDOW`` words, so one of them is such a
+run wherever the window is in the document: every window that an item and a document share is found by
+joining the hashes, once, and none by chance, because each hit is extended by comparing the words around it.
 """
 
 from __future__ import annotations
@@ -33,43 +33,25 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _prints(words: Column) -> Column:
-    """Hash, position and the words around each kept run; empty for fewer than ``WINDOW`` words."""
-    per_window = WINDOW - GRAM + 1
+def _prints(words: Column, step: int) -> Column:
+    """Hash, position and the words around each ``step``-th run; empty for fewer than ``WINDOW`` words."""
 
-    def kept(words: Column, grams: Column, least: Column) -> Column:
-        def is_least(i: Column) -> Column:
-            first = F.greatest(i - per_window + 2, F.lit(1))
-            return F.array_contains(F.slice(least, first, F.least(i + 1, F.lit(per_window))), F.get(grams, i))
-
-        def entry(i: Column) -> Column:
-            lead = F.least(i, F.lit(WINDOW - GRAM))
-            return F.struct(
-                F.get(grams, i).alias("hash"),
-                i.alias("position"),
-                lead.alias("lead"),
-                F.slice(words, i - lead + 1, F.lit(2 * WINDOW - GRAM)).alias("around"),
-                F.lit(0).alias("n_words"),
-            )
-
-        return F.transform(F.filter(F.sequence(F.lit(0), F.size(grams) - 1), is_least), entry)
-
-    def windows(words: Column, grams: Column) -> Column:
-        places = F.sequence(F.lit(1), F.size(grams) - per_window + 1)
-        least = F.transform(places, lambda i: F.array_min(F.slice(grams, i, per_window)))
-        return _let(least, lambda least: kept(words, grams, least))
-
-    def runs(words: Column, hashes: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(words) - GRAM)
-        grams = F.transform(places, lambda i: F.xxhash64(*[F.get(hashes, i + j) for j in range(GRAM)]))
-        return _let(grams, lambda grams: windows(words, grams))
+    def entry(i: Column) -> Column:
+        lead = F.least(i, F.lit(WINDOW - GRAM))
+        return F.struct(
+            F.xxhash64(*[F.get(words, i + j) for j in range(GRAM)]).alias("hash"),
+            i.alias("position"),
+            lead.alias("lead"),
+            F.slice(words, i - lead + 1, F.lit(2 * WINDOW - GRAM)).alias("around"),
+            F.lit(0).alias("n_words"),
+        )
 
-    found = _let(F.transform(words, lambda word: F.xxhash64(word)), lambda hashes: runs(words, hashes))
-    return F.when(F.size(words) >= WINDOW, found).otherwise(F.array().cast(PRINTS))
+    places = F.sequence(F.lit(0), F.greatest(F.size(words) - GRAM, F.lit(0)), F.lit(step))
+    return F.when(F.size(words) >= WINDOW, F.transform(places, entry)).otherwise(F.array().cast(PRINTS))
 
 
 def _item_prints(items: DataFrame) -> DataFrame:
-    rows = items.select("item_id", F.explode(_prints(F.col("words"))).alias("p"))
+    rows = items.select("item_id", F.explode(_prints(F.col("words"), 1)).alias("p"))
     return rows.select(
         "item_id", F.col("p.hash").alias("hash"), F.col("p.lead").alias("item_lead"), F.col("p.around").alias("item_around")
     ).distinct()
@@ -105,7 +87,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             F.array().cast("array<string>").alias("around"),
             F.size(words).alias("n_words"),
         )
-        return F.concat(F.array(marker), _prints(words))
+        return F.concat(F.array(marker), _prints(words, WINDOW - GRAM + 1))
 
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     rows = texts.select("doc_id", "text_key", F.explode(_let(words_of(F.col("text")), marked)).alias("p")).select(
