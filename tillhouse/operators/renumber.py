@@ -1,4 +1,4 @@
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillhouse import settings
@@ -50,17 +50,20 @@ def reassign_duplicate_ids(rows: DataFrame, key: str, order: list[str]) -> DataF
             F.when(F.col("place") == 0, F.col(key)).otherwise(new_id).alias(key), *order
         )
 
+    def listed(rows: DataFrame) -> DataFrame:
+        """The rows of each id as one sorted list of ``HOT_ROWS`` at most, made after they moved."""
+        per_id = rows.repartition(key).groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("held"))
+        return per_id.select(key, F.posexplode("held").alias("place", "row")).select(key, "row.*", F.col("place").cast("bigint"))
+
     rows = rows.select(key, *order)
-    in_id = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    place = (F.row_number().over(in_id) - 1).cast("bigint").alias("place")
     if not found.get["hot"]:
-        return numbered(rows.select("*", place))
+        return numbered(listed(rows))
 
     hot = F.broadcast(repeated.where(size > hot_size).select("old_id"))  # one for HOT_ROWS rows at most
     placed = global_positions(rows.join(hot, same, "left_semi"))
     starts = F.broadcast(placed.groupBy(F.col(key).alias("old_id")).agg(F.min("position").alias("start")))
     placed = placed.join(starts, same).select(key, *order, (F.col("position") - F.col("start")).alias("place"))
-    return numbered(rows.join(hot, same, "left_anti").select("*", place)).unionByName(numbered(placed))
+    return numbered(listed(rows.join(hot, same, "left_anti"))).unionByName(numbered(placed))
 
 
 def _within(value: Column, type_name: str) -> Column:

@@ -43,5 +43,5 @@ CALENDAR = ["tran_year", "tran_quarter", "tran_month", "tran_month_week", "tran_
 # Sizing, no effect on results.
 CUBE_TASKS = 64  # tasks that write the customer-month table, and files of one month at most
 COPY_CHUNK = 1_000_000  # exact copies of one row are written back in pieces of this many
-HOT_ROWS = 100_000  # an id of more rows than this is spread over tasks when repeated ids are numbered
+HOT_ROWS = 10_000  # an id of more rows than this is spread over tasks when repeated ids are numbered
 LOG_LINES = 500_000  # lines of a file of a compressed log, which one task reads
