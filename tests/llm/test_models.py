@@ -357,6 +357,40 @@ def test_windows_of_parts_are_those_of_the_whole():
         assert np.array_equal(a, b)
 
 
+def test_frequent_words_are_one_id_and_rare_ones_are_spelled(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "OWN_WORDS", 2)
+    monkeypatch.setattr(lm_score, "_REMEMBERED_IDS", 3)
+    texts = ["thorreaux " * 5 + "zzyzx", "\t Thorreaux qwertz\x1cqwertz \v", "zzyzx zzyzx", "", " \n", "\u00a0\u00c9t\u00c9 12,5 12,5"]
+    counted = spark.createDataFrame([(t,) for t in texts], "text string").mapInArrow(lm_score._count_words, "word binary, c long")
+    counted = counted.groupBy("word").agg(F.sum("c").alias("c"))
+    want = collections.Counter(w for t in texts for words in lm_score.words_of(t) for w in words) + collections.Counter({lm_score.END: len(texts)})
+    assert {bytes(r.word): r.c for r in counted.collect()} == want
+    own = lm_score._own_words(counted)
+    assert own == [b"thorreaux"]  # the end is the other of the two
+    shared = spark.sparkContext.broadcast(lm_score._Known(lm_score.RANKS, own))
+    end = lm_score.encoding(lm_score.RANKS).n_vocab
+    spell = lambda w: [end + 1] if w in own else lm_score._subwords(w, lm_score.RANKS)
+    batch = pa.RecordBatch.from_pydict({"text": texts * 3})
+    got = [x.tolist() for x in lm_score._texts_as_ids(iter([batch.slice(2)]), lm_score.RANKS, shared)]
+    assert got == [[i for words in lm_score.words_of(t) for w in words for i in spell(w)] + [end] for t in (texts * 3)[2:]]
+
+
+def test_classes_of_a_kind_are_neighbours_and_all_begin_a_word_or_none():
+    rng = np.random.default_rng(2)
+    end = lm_score.encoding(lm_score.RANKS).n_vocab
+    counts = rng.zipf(1.3, end + 1001).clip(0, 10**6).astype(float)
+    vocabulary = lm_score.Vocabulary.of(counts, lm_score.RANKS, [rng.integers(0, len(counts), 48) for _ in range(60)])
+    assert sum(vocabulary.kinds) == len(vocabulary.begins) and len(vocabulary.kinds) > 2
+    for marks in np.split(vocabulary.begins, np.cumsum(vocabulary.kinds)[:-1]):
+        assert len(set(marks.tolist())) == 1
+    assert vocabulary.begins[vocabulary.classes[end:]].all()
+    network = attention.fresh(*vocabulary.sizes)
+    inputs, targets, _ = vocabulary.windows([rng.integers(0, len(counts), 70)])
+    every = np.stack([network.log_chance(inputs, np.full_like(targets, c)) for c in range(vocabulary.sizes[1])])
+    begins = network.log_chances(inputs, targets, vocabulary.begins)[1]
+    assert np.allclose(np.exp(every[vocabulary.begins > 0]).sum(axis=0), np.exp(begins), atol=1e-4)
+
+
 def test_scores_do_not_depend_on_the_layout(spark, monkeypatch):
     monkeypatch.setattr(lm_score, "EPOCHS", 1)
     monkeypatch.setattr(lm_score, "SHARD_IDS", 3000)  # several shards

@@ -1,13 +1,14 @@
 """A small causal self-attention model over token classes, trained in numpy.
 
-Inputs are token buckets, outputs are token classes; what a token's share of its class is, the caller
-knows. A window holds ``CONTEXT`` positions that are only attended to and ``SCORED`` ones that are
+Inputs are token buckets, outputs are token classes, told by kind and then within the kind; what a token's share
+of its class is, the caller knows. A window holds ``CONTEXT`` positions that are only attended to and ``SCORED`` ones that are
 scored, each from what stands before it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 
@@ -16,21 +17,57 @@ WIDTH, HEAD = 16, 16
 #: Bucket of positions before the text's start; nothing attends to them.
 PAD = 0
 
-_CAUSAL = np.where(np.arange(CONTEXT + SCORED)[None, :] <= CONTEXT + np.arange(SCORED)[:, None], 0, -30).astype(np.float32)
+_MAY_ATTEND = (np.arange(CONTEXT + SCORED)[None, :] <= CONTEXT + np.arange(SCORED)[:, None]).astype(np.float32)
+_ONES = np.ones(CONTEXT + SCORED, np.float32)
+#: Windows whose attention is worked on at a time, and windows whose classes are: what is at hand stays in the cache.
+_BATCH, _BLOCK = 64, 256
 
 
-_MAY_ATTEND = (_CAUSAL == 0).astype(np.float32)
-_BATCH = 32
+@cache
+def _settle() -> None:
+    """Once a process: a large block is freed, so that malloc keeps blocks of that size instead of giving them back after
+    each use; and a product too large for OpenBLAS's small kernels is taken, which run three times as fast after it."""
+    np.empty(2**21)
+    some = np.ones((128, 128), np.float32)
+    some @ some
+
+
+def _attention(q: np.ndarray, k: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each scored position gives to those it may see, not divided by the sums yet; and the sums."""
+    attended = q @ k.transpose(0, 2, 1)
+    if max(attended.max(), -attended.min()) > 30:
+        np.clip(attended, -30, 30, out=attended)
+    np.exp(attended, out=attended)
+    attended *= _MAY_ATTEND
+    padded = np.flatnonzero((some == PAD).any(axis=1))
+    if len(padded):
+        attended[padded] *= (some[padded] != PAD)[:, None, :]
+    sums = attended.reshape(-1, CONTEXT + SCORED) @ _ONES.astype(attended.dtype, copy=False)
+    sums += np.float32(1e-20)
+    return attended, sums
+
+
+def _exp_shares(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In place: the exponentials of the rows, up to a factor where they are large; and their sums."""
+    if max(logits.max(), -logits.min()) > 60:
+        logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    return logits, logits @ np.ones(logits.shape[1], logits.dtype)
 
 
 @dataclass
 class Model:
-    """Weights by name: embedding, position, query, key, value, mix, output, bias."""
+    """Weights by name: embedding, position, query, key, value, mix, kind, kind_bias, output, bias.
+
+    Classes are told in two steps: their kind first, then which of its kind; ``kinds`` is how many classes each kind has.
+    Classes of a kind have neighbouring numbers.
+    """
 
     weights: dict[str, np.ndarray]
+    kinds: tuple[int, ...]
 
     def copy(self) -> Model:
-        return Model({name: x.copy() for name, x in self.weights.items()})
+        return Model({name: x.copy() for name, x in self.weights.items()}, self.kinds)
 
     def flat(self) -> np.ndarray:
         return np.concatenate([x.reshape(-1) for x in self.weights.values()])
@@ -39,112 +76,169 @@ class Model:
         """A model of the same shape with the weights in ``values``, in the order of ``flat``."""
         parts = np.split(values, np.cumsum([x.size for x in self.weights.values()])[:-1])
         pairs = zip(self.weights.items(), parts, strict=True)
-        return Model({name: part.reshape(x.shape).astype(x.dtype) for (name, x), part in pairs})
+        return Model({name: part.reshape(x.shape).astype(x.dtype) for (name, x), part in pairs}, self.kinds)
+
+    def _tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What an input gives as key and as what its value adds to the output, and as query and itself, by its bucket
+        and by its place."""
+        w = self.weights
+        early, late = np.hstack([w["key"], w["value"] @ w["mix"]]), w["query"] * np.float32(HEAD**-0.5)
+        embedding, position = w["embedding"], w["position"][CONTEXT:]
+        return embedding @ early, w["position"] @ early, np.hstack([embedding @ late, embedding]), np.hstack([position @ late, position])
+
+    @staticmethod
+    def _out(some: np.ndarray, tables: tuple[np.ndarray, ...]) -> np.ndarray:
+        """What goes on to the classes from the windows of a batch."""
+        early_of, early_at, late_of, late_at = tables
+        k_and_v = np.take(early_of, some, axis=0)
+        k_and_v += early_at
+        q_and_own = np.take(late_of, some[:, CONTEXT:], axis=0)
+        q_and_own += late_at
+        attended, sums = _attention(q_and_own[:, :, :HEAD], k_and_v[:, :, :HEAD], some)
+        out = attended @ k_and_v[:, :, HEAD:]
+        out /= sums.reshape(-1, SCORED, 1)
+        out += q_and_own[:, :, HEAD:]
+        return out.reshape(-1, WIDTH)
 
     def _forward(self, buckets: np.ndarray) -> dict[str, np.ndarray]:
-        w, batch = self.weights, len(buckets)
-        h = w["embedding"][buckets] + w["position"]
-        flat, late = h.reshape(-1, WIDTH), np.ascontiguousarray(h[:, CONTEXT:]).reshape(-1, WIDTH)
-        q = (late @ w["query"]).reshape(batch, SCORED, HEAD)
-        k = (flat @ w["key"]).reshape(batch, -1, HEAD)
-        v = (flat @ w["value"]).reshape(batch, -1, HEAD)
-        scores = q @ k.transpose(0, 2, 1)
-        scores *= np.float32(HEAD**-0.5)
-        np.clip(scores, -30, 30, out=scores)
-        scores += _CAUSAL + np.where(buckets == PAD, np.float32(-60), np.float32(0))[:, None, :]
-        np.exp(scores, out=scores)
-        scores /= scores.sum(axis=2, keepdims=True) + np.float32(1e-20)
-        seen = (scores @ v).reshape(-1, HEAD)
-        out = late + seen @ w["mix"]
-        logits = out @ w["output"]
-        logits += w["bias"]
-        return {"h": flat, "late": late, "q": q, "k": k, "v": v, "attention": scores, "seen": seen, "out": out, "logits": logits}
+        """The log chances of all classes, as ``logits``."""
+        w, out = self.weights, self._out(buckets, self._tables())
+        chances, sums = _exp_shares(out @ w["kind"] + w["kind_bias"])
+        by_kind, logits = np.log(chances / sums[:, None]), out @ w["output"] + w["bias"]
+        for kind, (first, past) in enumerate(self._bounds()):
+            own, sums = _exp_shares(logits[:, first:past].copy())
+            logits[:, first:past] = np.log(own / sums[:, None]) + by_kind[:, kind, None]
+        return {"logits": logits}
+
+    def _bounds(self) -> list[tuple[int, int]]:
+        ends = np.cumsum(self.kinds).tolist()
+        return list(zip([0, *ends[:-1]], ends, strict=True))
+
+    def _by_kind(self, classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int, int]]]:
+        """An order of positions by class; and the kinds met: number, first and past class, first and past place in the order."""
+        order = np.argsort(classes.astype(np.int16, copy=False), kind="stable")
+        places = np.searchsorted(classes[order], [0, *np.cumsum(self.kinds)]).tolist()
+        met = zip(range(len(self.kinds)), self._bounds(), zip(places, places[1:], strict=False), strict=True)
+        return order, [(kind, *own, *place) for kind, own, place in met if place[0] < place[1]]
 
     def log_chance(self, buckets: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """Natural log of the chance of each scored position's class; any number of windows, in batches."""
         return self.log_chances(buckets, classes, np.zeros(len(self.weights["bias"]), np.float32))[0]
 
     def log_chances(self, buckets: np.ndarray, classes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Natural logs of the chances of each scored position's class, and of the classes marked in ``group`` together.
-
-        The same model as ``_forward`` with fewer passes over the large arrays.
-        """
+        """Natural logs of the chances of each scored position's class, and of the classes marked in ``group`` together,
+        which marks all classes of a kind or none."""
+        _settle()
         w = self.weights
-        scaled, both = w["query"] * np.float32(HEAD**-0.5), np.hstack([w["key"], w["value"]])
+        tables = self._tables()
         found, grouped = np.empty(classes.shape, np.float32), np.empty(classes.shape, np.float32)
+        marked = group.astype(np.float32)[[first for first, _ in self._bounds()]]
+        for start in range(0, len(buckets), _BLOCK):
+            block = buckets[start : start + _BLOCK]
+            out = np.concatenate([self._out(block[i : i + _BATCH], tables) for i in range(0, len(block), _BATCH)])
+            kinds, every = _exp_shares(out @ w["kind"] + w["kind_bias"])
+            grouped[start : start + _BLOCK] = np.log((kinds @ marked + np.float32(1e-30)) / every).reshape(-1, SCORED)
+            target = classes[start : start + _BLOCK].reshape(-1)
+            order, met = self._by_kind(target)
+            out, sorted_target = np.take(out, order, axis=0), target[order]
+            chances = np.empty(len(order), out.dtype)
+            for kind, first, past, begin, end in met:
+                own, sums = _exp_shares(out[begin:end] @ w["output"][:, first:past] + w["bias"][first:past])
+                chances[begin:end] = own[np.arange(end - begin), sorted_target[begin:end] - first] / sums * (kinds[order[begin:end], kind] / every[order[begin:end]])
+            placed = np.empty(len(order), out.dtype)
+            placed[order] = chances
+            found[start : start + _BLOCK] = np.log(placed).reshape(-1, SCORED)
+        return found, grouped
+
+    def _gradients(self, buckets: np.ndarray, classes: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
+        w, dtype = self.weights, self.weights["output"].dtype
+        both, scaled = np.hstack([w["key"], w["value"]]), w["query"] * np.float32(HEAD**-0.5)
+        parts, out = [], np.empty((classes.size, WIDTH), dtype)
         for start in range(0, len(buckets), _BATCH):
             some = buckets[start : start + _BATCH]
-            count = len(some)
-            h = w["embedding"][some]
+            h = np.take(w["embedding"], some, axis=0)
             h += w["position"]
             late = np.ascontiguousarray(h[:, CONTEXT:]).reshape(-1, WIDTH)
-            k_and_v = (h.reshape(-1, WIDTH) @ both).reshape(count, CONTEXT + SCORED, 2 * HEAD)
-            attended = (late @ scaled).reshape(count, SCORED, HEAD) @ k_and_v[:, :, :HEAD].transpose(0, 2, 1)
-            if max(attended.max(), -attended.min()) > 30:
-                np.clip(attended, -30, 30, out=attended)
-            np.exp(attended, out=attended)
-            attended *= _MAY_ATTEND
-            padded = some == PAD
-            if padded.any():
-                attended *= ~padded[:, None, :]
-            seen = attended @ k_and_v[:, :, HEAD:]
-            seen /= attended.sum(axis=2, keepdims=True) + np.float32(1e-20)
-            logits = (late + seen.reshape(-1, HEAD) @ w["mix"]) @ w["output"]
-            logits += w["bias"]
-            target = classes[start : start + _BATCH].reshape(-1)
-            picked = logits[np.arange(len(target)), target]
-            if logits.max() > 60:
-                top = logits.max(axis=1)
-                logits -= top[:, None]
-                picked -= top
-            np.exp(logits, out=logits)
-            every = logits.sum(axis=1)
-            found[start : start + _BATCH] = (picked - np.log(every)).reshape(-1, SCORED)
-            grouped[start : start + _BATCH] = np.log((logits @ group + np.float32(1e-30)) / every).reshape(-1, SCORED)
-        return found, grouped
-
-    def _gradients(self, buckets: np.ndarray, classes: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
-        w, f, batch = self.weights, self._forward(buckets), len(buckets)
-        error = f["logits"]
-        error -= error.max(axis=1, keepdims=True)
-        np.exp(error, out=error)
-        error /= error.sum(axis=1, keepdims=True)
-        error[np.arange(len(error)), classes.reshape(-1)] -= 1
-        error *= (counted.reshape(-1, 1) / max(counted.sum(), 1)).astype(np.float32)
-        found = {"output": f["out"].T @ error, "bias": error.sum(axis=0)}
-        d_out = error @ w["output"].T
-        found["mix"] = f["seen"].T @ d_out
-        d_seen = (d_out @ w["mix"].T).reshape(batch, SCORED, HEAD)
-        attention = f["attention"]
-        d_v = attention.transpose(0, 2, 1) @ d_seen
-        d_attention = d_seen @ f["v"].transpose(0, 2, 1)
-        d_scores = attention * (d_attention - (d_attention * attention).sum(axis=2, keepdims=True)) * np.float32(HEAD**-0.5)
-        d_q = (d_scores @ f["k"]).reshape(-1, HEAD)
-        d_k = (d_scores.transpose(0, 2, 1) @ f["q"]).reshape(-1, HEAD)
-        d_v = d_v.reshape(-1, HEAD)
-        found |= {"query": f["late"].T @ d_q, "key": f["h"].T @ d_k, "value": f["h"].T @ d_v}
-        d_h = (d_k @ w["key"].T + d_v @ w["value"].T).reshape(batch, -1, WIDTH)
-        d_h[:, CONTEXT:] += (d_out + d_q @ w["query"].T).reshape(batch, SCORED, WIDTH)
-        found["position"] = d_h.sum(axis=0)
-        found["embedding"] = np.zeros_like(w["embedding"])
-        order = np.argsort(buckets, axis=None, kind="stable")
-        used, starts = np.unique(buckets.reshape(-1)[order], return_index=True)
-        found["embedding"][used] = np.add.reduceat(d_h.reshape(-1, WIDTH)[order], starts)
+            k_and_v, q = (h.reshape(-1, WIDTH) @ both).reshape(*some.shape, 2 * HEAD), (late @ scaled).reshape(-1, SCORED, HEAD)
+            attention, sums = _attention(q, k_and_v[:, :, :HEAD], some)
+            seen = (attention @ k_and_v[:, :, HEAD:]).reshape(-1, HEAD)
+            seen /= sums[:, None]
+            np.add(late, seen @ w["mix"], out=out[start * SCORED : (start + len(some)) * SCORED])
+            parts.append((h.reshape(-1, WIDTH), late, q, k_and_v, attention, sums, seen))
+        target, weight = classes.reshape(-1), (counted.reshape(-1) / max(counted.sum(), 1)).astype(dtype)
+        order, met = self._by_kind(target)
+        out, target, weight = np.take(out, order, axis=0), target[order], weight[order]
+        error, sums = _exp_shares(out @ w["kind"] + w["kind_bias"])
+        error *= (weight / sums)[:, None]
+        found = {"output": np.zeros_like(w["output"]), "bias": np.zeros_like(w["bias"])}
+        for kind, first, past, begin, end in met:
+            error[begin:end, kind] -= weight[begin:end]
+        d_sorted = error @ w["kind"].T
+        found |= {"kind": out.T @ error, "kind_bias": error.sum(axis=0)}
+        for _, first, past, begin, end in met:
+            own, sums = _exp_shares(out[begin:end] @ w["output"][:, first:past] + w["bias"][first:past])
+            own *= (weight[begin:end] / sums)[:, None]
+            own[np.arange(end - begin), target[begin:end] - first] -= weight[begin:end]
+            found["output"][:, first:past], found["bias"][first:past] = out[begin:end].T @ own, own.sum(axis=0)
+            d_sorted[begin:end] += own @ w["output"][:, first:past].T
+        d_out = np.empty_like(d_sorted)
+        d_out[order] = d_sorted
+        d_both, d_scaled, found["mix"] = np.zeros_like(both), np.zeros_like(scaled), np.zeros_like(w["mix"])
+        d_all = np.empty((*buckets.shape, WIDTH), dtype)
+        for start, (h, late, q, k_and_v, attention, sums, seen) in zip(range(0, len(buckets), _BATCH), parts, strict=True):
+            d_late = d_out[start * SCORED : (start + len(q)) * SCORED]
+            found["mix"] += seen.T @ d_late
+            d_seen = d_late @ w["mix"].T
+            d_seen /= sums[:, None]
+            # Of each query, the sum over keys of attention times its gradient is what it saw times the gradient of that.
+            common = np.einsum("ij,ij->i", d_seen, seen).reshape(-1, SCORED, 1)
+            d_seen = d_seen.reshape(-1, SCORED, HEAD)
+            d_k_and_v = np.empty_like(k_and_v)
+            d_k_and_v[:, :, HEAD:] = attention.transpose(0, 2, 1) @ d_seen
+            d_scores = d_seen @ k_and_v[:, :, HEAD:].transpose(0, 2, 1)
+            d_scores -= common
+            d_scores *= attention
+            d_q = (d_scores @ k_and_v[:, :, :HEAD]).reshape(-1, HEAD)
+            d_k_and_v[:, :, :HEAD] = d_scores.transpose(0, 2, 1) @ q
+            d_k_and_v = d_k_and_v.reshape(-1, 2 * HEAD)
+            d_both += h.T @ d_k_and_v
+            d_scaled += late.T @ d_q
+            d_h = d_all[start : start + len(q)]
+            np.matmul(d_k_and_v, both.T, out=d_h.reshape(-1, WIDTH))
+            d_late = d_late + d_q @ scaled.T
+            d_h[:, CONTEXT:] += d_late.reshape(-1, SCORED, WIDTH)
+        found |= {"query": d_scaled * np.float32(HEAD**-0.5), "key": d_both[:, :HEAD], "value": d_both[:, HEAD:], "position": d_all.sum(axis=0)}
+        found["embedding"] = _by_bucket(buckets, d_all, len(w["embedding"]))
         return found
 
 
-def fresh(buckets: int, classes: int) -> Model:
+def _by_bucket(buckets: np.ndarray, values: np.ndarray, total: int) -> np.ndarray:
+    """Sums of the values at each bucket."""
+    flat, width = buckets.reshape(-1), values.shape[-1]
+    order = np.argsort(flat.astype(np.int16, copy=False), kind="stable")
+    used = flat[order]
+    starts = np.flatnonzero(np.concatenate([[True], used[1:] != used[:-1]]))
+    sums = np.zeros((total, width), values.dtype)
+    sums[used[starts]] = np.add.reduceat(np.take(values.reshape(-1, width), order, axis=0), starts)
+    return sums
+
+
+def fresh(buckets: int, classes: int, kinds: tuple[int, ...] | None = None) -> Model:
+    """``kinds``: how many classes each kind has; about as many kinds as classes in each, if not given."""
     random = np.random.default_rng(11)
+    each = round(classes**0.5)
+    kinds = kinds or tuple(min(each, classes - first) for first in range(0, classes, each))
     shapes = {"embedding": (buckets, WIDTH), "position": (CONTEXT + SCORED, WIDTH), "query": (WIDTH, HEAD), "key": (WIDTH, HEAD)}
-    shapes |= {"value": (WIDTH, HEAD), "mix": (HEAD, WIDTH), "output": (WIDTH, classes)}
+    shapes |= {"value": (WIDTH, HEAD), "mix": (HEAD, WIDTH), "output": (WIDTH, classes), "kind": (WIDTH, len(kinds))}
     weights = {name: random.normal(0, 0.2, shape).astype(np.float32) for name, shape in shapes.items()}
-    return Model(weights | {"bias": np.zeros(classes, np.float32)})
+    return Model(weights | {"bias": np.zeros(classes, np.float32), "kind_bias": np.zeros(len(kinds), np.float32)}, kinds)
 
 
 class Trainer:
     """Adam on a model's own weights, a batch of windows at a time."""
 
     def __init__(self, model: Model):
+        _settle()
         self.model, self.steps = model, 0
         self.first = {name: np.zeros_like(x) for name, x in model.weights.items()}
         self.second = {name: np.zeros_like(x) for name, x in model.weights.items()}
@@ -153,12 +247,22 @@ class Trainer:
         """``counted`` marks the scored positions that hold a token; the rate rises over the first 20 steps."""
         self.steps += 1
         rate *= min(self.steps / 20, 1)
+        steady, size = np.float32((1 - 0.99**self.steps) ** -0.5), np.float32(rate / (1 - 0.9**self.steps))
         for name, gradient in self.model._gradients(buckets, classes, counted).items():
             first, second = self.first[name], self.second[name]
-            first += 0.1 * (gradient - first)
-            second += 0.01 * (gradient**2 - second)
-            change = first / (1 - 0.9**self.steps) / (np.sqrt(second / (1 - 0.99**self.steps)) + 1e-8)
-            self.model.weights[name] -= np.float32(rate) * change.astype(np.float32)
+            change = gradient - first
+            change *= np.float32(0.1)
+            first += change
+            np.multiply(gradient, gradient, out=change)
+            change -= second
+            change *= np.float32(0.01)
+            second += change
+            np.sqrt(second, out=change)
+            change *= steady
+            change += np.float32(1e-8)
+            np.divide(first, change, out=change)
+            change *= size
+            self.model.weights[name] -= change
 
 
 def train(model: Model, buckets: np.ndarray, classes: np.ndarray, counted: np.ndarray, epochs: int, batch: int = 128) -> Model:

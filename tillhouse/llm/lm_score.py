@@ -1,10 +1,10 @@
 """Language-model scores of whole documents, and a word model to compare with.
 
-A text is its words (A-Z lower-cased) and one end. Each word becomes the subword ids of itself after a
-space; the end is an id of its own. The chance of an id is that of its class, from a causal attention
+A text is its words (A-Z lower-cased) and one end. A frequent word of the training documents is an id of its own, any
+other word becomes the subword ids of itself after a space; the end is an id, too. The chance of an id is that of its class, from a causal attention
 model, times the id's share of its class, from the counts of all training documents. The frequent
 ids are classes of their own; rarer ones share classes by the kind of text they occur in and frequency,
-those that begin a word apart from the others. Overlapping windows score each id once. A word's chance is that of
+whole words, beginnings of words and other parts apart; the network tells the kind of a class first, then the class. Overlapping windows score each id once. A word's chance is that of
 its ids, given that the first begins a word, times the chance that what follows begins the next one or is the end; the
 chances of all words so sum to one at most. It is interpolated with the word's share of all training words,
 as is usual, so that the small network need not learn the lexicon.
@@ -15,18 +15,19 @@ words are looked up where the text is, all others through a join.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.llm import attention
@@ -36,9 +37,9 @@ from tillhouse.llm.common import remainder, slices, table
 from tillhouse.staging import pin
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Classes: ids of their own; the others by topic, word beginning or not, and level of frequency. Input
-#: buckets: ids of their own, and shared ones.
-OWN_CLASSES, TOPICS, LEVELS = 96, 8, 4
+#: Classes: ids of their own; the others by topic, type (whole words, beginnings of words, other parts), and level of
+#: frequency. Input buckets: ids of their own, and shared ones by topic and type.
+OWN_CLASSES, TOPICS, TYPES, LEVELS = 96, 8, 3, 4
 OWN_BUCKETS, SHARED_BUCKETS = 2048, 256
 #: The attention model's first weights come from windows of this many documents at most, this many each.
 SAMPLE_DOCS, SAMPLE_WINDOWS, EPOCHS = 2500, 10, 4
@@ -47,6 +48,8 @@ SAMPLE_DOCS, SAMPLE_WINDOWS, EPOCHS = 2500, 10, 4
 #: added up in pieces, by piece.
 ROUNDS, RATE, BATCH = 4, 0.004, 128
 SHARD_IDS, WEIGHT_PIECES = 1_000_000, 64
+#: Words that are ids of their own, at most, and how often they occur at least; rarer ones show how words are spelled.
+OWN_WORDS, OWN_WORD_COUNT = 300_000, 3
 #: Windows of a row of stored ids.
 ROW_WINDOWS = 64
 #: Ids of the most frequent kinds, by which the topic of a piece of text is told.
@@ -57,7 +60,8 @@ WORD_SHARE = 0.4
 HEAD_WORDS = 1_000_000
 END = b"\n"  # no word holds white space
 _PIECE = 1_000_000
-_REMEMBERED, _REMEMBERED_IDS = 500_000, 150_000
+_TEXT_BYTES = 2_000_000
+_REMEMBERED_IDS, _HELD_COUNTS = 300_000, 500_000
 
 
 def words_of(text: str | None) -> Iterator[list[bytes]]:
@@ -76,24 +80,53 @@ def word_key(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word) - 2**63
 
 
+def _text_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows with so much text at a time that distinct words are few beside all words; a longer text comes alone."""
+    for batch in batches:
+        ends, start = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)), 0
+        while start < batch.num_rows:
+            past = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _TEXT_BYTES, "right"))
+            past = max(past, start + 1)
+            yield batch.slice(start, past - start)
+            start = past
+
+
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of ``words_of`` of all texts (no nulls), and how many each text has, without an object for each word."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    parts, offsets = lists.flatten(), lists.offsets.to_numpy()
+    real = pc.greater(pc.binary_length(parts), 0)  # white space at the ends of a text leaves empty parts
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])[offsets - offsets[0]]
+    return parts.filter(real), np.diff(before)
+
+
+def _coded(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of the texts and the end; the place among them of each word, an end after each text; and the
+    number of words of each text, its end included."""
+    words, sizes = _split(texts)
+    coded = words.dictionary_encode()
+    distinct = [*coded.dictionary.cast(pa.binary()).to_pylist(), END]
+    return distinct, np.insert(coded.indices.to_numpy().astype(np.int64), np.cumsum(sizes), len(distinct) - 1), sizes + 1
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter[bytes] = Counter()
+    names, held = ["word", "c"], []
 
-    def flush() -> pa.RecordBatch:
-        rows = pa.RecordBatch.from_pydict({
-            "word": pa.array(counts, pa.binary()), "c": pa.array(counts.values(), pa.int64()),
-        })
-        counts.clear()
-        return rows
+    def added() -> pa.Table:
+        whole = pa.concat_tables(held).group_by("word").aggregate([("c", "sum")])
+        held.clear()
+        return whole.select(["word", "c_sum"]).rename_columns(names)
 
-    for batch in slices(batches):
-        for text in batch.column("text").to_pylist():
-            for words in words_of(text):
-                counts.update(words)
-            counts[END] += 1
-            if len(counts) > 500_000:
-                yield flush()
-    yield flush()
+    for batch in _text_slices(batches):
+        counts = _split(batch.column("text"))[0].value_counts()
+        words = pa.concat_arrays([counts.field("values").cast(pa.binary()), pa.array([END], pa.binary())])
+        held.append(pa.table([words, pa.concat_arrays([counts.field("counts"), pa.array([batch.num_rows])])], names))
+        if sum(map(len, held)) > _HELD_COUNTS:
+            held.append(added())
+            if len(held[0]) > _HELD_COUNTS // 2:
+                yield from held.pop().to_batches()
+    if held:
+        yield from added().to_batches()
 
 
 def _subwords(word: bytes, path: str) -> list[int]:
@@ -101,13 +134,58 @@ def _subwords(word: bytes, path: str) -> list[int]:
     return [bpe.n_vocab] if word == END else bpe.encode_ordinary(" " + word.decode())
 
 
-def _count_ids(path: str):
+class _Known(dict):
+    """The ids of words in four bytes each, remembered up to a bound. Words among ``own`` are ids of their own, after all others."""
+
+    def __init__(self, path: str, own: list[bytes]):
+        super().__init__()
+        self.path, self.own, self.encode = path, own, encoding(path).encode_ordinary
+        self.total = encoding(path).n_vocab + 1 + len(own)
+        self._begin()
+
+    def _begin(self) -> None:
+        self.clear()
+        ids = np.arange(self.total - len(self.own), self.total, dtype="<u4").tobytes()
+        self.update((word, ids[4 * i : 4 * i + 4]) for i, word in enumerate(self.own))
+
+    def __reduce__(self):
+        return _Known, (self.path, self.own)
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= len(self.own) + _REMEMBERED_IDS:
+            self._begin()
+        ids = self.encode(" " + word.decode()) if word != END else _subwords(word, self.path)
+        found = self[word] = array("I", ids).tobytes()
+        return found
+
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words, one word after the other, and how many each has."""
+        found = [self[word] for word in words]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), "<u4").astype(np.int64), lengths
+
+
+_without_own = lru_cache(1)(lambda path: _Known(path, []))
+
+
+def _known(path: str, own: Broadcast | None) -> _Known:
+    return own.value if own else _without_own(path)
+
+
+def _at(flat: np.ndarray, lengths: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The parts of ``flat`` at ``places``, where parts of these lengths follow each other."""
+    sizes = lengths[places]
+    ends = np.cumsum(sizes)
+    return flat[np.arange(ends[-1]) + np.repeat((np.cumsum(lengths) - lengths)[places] - ends + sizes, sizes)]
+
+
+def _count_ids(path: str, own: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(encoding(path).n_vocab + 1, np.int64)
+        known = _known(path, own)
+        counts = np.zeros(known.total, np.int64)
         for batch in slices(batches, 4096):
-            for word, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist(), strict=True):
-                for i in _subwords(word, path):
-                    counts[i] += c
+            ids, lengths = known.of(batch.column("word").to_pylist())
+            np.add.at(counts, ids, np.repeat(batch.column("c").to_numpy(), lengths))
         ids = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"id": pa.array(ids), "n": pa.array(counts[ids])})
 
@@ -116,33 +194,37 @@ def _count_ids(path: str):
 
 @dataclass
 class Vocabulary:
-    """Class and log share in it of every id, the input bucket of every id (PAD and the start come first), and a mark
-    at the classes whose ids begin a word, or are the end."""
+    """Class and log share in it of every id, the input bucket of every id (PAD and the start come first), a mark
+    at the classes whose ids begin a word, or are the end, and how many classes each kind has. A kind is a topic's
+    classes that begin a word, or its others; classes of a kind have neighbouring numbers."""
 
     classes: np.ndarray
     log_share: np.ndarray
     buckets: np.ndarray
     begins: np.ndarray
+    kinds: tuple[int, ...]
 
     @property
-    def sizes(self) -> tuple[int, int]:
-        return int(self.buckets.max()) + 1, int(self.classes.max()) + 1
+    def sizes(self) -> tuple[int, int, tuple[int, ...]]:
+        return int(self.buckets.max()) + 1, int(self.classes.max()) + 1, self.kinds
 
     @staticmethod
     def of(counts: np.ndarray, path: str, pieces: list[np.ndarray], topics: np.ndarray | None = None) -> Vocabulary:
         """From the counts of all ids and their topics, or pieces of texts that show which ids occur together."""
         bpe, total = encoding(path), len(counts)
-        begins = np.array([i == total - 1 or bpe.decode_single_token_bytes(i)[:1] == b" " for i in range(total)])
+        end = bpe.n_vocab
+        begins = np.array([i >= end or bpe.decode_single_token_bytes(i)[:1] == b" " for i in range(total)])
+        types = np.where(np.arange(total) >= end, 0, np.where(begins, 1, 2))  # whole words, beginnings, what goes on
         order = _by_frequency(counts)
-        others = order[order != total - 1]
+        others = order[order != end]
         classes = np.empty(total, np.int64)
-        classes[[*others[: OWN_CLASSES - 1], total - 1]] = np.arange(OWN_CLASSES)
+        classes[[*others[: OWN_CLASSES - 1], end]] = np.arange(OWN_CLASSES)
         rest = others[OWN_CLASSES - 1 :]
         topics = _topics(pieces, order[:FREQUENT], total) if topics is None else topics
         made = OWN_CLASSES
         for topic in range(TOPICS):
-            for beginning in (True, False):
-                ids = rest[(topics[rest] == topic) & (begins[rest] == beginning)]
+            for kind in range(TYPES):
+                ids = rest[(topics[rest] == topic) & (types[rest] == kind)]
                 if not len(ids):
                     continue
                 # Classes of about the same number of occurrences.
@@ -150,11 +232,18 @@ class Vocabulary:
                 level = np.unique(np.minimum((weight / weight[-1] * LEVELS).astype(int), LEVELS - 1), return_inverse=True)[1]
                 classes[ids] = made + level
                 made += int(level.max()) + 1
+        kind_of = np.empty(made, np.int64)
+        kind_of[classes] = topics * 2 + ~begins
+        by_kind = np.argsort(kind_of, kind="stable")
+        classes = np.argsort(by_kind).astype(np.int16)[classes]
+        kinds = tuple(np.unique(kind_of, return_counts=True)[1].tolist())
         mass = np.bincount(classes, counts + 0.5)
-        buckets = np.empty(total, np.int64)
+        buckets = np.empty(total, np.int16)
         buckets[order[:OWN_BUCKETS]] = 2 + np.arange(OWN_BUCKETS)
-        buckets[order[OWN_BUCKETS:]] = 2 + OWN_BUCKETS + order[OWN_BUCKETS:] % SHARED_BUCKETS
-        return Vocabulary(classes, np.log((counts + 0.5) / mass[classes]), buckets, np.bincount(classes, begins).astype(bool).astype(np.float32))
+        rare, each = order[OWN_BUCKETS:], SHARED_BUCKETS // (TOPICS * TYPES)
+        buckets[rare] = 2 + OWN_BUCKETS + (topics[rare] * TYPES + types[rare]) * each + rare % each
+        marks = np.bincount(classes, begins).astype(bool).astype(np.float32)
+        return Vocabulary(classes, np.log((counts + 0.5) / mass[classes]), buckets, marks, kinds)
 
     def windows(self, texts: list[np.ndarray], leads: list[int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Input buckets, classes and marks of real positions of all windows over the texts' ids.
@@ -164,14 +253,14 @@ class Vocabulary:
         inputs, targets, marks = [], [], []
         for ids, lead in zip(texts, leads or [0] * len(texts), strict=True):
             count = -(-(len(ids) - lead) // SCORED)
-            padded = np.full(CONTEXT + count * SCORED, PAD, np.int64)
+            padded = np.full(CONTEXT + count * SCORED, PAD, np.int16)
             if lead:
                 padded[: len(ids) - 1] = self.buckets[ids[:-1]]
                 ids = ids[lead:]
             else:
                 padded[CONTEXT] = 1  # the start
                 padded[CONTEXT + 1 : CONTEXT + len(ids)] = self.buckets[ids[:-1]]
-            target = np.zeros(count * SCORED, np.int64)
+            target = np.zeros(count * SCORED, np.int16)
             target[: len(ids)] = self.classes[ids]
             inputs.append(np.lib.stride_tricks.sliding_window_view(padded, CONTEXT + SCORED)[::SCORED])
             targets.append(target.reshape(-1, SCORED))
@@ -228,44 +317,28 @@ def _topics(pieces: list[np.ndarray], frequent: np.ndarray, total: int) -> np.nd
     return _topic_of_ids(_Topics.found(frequent, total, pieces).count(pieces))
 
 
-class _Known(dict):
-    """The ids of words, remembered up to a bound."""
-
-    def __init__(self, path: str):
-        super().__init__()
-        self.path = path
-
-    def __missing__(self, word: bytes) -> list[int]:
-        if len(self) >= _REMEMBERED_IDS:
-            self.clear()
-        found = self[word] = _subwords(word, self.path)
-        return found
-
-
-_known = lru_cache(1)(_Known)
-
-
-def _texts_as_ids(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[np.ndarray]:
+def _texts_as_ids(batches: Iterator[pa.RecordBatch], path: str, own: Broadcast | None = None) -> Iterator[np.ndarray]:
     """The ids of each text, the end included."""
-    known = _known(path).__getitem__
-    for batch in slices(batches, 64):
-        for text in batch.column("text").to_pylist():
-            parts = [np.fromiter(chain.from_iterable(map(known, words)), np.int64) for words in words_of(text)]
-            yield np.concatenate([*parts, np.array(known(END), np.int64)])
+    known = _known(path, own)
+    for batch in _text_slices(batches):
+        distinct, places, sizes = _coded(batch.column("text"))
+        flat, lengths = known.of(distinct)
+        ids = _at(flat, lengths, places)
+        yield from np.split(ids, np.cumsum(lengths[places])[np.cumsum(sizes)[:-1] - 1])
 
 
 _ENCODED = "key long, number long, lead int, ids binary"
 
 
-def _encode_texts(path: str):
+def _encode_texts(path: str, own: Broadcast | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 64):
+        for batch in _text_slices(batches):
             rows: dict[str, list] = {name: [] for name in ("key", "number", "lead", "ids")}
             keys = batch.column("key").to_pylist()
-            for key, ids in zip(keys, _texts_as_ids(iter([batch]), path), strict=True):
+            for key, ids in zip(keys, _texts_as_ids(iter([batch]), path, own), strict=True):
                 for number, begin in enumerate(range(0, len(ids), ROW_WINDOWS * SCORED)):
                     lead = CONTEXT + 1 if begin else 0
-                    part = ids[begin - lead : begin + ROW_WINDOWS * SCORED].astype("<u2").tobytes()
+                    part = ids[begin - lead : begin + ROW_WINDOWS * SCORED].astype("<u4").tobytes()
                     for name, value in zip(rows, (key, number, lead, part), strict=True):
                         rows[name].append(value)
             types = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
@@ -274,23 +347,21 @@ def _encode_texts(path: str):
     return run
 
 
-def encode_texts(training: DataFrame, path: str) -> DataFrame:
-    """The ids of all texts (doc_id, text; no nulls in text) as a stored table, two bytes an id, some windows in a row."""
-    if encoding(path).n_vocab >= 2**16:
-        raise ValueError("ids of this vocabulary take more than two bytes")
+def encode_texts(training: DataFrame, path: str, own: Broadcast | None = None) -> DataFrame:
+    """The ids of all texts (doc_id, text; no nulls in text) as a stored table, four bytes an id, some windows in a row."""
     keyed = training.select(F.xxhash64("doc_id", "text").alias("key"), "text")
-    return pin(keyed.mapInArrow(_encode_texts(path), _ENCODED))
+    return pin(keyed.mapInArrow(_encode_texts(path, own), _ENCODED))
 
 
 def _ids(batch: pa.RecordBatch) -> tuple[list[np.ndarray], list[int]]:
     """The ids of each row, and how many of them only lead up to it."""
-    return [np.frombuffer(x, "<u2").astype(np.int64) for x in batch.column("ids").to_pylist()], batch.column("lead").to_pylist()
+    return [np.frombuffer(x, "<u4").astype(np.int64) for x in batch.column("ids").to_pylist()], batch.column("lead").to_pylist()
 
 
 def _count_topics(topics: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, size = np.zeros(len(topics.value.column) * TOPICS, np.int64), CONTEXT + SCORED
-        for batch in slices(batches, 64):
+        for batch in slices(batches):
             texts = [ids[lead:] for ids, lead in zip(*_ids(batch), strict=True)]
             seen += topics.value.count([ids[start : start + size] for ids in texts for start in range(0, len(ids), size)])
         cells = np.flatnonzero(seen)
@@ -439,14 +510,14 @@ class LanguageModel:
         return scores / np.log(10), left
 
 
-def _sampled(path: str):
+def _sampled(path: str, own: Broadcast):
     """Ids of pieces of a text, evenly spread, for training."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = CONTEXT + SCORED
         for batch in slices(batches, 64):
             out = []
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), _texts_as_ids(iter([batch]), path), strict=True):
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), _texts_as_ids(iter([batch]), path, own), strict=True):
                 starts = {round(s) for s in np.linspace(0, max(len(ids) - size, 0), SAMPLE_WINDOWS)}
                 out += [(doc, start, ids[start : start + size]) for start in sorted(starts)]
             yield pa.RecordBatch.from_pydict({
@@ -457,99 +528,43 @@ def _sampled(path: str):
     return run
 
 
-class _Words:
-    """What is known of words, remembered up to a bound: ids, the count's log term, a key if it has to be joined."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, path: str):
-        self.keys, self.counts, self.path = keys, counts, path
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        none = np.zeros(0, np.int64)
-        self.lengths, self.begins, self.flat, self.counted, self.joined, self.terms = none, none, none, none, none, np.zeros(0)
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [word for word in words if word not in self.known]
-        if not new:
-            return
-        if self.known and len(self.known) + len(new) > _REMEMBERED:
-            self.clear()
-            new = list(words)
-        keys = np.array([word_key(word) for word in new], np.int64)
-        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        found = self.keys[at] == keys if len(self.keys) else np.zeros(len(new), bool)
-        counts = np.where(found, self.counts[at], -1) if len(self.keys) else np.full(len(new), -1)
-        self.known.update(zip(new, range(len(self.lengths), len(self.lengths) + len(new)), strict=True))
-        fresh = [_subwords(word, self.path) for word in new]
-        lengths = np.array([len(x) for x in fresh], np.int64)
-        self.lengths = np.concatenate([self.lengths, lengths])
-        start = len(self.flat)
-        self.flat = np.concatenate([self.flat, np.array([i for x in fresh for i in x], np.int64)])
-        self.begins = np.concatenate([self.begins, start + np.cumsum(lengths) - lengths])
-        self.terms = np.concatenate([self.terms, np.log10(np.maximum(counts, 0) + 0.5)])
-        self.counted = np.concatenate([self.counted, counts])
-        self.joined = np.concatenate([self.joined, keys])
-
-    def ids_of(self, places: np.ndarray) -> np.ndarray:
-        lengths = self.lengths[places]
-        ends = np.cumsum(lengths)
-        return self.flat[np.arange(ends[-1]) + np.repeat(self.begins[places] - ends + lengths, lengths)]
-
-
+@dataclass
 class _Shared:
-    """What every worker gets once; the words it has met stay with it from task to task."""
+    """What every worker gets once: the model, the keys (sorted) and counts of the head words, the number of training
+    words, and whether other words are joined later."""
 
-    def __init__(self, model: LanguageModel, keys: np.ndarray, counts: np.ndarray, path: str, total: int, joined: bool):
-        self.model, self.head, self.met = model, (keys, counts, path), None
-        self.total, self.joined = total, joined
+    model: LanguageModel
+    keys: np.ndarray
+    counts: np.ndarray
+    total: int
+    joined: bool
 
-    def words(self) -> _Words:
-        self.met = self.met or _Words(*self.head)
-        return self.met
+    def counted(self, keys: np.ndarray) -> np.ndarray:
+        """The counts of words by their keys; -1 for those outside the head."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.counts[at], -1)
 
 
-def _score(shared: Broadcast):
+def _score(shared: Broadcast, path: str, own: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, words_known = shared.value.model, shared.value.words()
-        total, joined = shared.value.total, shared.value.joined
-        for batch in slices(batches, 64):
-            count = batch.num_rows
-            size, known, base = [0] * count, [0] * count, [0.0] * count
-            ids: list[list[np.ndarray]] = [[] for _ in range(count)]
-            lengths: list[list[np.ndarray]] = [[] for _ in range(count)]
-            seen: list[list[np.ndarray]] = [[] for _ in range(count)]
-            rare: list[list[np.ndarray]] = [[] for _ in range(count)]
-            waiting: list[tuple[int, list[bytes]]] = []
-
-            def flush() -> None:
-                words_known.learn(set().union(*(words for _, words in waiting)))
-                for i, words in waiting:
-                    places = np.fromiter(map(words_known.known.__getitem__, words), np.int64, len(words))
-                    counts = words_known.counted[places]
-                    head = counts >= 0 if joined else np.ones(len(counts), bool)
-                    size[i] += len(places)
-                    known[i] += int((counts > 0).sum())
-                    base[i] += float(words_known.terms[places][head].sum())
-                    rare[i].append(words_known.joined[places[~head]])
-                    ids[i].append(words_known.ids_of(places))
-                    lengths[i].append(words_known.lengths[places])
-                    seen[i].append(counts)
-                waiting.clear()
-
-            held = 0
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                for words in words_of(text):
-                    if words:
-                        waiting.append((i, words))
-                        held += len(words)
-                    if held > 200_000:
-                        flush()
-                        held = 0
-                waiting.append((i, [END]))
-            flush()
-            scores, left = model.score(*([np.concatenate(x) for x in parts] for parts in (ids, lengths, seen)), total, joined)
-            columns = [size, known, base, [np.concatenate(x) for x in rare], left]
+        model, total, joined, known = shared.value.model, shared.value.total, shared.value.joined, _known(path, own)
+        for batch in _text_slices(batches):
+            distinct, places, sizes = _coded(batch.column("text"))
+            keys = np.fromiter(map(word_key, distinct), np.int64, len(distinct))
+            counts = shared.value.counted(keys)
+            flat, lengths = known.of(distinct)
+            terms = np.log10(np.maximum(counts, 0) + 0.5)
+            if joined:
+                terms[counts < 0] = 0
+            ends = np.cumsum(sizes)
+            begins, cuts = ends - sizes, ends[:-1]
+            of_words, seen = lengths[places], counts[places]
+            ids = np.split(_at(flat, lengths, places), np.cumsum(of_words)[cuts - 1])
+            scores, left = model.score(ids, np.split(of_words, cuts), np.split(seen, cuts), total, joined)
+            rare = [keys[x[c < 0]] if joined else keys[:0] for x, c in zip(np.split(places, cuts), np.split(seen, cuts), strict=True)]
+            columns = [sizes, np.add.reduceat((seen > 0).astype(np.int64), begins), np.add.reduceat(terms[places], begins), rare, left]
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.float64())]
             names = ["n_tokens", "head_known", "head_base", "rare", "chances"]
             others = {name: batch.column(name) for name in ("row_id", "doc_id")}
@@ -562,6 +577,25 @@ def _score(shared: Broadcast):
     return run
 
 
+def _frequent(counted: DataFrame, words: int) -> Column:
+    """A condition on ``c`` for the most frequent words, by the levels of frequency that hold so many of them at most."""
+    level = F.floor(F.log2("c") * 8).cast("int")
+    levels = counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()
+    held, least = 0, None
+    for row in sorted(levels, key=lambda row: -row["level"]):
+        held += row["words"]
+        if held > words:
+            break
+        least = row["level"]
+    return level >= least if least is not None else F.lit(False)
+
+
+def _own_words(counted: DataFrame) -> list[bytes]:
+    """The words that become ids."""
+    found = counted.where(_frequent(counted, OWN_WORDS) & (F.col("c") >= OWN_WORD_COUNT)).select("word").toArrow()
+    return sorted(word for word in found["word"].to_pylist() if word != END)
+
+
 def score_texts(docs: DataFrame, is_training: str, path: str = RANKS, head_words: int = HEAD_WORDS) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row.
 
@@ -576,19 +610,21 @@ def score_texts(docs: DataFrame, is_training: str, path: str = RANKS, head_words
     counted = pin(training.mapInArrow(_count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")))
     total, distinct = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     kept = counted.mapInArrow(_keyed, "word_key long, c long")
-    found = counted.mapInArrow(_count_ids(path), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
-    id_counts = np.zeros(encoding(path).n_vocab + 1)
+    known = _Known(path, _own_words(counted))
+    own = spark.sparkContext.broadcast(known)
+    found = counted.mapInArrow(_count_ids(path, own), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    id_counts = np.zeros(known.total)
     id_counts[found["id"].to_numpy()] = found["n"].to_numpy()
 
     chosen = training.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     read = training.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    sample = read.mapInArrow(_sampled(path), "doc_id long, start long, ids array<int>").toArrow()
+    sample = read.mapInArrow(_sampled(path, own), "doc_id long, start long, ids array<int>").toArrow()
     sample = sample.sort_by([("doc_id", "ascending"), ("start", "ascending")])
     ids = sample["ids"].combine_chunks()
     places = ids.offsets.to_numpy()
     pieces = np.split(ids.flatten().to_numpy().astype(np.int64), places[1:-1] - places[0]) if len(ids) else []
     topics = None
-    encoded = encode_texts(training, path)
+    encoded = encode_texts(training, path, own)
     if pieces:
         grouped = _Topics.found(_by_frequency(id_counts)[:FREQUENT], len(id_counts), pieces)
         topics = _topic_of_ids(count_topics(encoded, grouped))
@@ -600,26 +636,17 @@ def score_texts(docs: DataFrame, is_training: str, path: str = RANKS, head_words
     del sample, ids, pieces
     model, _ = learn_from_all(encoded, LanguageModel(vocabulary, network), int(id_counts.sum()))
 
-    # The most frequent words, by the levels of frequency that hold head_words of them at most.
-    level = F.floor(F.log2("c") * 8).cast("int")
-    levels = counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words")).collect()
-    held, least = 0, None
-    for row in sorted(levels, key=lambda row: -row["level"]):
-        held += row["words"]
-        if held > head_words:
-            break
-        least = row["level"]
-    head = kept.where(level >= least) if least is not None else kept.limit(0)
+    head = kept.where(_frequent(counted, head_words))
     head = head.toArrow().sort_by("word_key")
     keys, counts = head["word_key"].to_numpy(), head["c"].to_numpy()
     del head
     joined = distinct > len(keys)  # else every word of the training documents is in the head: the others have no count
-    shared = spark.sparkContext.broadcast(_Shared(model, keys, counts, path, total, joined))
+    shared = spark.sparkContext.broadcast(_Shared(model, keys, counts, total, joined))
     kinds = (
         "row_id long, doc_id long, n_tokens long, head_known long, head_base double, rare array<long>, chances array<double>, head_score double"
     )
     numbered = texts.withColumn("row_id", F.monotonically_increasing_id())
-    scored = pin(numbered.mapInArrow(_score(shared), kinds))
+    scored = pin(numbered.mapInArrow(_score(shared, path, own), kinds))
 
     if joined:
         rare = scored.select("row_id", F.explode(F.arrays_zip("rare", "chances")).alias("w")).select("row_id", F.col("w.rare").alias("word_key"), "w.chances")
@@ -655,11 +682,11 @@ def _training_windows(vocabulary: Vocabulary, begins: list[bool], pieces: list[n
         if begin:
             x, y, m = vocabulary.windows([ids[:SCORED]])
         else:
-            shifted = np.full(CONTEXT + SCORED, PAD, np.int64)
+            shifted = np.full(CONTEXT + SCORED, PAD, np.int16)
             late = len(ids) - CONTEXT
             shifted[: len(ids) - 1] = vocabulary.buckets[ids[:-1]]
             x = shifted[None, :]
-            y = np.zeros((1, SCORED), np.int64)
+            y = np.zeros((1, SCORED), np.int16)
             # The input at position CONTEXT + t stands before the token it is to predict.
             y[0, : late - 1] = vocabulary.classes[ids[CONTEXT + 1 :]]
             m = (np.arange(SCORED) < late - 1)[None, :]
