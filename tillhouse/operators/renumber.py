@@ -31,6 +31,7 @@ def reassign_duplicate_ids(rows: DataFrame, key: str, order: list[str]) -> DataF
             F.max(key).alias("largest_id"),
             F.max(F.when(F.col(key).isNull(), size)).alias("blanks"),
             F.count_if(size > hot_size).alias("hot"),
+            F.count_if(size > 1).alias("repeated"),
         )
     )
     repeated = pin(sizes.where("size > 1").select(F.col(key).alias("old_id"), "size"))
@@ -40,6 +41,8 @@ def reassign_duplicate_ids(rows: DataFrame, key: str, order: list[str]) -> DataF
     # Further rows of the ids before an id; the rows without an id come first.
     further = repeated.where(F.col("old_id").isNotNull()).select("old_id", (size - 1).alias("further"))
     smaller = running_total(further, "old_id", "further", "smaller", 32 if id_type == "int" else 64)
+    if found.get["repeated"] > settings.BROADCAST_ROWS:
+        smaller = smaller.hint("merge")
     blanks = F.lit(max((found.get["blanks"] or 0) - 1, 0)).cast("bigint")
     before = F.when(F.col(key).isNull(), F.lit(0).cast("bigint")).otherwise(F.col("smaller") + blanks)
     new_id = _within(largest_id + before + F.col("place"), id_type)

@@ -32,7 +32,9 @@ def distribution_by_sum_amount(by_country: DataFrame) -> DataFrame:
 
 def _top_customers(by_customer: DataFrame, customer: DataFrame, value: str, k: int) -> DataFrame:
     top = top_dense(by_customer.select("customer_id", value), value, k)
-    return top.join(customer, "customer_id").select("customer_name", value, "rnk").orderBy("rnk")
+    # By the size of its compressed file alone, a dimension of millions of rows would be broadcast.
+    named = top.join(customer.hint("merge"), "customer_id")
+    return named.select("customer_name", value, "rnk").orderBy("rnk")
 
 
 def customer_top10_by_sum_amount(by_customer: DataFrame, customer: DataFrame) -> DataFrame:

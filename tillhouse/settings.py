@@ -1,6 +1,6 @@
 """Values that decide results, in one place. Every function that uses one takes it as a parameter.
 
-``COPY_CHUNK`` and ``HOT_ROWS`` decide no result and are read where they are used.
+``BROADCAST_ROWS``, ``COPY_CHUNK`` and ``HOT_ROWS`` decide no result and are read where they are used.
 """
 
 # They must equal the published warehouse's for the same results.
@@ -41,6 +41,7 @@ FAITH_WEIGHTS = {
 CALENDAR = ["tran_year", "tran_quarter", "tran_month", "tran_month_week", "tran_day", "tran_range"]
 
 # Sizing, no effect on results.
+BROADCAST_ROWS = 1_500_000  # a join side of more rows is not broadcast, however small its files are
 CUBE_TASKS = 64  # tasks that write the customer-month table, and files of one month at most
 COPY_CHUNK = 1_000_000  # exact copies of one row are written back in pieces of this many
 HOT_ROWS = 10_000  # an id of more rows than this is spread over tasks when repeated ids are numbered

@@ -7,6 +7,8 @@ store, and the lines of one order share an id, which the cleaning step has to re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillhouse import settings
+
 CUSTOMER = """
 select c.c_custkey as customer_id,
   concat('C', cast(c.c_custkey as varchar(20))) as credit_no,
@@ -55,7 +57,13 @@ TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
 def read_input(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of ``customer``, ``store``, ``transaction``, ``review`` over the parquet files in ``folder``."""
+    """One of ``customer``, ``store``, ``transaction``, ``review`` over the parquet files in ``folder``.
+
+    A table that is joined is counted (from its file footers), and not broadcast past ``BROADCAST_ROWS`` rows.
+    """
     text = INPUT_SQL[name]
     frames = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in TABLES if f"{{{t}}}" in text}
+    for table, frame in frames.items():
+        if f"join {{{table}}}" in text and frame.count() > settings.BROADCAST_ROWS:
+            frames[table] = frame.hint("merge")
     return spark.sql(text, **frames)
